@@ -193,23 +193,41 @@ def staged_fact_rows(orders: DataFrame) -> DataFrame:
                & F.col("sales_amount").isNotNull()))
 
 
-def build_fact_wide(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame,
-                    dim_location: DataFrame, location_strategy: str = "auto") -> DataFrame:
-    rows = first_per_key(staged_fact_rows(orders), ["order_nk"], ["ingest_seq"]).drop("ingest_seq")
-    cust = dim_customer.select(
-        F.col("user_id_nat").alias("user_txt"), "customer_key", "income_group",
-        "income_group_order", "education_group", "education_group_order", "family_size")
+def restaurant_lookup(dim_restaurant: DataFrame, dim_location: DataFrame,
+                      location_strategy: str = "auto") -> DataFrame:
+    """Restaurant grain: natural id -> restaurant key, attributes and the
+    matched location (NULL when no location city matches)."""
     loc_of = restaurant_locations(dim_restaurant, dim_location, location_strategy)
     locs = dim_location.select("location_key", F.col("country").alias("loc_country"),
                                F.col("state").alias("loc_state"), F.col("city").alias("loc_city"))
-    rest = (dim_restaurant.select(
+    return (dim_restaurant.select(
         F.col("restaurant_id_nat").alias("rest_txt"), "restaurant_key",
         F.col("name").alias("restaurant_name"), F.col("city").alias("restaurant_city"),
         "rating", "cuisine")
         .join(loc_of, "restaurant_key", "left")
         .join(locs, "location_key", "left"))
-    loaded = rows.join(cust, "user_txt").join(rest, "rest_txt").drop("user_txt", "rest_txt")
+
+
+def load_fact(orders: DataFrame, dim_customer: DataFrame, rest_lookup: DataFrame) -> DataFrame:
+    """Deduplicated staged orders with resolved keys (before numbering)."""
+    rows = first_per_key(staged_fact_rows(orders), ["order_nk"], ["ingest_seq"]).drop("ingest_seq")
+    cust = dim_customer.select(
+        F.col("user_id_nat").alias("user_txt"), "customer_key", "income_group",
+        "income_group_order", "education_group", "education_group_order", "family_size")
+    return rows.join(cust, "user_txt").join(rest_lookup, "rest_txt").drop("user_txt", "rest_txt")
+
+
+def number_orders(loaded: DataFrame, offset: int = 0) -> DataFrame:
+    """``order_key`` = offset + dense rank in ``order_nk`` order."""
     keyed = with_dense_key(loaded, [F.col("order_nk").asc()], "order_key")
+    if offset:
+        keyed = keyed.withColumn("order_key", F.col("order_key") + F.lit(offset))
+    return keyed
+
+
+def finish_fact(keyed: DataFrame) -> DataFrame:
+    """Currency conversion, then the invalid-amount delete, then the wide
+    layout (fact columns + date/customer/restaurant/location attributes)."""
     usd = B.is_usd(F.col("currency"))
     converted = (keyed
                  .withColumn("sales_amount",
@@ -220,19 +238,24 @@ def build_fact_wide(orders: DataFrame, dim_customer: DataFrame, dim_restaurant:
                                                           for v in B.INVALID_AMOUNTS]))
     y = (F.col("date_key") / 10000).cast("int")
     md = F.col("date_key") % 10000
-    d = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd")
-    a = date_attributes(d)
-    wide = kept.select(
+    month = (md / 100).cast("int")
+    day = (md % 100).cast("int")
+    a = date_attributes(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd"))
+    return kept.select(
         *FACT_COLS,
         a["date_iso"].alias("date_iso"), a["quarter"].alias("quarter"),
-        (md / 100).cast("int").alias("month"), a["month_name"].alias("month_name"),
-        (md % 100).cast("int").alias("day"), a["dow"].alias("dow"),
-        a["is_weekend"].alias("is_weekend"),
-        B.is_holiday((md / 100).cast("int"), (md % 100).cast("int")).alias("is_holiday"),
+        month.alias("month"), a["month_name"].alias("month_name"),
+        day.alias("day"), a["dow"].alias("dow"), a["is_weekend"].alias("is_weekend"),
+        B.is_holiday(month, day).alias("is_holiday"),
         "income_group", "income_group_order", "education_group", "education_group_order",
         "family_size", "restaurant_name", "restaurant_city", "rating", "cuisine",
-        "loc_country", "loc_state", "loc_city", y.cast("int").alias("year"))
-    return wide
+        "loc_country", "loc_state", "loc_city", y.alias("year"))
+
+
+def build_fact_wide(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame,
+                    dim_location: DataFrame, location_strategy: str = "auto") -> DataFrame:
+    lookup = restaurant_lookup(dim_restaurant, dim_location, location_strategy)
+    return finish_fact(number_orders(load_fact(orders, dim_customer, lookup)))
 
 
 @dataclass
