@@ -8,10 +8,12 @@ Instead:
    keeps the order);
 2. ``monotonically_increasing_id`` numbers rows inside each sorted partition
    (partition index in the upper 31 bits, position in the lower 33);
-3. that tagged frame is checkpointed to the shared checkpoint folder, so the
-   ids are computed once and stored - a recomputation after a lost executor,
-   or a second read with fewer columns, sees the same ids (recomputing the
-   sort could group rows into partitions differently);
+3. that tagged frame is written once as a Parquet table under the shared
+   checkpoint folder and read back, so the ids are computed once and stored -
+   a recomputation after a lost executor, or a second read with fewer
+   columns, sees the same ids (recomputing the sort could group rows into
+   partitions differently). One write job; ``DataFrame.checkpoint`` would
+   compute the input twice (count, then the checkpoint write);
 4. rows per partition are counted - one row per partition - and turned into
    running offsets by a window over that tiny table;
 5. the offsets (bounded by the partition count, so safe to broadcast) are
@@ -20,6 +22,7 @@ Instead:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,11 +42,12 @@ def with_dense_key(df: DataFrame, order_by: Sequence[Column], name: str,
     """Add ``name`` (bigint, 1..n) following ``order_by``; ``order_by`` must be
     a total order over the rows for the numbering to be reproducible.
 
-    Runs two small jobs eagerly (the checkpoint write and the offsets)."""
-    checkpoint_root(df.sparkSession)
-    tagged = (df.orderBy(*order_by)
-              .withColumn(_ID, F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    Runs the sort and the write of the tagged rows eagerly."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/thalimart-keys-{name}-{uuid.uuid4().hex}"
+    (df.orderBy(*order_by).withColumn(_ID, F.monotonically_increasing_id())
+     .write.mode("overwrite").parquet(path))
+    tagged = spark.read.parquet(path)
     part = F.shiftright(F.col(_ID), _POS_BITS)
     counts = tagged.groupBy(part.alias(_PART)).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)

@@ -99,7 +99,7 @@ def top_restaurants(wh: Warehouse) -> DataFrame:
     q = restaurant.top_restaurants(wh)
     w = Window.orderBy(F.col("total_sales").desc(), F.col("avg_rating").desc_nulls_last(),
                        "restaurant_name", "city", "country", F.col("cuisine").asc_nulls_first())
-    return q.select(F.row_number().over(w).alias("sales_rank"), "restaurant_name", "city",
+    return q.select(F.row_number().over(w).cast("bigint").alias("sales_rank"), "restaurant_name", "city",
                     "total_sales", "avg_order_value").orderBy("sales_rank")
 
 

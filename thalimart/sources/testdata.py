@@ -110,7 +110,10 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
     od = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    j = li.join(od, li.l_orderkey == od.o_orderkey)
+    # fact-to-fact join: a shuffle join (both sides grow with the data); the
+    # hint keeps it one even where orders would fit a broadcast, so the
+    # per-row work after it is spread over the shuffle partitions
+    j = li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey)
     ok = F.col("l_orderkey")
     ck = F.col("o_custkey")
     unknown_user = ((ck % 31 == 0) | ((ck % 5 == 1) & (ok % 16 != 0))
