@@ -26,7 +26,12 @@ def append_batch(existing: DataFrame, batch_orders: DataFrame, dim_customer: Dat
                  rest_lookup: DataFrame) -> DataFrame:
     """Wide fact rows that ``batch_orders`` adds to ``existing``."""
     loaded = etl.load_fact(batch_orders, dim_customer, rest_lookup)
-    fresh = loaded.join(existing.select("order_nk"), "order_nk", "left_anti")
+    # a repeated key has the same order date, so it can only sit in the same
+    # year partition: joining on (year, order_nk) lets the existing fact be
+    # pruned to the years present in the batch
+    loaded = loaded.withColumn("year", (F.col("date_key") / 10000).cast("int"))
+    fresh = loaded.join(existing.select("year", "order_nk"), ["year", "order_nk"], "left_anti") \
+        .drop("year")
     top = existing.agg(F.max("order_key").alias("m")).first()["m"] or 0
     return etl.finish_fact(etl.number_orders(fresh, offset=int(top)))
 
