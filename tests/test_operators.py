@@ -116,3 +116,11 @@ def test_splitter_fixtures(spark):
                      C.all_items(F.col("c")).alias("a")).collect()]
     assert got == [(["A", "B"], ["A", "", "B", ""]), (["A"], ["A", "A"]), ([], None),
                    ([], [""]), (["Biryani", "Indian"], ["Biryani", "Indian"])]
+
+
+def test_dense_key_small_path_equals_distributed(spark):
+    df = spark.range(2000).select((F.col("id") * 31 % 2000).alias("v")).repartition(7)
+    order = [F.col("v").desc()]
+    a = {(r.v, r.k) for r in with_dense_key(df, order, "k").collect()}
+    b = {(r.v, r.k) for r in with_dense_key(df, order, "k", small_rows=10_000).collect()}
+    assert a == b and len(a) == 2000

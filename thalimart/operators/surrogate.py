@@ -18,6 +18,12 @@ Instead:
    running offsets by a window over that tiny table;
 5. the offsets (bounded by the partition count, so safe to broadcast) are
    joined back and added to the in-partition position.
+
+Callers whose input is usually small (dimensions) may pass ``small_rows``:
+the rows are counted first and, when the count is within that bound, a plain
+``row_number`` window numbers them in one task - the count is the size check.
+Above the bound, or without one (the fact: counting would cost a full extra
+pass), the distributed path runs.
 """
 
 from __future__ import annotations
@@ -38,11 +44,15 @@ _POS_BITS = 33
 
 
 def with_dense_key(df: DataFrame, order_by: Sequence[Column], name: str,
-                   first: bool = True) -> DataFrame:
+                   first: bool = True, small_rows: int | None = None) -> DataFrame:
     """Add ``name`` (bigint, 1..n) following ``order_by``; ``order_by`` must be
     a total order over the rows for the numbering to be reproducible.
 
     Runs the sort and the write of the tagged rows eagerly."""
+    if small_rows is not None and df.count() <= small_rows:
+        numbered = F.row_number().over(Window.orderBy(*order_by)).cast("bigint")
+        out = df.withColumn(name, numbered)
+        return out.select(name, *df.columns) if first else out
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/thalimart-keys-{name}-{uuid.uuid4().hex}"
     (df.orderBy(*order_by).withColumn(_ID, F.monotonically_increasing_id())

@@ -40,6 +40,10 @@ from ..operators.substring_match import first_substring_match
 from ..operators.surrogate import with_dense_key
 from ..sources.staging import Staging
 
+# dimensions up to this many rows are numbered by a single-task window after
+# a count check; larger ones use the distributed dense-key path
+SMALL_DIMENSION_ROWS = 1_000_000
+
 DIM_DATE_COLS = ["date_key", "date_iso", "year", "quarter", "month", "month_name", "day",
                  "dow", "is_weekend"]
 DIM_CUSTOMER_COLS = ["customer_key", "user_id_nat", "name", "email", "age", "gender",
@@ -115,7 +119,8 @@ def build_dim_customer(users: DataFrame) -> DataFrame:
                 .withColumn("education_group", edu)
                 .withColumn("education_group_order",
                             B.education_group_order(F.col("education_group"))))
-    keyed = with_dense_key(enriched, _numeric_then_text(F.col("user_id_nat")), "customer_key")
+    keyed = with_dense_key(enriched, _numeric_then_text(F.col("user_id_nat")), "customer_key",
+                           small_rows=SMALL_DIMENSION_ROWS)
     return keyed.select(*DIM_CUSTOMER_COLS)
 
 
@@ -128,7 +133,8 @@ def build_dim_restaurant(restaurants: DataFrame) -> DataFrame:
         "cuisine", "ingest_seq",
     ).where(F.col("restaurant_id_nat").isNotNull())
     first = first_per_key(rows, ["restaurant_id_nat"], ["ingest_seq"]).drop("ingest_seq")
-    keyed = with_dense_key(first, _numeric_then_text(F.col("restaurant_id_nat")), "restaurant_key")
+    keyed = with_dense_key(first, _numeric_then_text(F.col("restaurant_id_nat")), "restaurant_key",
+                           small_rows=SMALL_DIMENSION_ROWS)
     return keyed.select(*DIM_RESTAURANT_COLS)
 
 
@@ -145,7 +151,8 @@ def build_dim_location(locations: DataFrame) -> DataFrame:
     first = first_per_key(rows.select("location_nk", "_state_rank", "country", "state", "city"),
                           ["location_nk"], ["_state_rank"]).drop("_state_rank")
     order = [F.col("country").asc(), F.col("state").asc_nulls_first(), F.col("city").asc()]
-    keyed = with_dense_key(first, order, "location_key")
+    keyed = with_dense_key(first, order, "location_key",
+                           small_rows=SMALL_DIMENSION_ROWS)
     return keyed.select(*DIM_LOCATION_COLS)
 
 
