@@ -224,9 +224,9 @@ def load_fact(orders: DataFrame, dim_customer: DataFrame, rest_lookup: DataFrame
     return rows.join(cust, "user_txt").join(rest_lookup, "rest_txt").drop("user_txt", "rest_txt")
 
 
-def number_orders(loaded: DataFrame, offset: int = 0) -> DataFrame:
+def number_orders(loaded: DataFrame, offset: int = 0, small_rows: int | None = None) -> DataFrame:
     """``order_key`` = offset + dense rank in ``order_nk`` order."""
-    keyed = with_dense_key(loaded, [F.col("order_nk").asc()], "order_key")
+    keyed = with_dense_key(loaded, [F.col("order_nk").asc()], "order_key", small_rows=small_rows)
     if offset:
         keyed = keyed.withColumn("order_key", F.col("order_key") + F.lit(offset))
     return keyed

@@ -23,6 +23,7 @@ from .warehouse import Warehouse
 # dated before this text form the first load, the rest (and bad dates) the
 # second.
 SPLIT_AT = "2018-01-01"
+SMALL_BATCH_ROWS = 1_000_000
 
 
 def append_batch(existing: DataFrame, batch_orders: DataFrame, dim_customer: DataFrame,
@@ -36,7 +37,10 @@ def append_batch(existing: DataFrame, batch_orders: DataFrame, dim_customer: Dat
     fresh = loaded.join(existing.select("year", "order_nk"), ["year", "order_nk"], "left_anti") \
         .drop("year")
     top = existing.agg(F.max("order_key").alias("m")).first()["m"] or 0
-    return etl.finish_fact(etl.number_orders(fresh, offset=int(top)))
+    # a later batch is usually small: counted, and numbered in one task when
+    # within the bound
+    return etl.finish_fact(etl.number_orders(fresh, offset=int(top),
+                                             small_rows=SMALL_BATCH_ROWS))
 
 
 def fact_in_two_batches(wh: Warehouse) -> DataFrame:

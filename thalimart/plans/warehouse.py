@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,14 @@ def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     w.parquet(path)
 
 
+def _in_parallel(tasks: dict) -> None:
+    """Run independent write jobs from driver threads (Spark schedules
+    concurrent jobs); re-raise the first failure."""
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        for fut in [pool.submit(fn) for fn in tasks.values()]:
+            fut.result()
+
+
 def build_warehouse(spark: SparkSession, staging: Staging, root: str,
                     location_strategy: str = "auto") -> Warehouse:
     """Run the ETL and write every table under ``root``.
@@ -59,11 +68,14 @@ def build_warehouse(spark: SparkSession, staging: Staging, root: str,
     The staging tables are written first: the order staging feeds both
     ``dim_date`` and the fact, and is computed once instead of twice."""
     staging = stage(spark, staging, root)
-    dims = etl.build_dimensions(staging)
-    out = {}
-    for name in ("dim_date", "dim_customer", "dim_restaurant", "dim_location"):
-        _write(getattr(dims, name), f"{root}/{name}")
-        out[name] = spark.read.parquet(f"{root}/{name}")
+    builders = {"dim_date": lambda: etl.build_dim_date(staging.orders),
+                "dim_customer": lambda: etl.build_dim_customer(staging.users),
+                "dim_restaurant": lambda: etl.build_dim_restaurant(staging.restaurants),
+                "dim_location": lambda: etl.build_dim_location(staging.locations)}
+    # the four dimensions are independent: their jobs run concurrently
+    _in_parallel({name: (lambda n=name: _write(builders[n](), f"{root}/{n}"))
+                  for name in builders})
+    out = {name: spark.read.parquet(f"{root}/{name}") for name in builders}
     wide = etl.build_fact_wide(staging.orders, out["dim_customer"], out["dim_restaurant"],
                                out["dim_location"], location_strategy)
     _write(wide, f"{root}/order_wide", partition_by="year")
@@ -75,8 +87,8 @@ STAGING_TABLES = ("users", "restaurants", "orders", "locations")
 
 def stage(spark: SparkSession, staging: Staging, root: str) -> Staging:
     """Write the staging tables under ``root`` and return readers over them."""
-    for name in STAGING_TABLES:
-        _write(getattr(staging, name), f"{root}/stg_{name}")
+    _in_parallel({name: (lambda n=name: _write(getattr(staging, n), f"{root}/stg_{n}"))
+                  for name in STAGING_TABLES})
     return open_staging(spark, root)
 
 
