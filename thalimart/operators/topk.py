@@ -17,14 +17,19 @@ def top_n_per_group(df: DataFrame, group_cols: Sequence[str], order_by: Sequence
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
 
 
-def rows_at_group_max(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
+def rows_at_group_max(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                      groups_bounded: bool = False) -> DataFrame:
     """Every row whose ``value_col`` equals the maximum of its group (ties kept).
 
     The maximum comes from a partial aggregate (one row per group), joined back
     on the group keys, so a group with many rows never sits in one task the way
-    a max-window over it would.
+    a max-window over it would. ``groups_bounded=True`` (the caller knows the
+    number of groups is fixed, e.g. a filtered list of years) broadcasts the
+    maxima, so a hot group is never a shuffle partition of the join either.
     """
     best = df.groupBy(*group_cols).agg(F.max(value_col).alias("_group_max"))
+    if groups_bounded:
+        best = F.broadcast(best)
     return (df.join(best, list(group_cols))
             .where(F.col(value_col) == F.col("_group_max"))
             .drop("_group_max"))

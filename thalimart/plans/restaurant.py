@@ -48,7 +48,8 @@ def festival_top(wh: Warehouse) -> DataFrame:
     g = season.groupBy("restaurant_key", "restaurant_name", "loc_city", "cuisine", "rating",
                        "year").agg(F.count("order_key").alias("total_orders"),
                                    F.sum("sales_amount").alias("sales"))
-    best = rows_at_group_max(g, ["year"], "sales")
+    # one maximum per festival year: at most len(FESTIVAL_YEARS) rows
+    best = rows_at_group_max(g, ["year"], "sales", groups_bounded=True)
     return (best.orderBy(F.col("year").desc(), "restaurant_key")
             .select("restaurant_key", "restaurant_name", F.col("loc_city").alias("city"),
                     "cuisine", "rating", "year", "total_orders",
