@@ -27,8 +27,9 @@ SMALL_BATCH_ROWS = 1_000_000
 
 
 def append_batch(existing: DataFrame, batch_orders: DataFrame, dim_customer: DataFrame,
-                 rest_lookup: DataFrame) -> DataFrame:
-    """Wide fact rows that ``batch_orders`` adds to ``existing``."""
+                 rest_lookup: DataFrame, top: int | None = None) -> DataFrame:
+    """Wide fact rows that ``batch_orders`` adds to ``existing``; new keys
+    start after ``top`` (default: the largest key in ``existing``)."""
     loaded = etl.load_fact(batch_orders, dim_customer, rest_lookup)
     # a repeated key has the same order date, so it can only sit in the same
     # year partition: joining on (year, order_nk) lets the existing fact be
@@ -36,7 +37,8 @@ def append_batch(existing: DataFrame, batch_orders: DataFrame, dim_customer: Dat
     loaded = loaded.withColumn("year", (F.col("date_key") / 10000).cast("int"))
     fresh = loaded.join(existing.select("year", "order_nk"), ["year", "order_nk"], "left_anti") \
         .drop("year")
-    top = existing.agg(F.max("order_key").alias("m")).first()["m"] or 0
+    if top is None:
+        top = existing.agg(F.max("order_key").alias("m")).first()["m"] or 0
     # a later batch is usually small: counted, and numbered in one task when
     # within the bound
     return etl.finish_fact(etl.number_orders(fresh, offset=int(top),

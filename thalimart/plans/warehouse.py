@@ -18,6 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 from ..sources.staging import Staging
@@ -79,6 +80,10 @@ def build_warehouse(spark: SparkSession, staging: Staging, root: str,
     wide = etl.build_fact_wide(staging.orders, out["dim_customer"], out["dim_restaurant"],
                                out["dim_location"], location_strategy)
     _write(wide, f"{root}/order_wide", partition_by="year")
+    # key high-water mark for later incremental loads (one row)
+    spark.read.parquet(f"{root}/order_wide").agg(
+        F.coalesce(F.max("order_key"), F.lit(0)).alias("max_order_key")) \
+        .write.mode("overwrite").parquet(f"{root}/order_key_hwm")
     return open_warehouse(spark, root)
 
 

@@ -9,7 +9,9 @@ read as a stream; each micro-batch is merged into the written warehouse by
   (``plans.incremental.append_batch``): deduplicated, keys resolved against
   the current dimensions, existing natural keys ignored, keys numbered above
   the current maximum, then location, conversion and delete rules;
-* the rows are appended to the year-partitioned wide fact.
+* the rows are appended to the year-partitioned wide fact; new keys start
+  after a one-row high-water mark (``order_key_hwm``), so no batch scans
+  the whole fact for its largest key.
 
 Each append is one Spark write job (files become visible at job commit), and
 the anti-join on ``order_nk`` makes a replayed micro-batch a no-op, so a
@@ -36,7 +38,14 @@ def merge_batch(spark: SparkSession, root: str, batch: DataFrame) -> None:
                                               "left_anti")
     new_days.write.mode("append").parquet(f"{root}/dim_date")
     lookup = etl.restaurant_lookup(wh.dim_restaurant, wh.dim_location)
-    added = append_batch(wh.orders, batch, wh.dim_customer, lookup)
+    hwm = f"{root}/order_key_hwm"
+    top = spark.read.parquet(hwm).first()["max_order_key"]
+    added = append_batch(wh.orders, batch, wh.dim_customer, lookup, top=top)
+    # reserve the key range before appending: a failure in between leaves a
+    # gap in the keys (as an auto-numbered key can), never a reused key
+    new_top = added.agg(F.max("order_key").alias("m")).first()["m"] or top
+    spark.createDataFrame([(max(top, new_top),)], "max_order_key long") \
+        .write.mode("overwrite").parquet(hwm)
     added.write.mode("append").partitionBy("year").parquet(f"{root}/order_wide")
 
 
