@@ -14,16 +14,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StringType
+from pyspark.sql.types import DataType, NumericType
 
 _INT_PREFIX = r"^[+-]?[0-9]+"
 _REAL_PREFIX = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 
 
-def _is_string(dtype: DataType | None) -> bool:
-    return dtype is None or isinstance(dtype, StringType)
-
-
 def lenient_int(c: Column, dtype: DataType | None = None) -> Column:
     """INTEGER cast with prefix parsing; NULL in, NULL out."""
     if dtype is not None and isinstance(dtype, NumericType):

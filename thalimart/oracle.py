@@ -362,7 +362,7 @@ ORDER BY SUM(f.sales_amount) DESC, r.cuisine NULLS FIRST
 LIMIT 15"""
 
 
-def _family(group_expr: str, flag: str, label: str) -> str:
+def _family(flag: str, label: str) -> str:
     return f"""
 SELECT family_group, income_level, {label} AS day_type,
   COUNT(order_key) AS orders,
@@ -374,8 +374,8 @@ GROUP BY family_group, income_level, {flag}
 ORDER BY total_sales_amount DESC, total_sales_quantity DESC"""
 
 
-_RQ3_2 = _family("", "is_weekend", "CASE WHEN is_weekend = 1 THEN 'Weekend' ELSE 'Weekday' END")
-_RQ3_3 = _family("", "is_holiday", "CASE WHEN is_holiday = 1 THEN 'Holiday' ELSE 'Regular Day' END")
+_RQ3_2 = _family("is_weekend", "CASE WHEN is_weekend = 1 THEN 'Weekend' ELSE 'Weekday' END")
+_RQ3_3 = _family("is_holiday", "CASE WHEN is_holiday = 1 THEN 'Holiday' ELSE 'Regular Day' END")
 
 _RQ3_4 = f"""
 SELECT cuisine, family_group, income_level,
@@ -594,10 +594,6 @@ FROM dim_customer c LEFT JOIN fact_order f ON c.customer_key = f.customer_key
 GROUP BY c.income_group, c.income_group_order
 ORDER BY c.income_group_order"""
 
-_RQ1_4_FULL = _RQ1_4
-_RQ1_6_FULL = _RQ1_6
-
-
 def _with_tail(body: str) -> str:
     """Bodies that add CTEs start with ', name AS (...)'."""
     return PREFIX + body
@@ -606,10 +602,6 @@ def _with_tail(body: str) -> str:
 _INCOME_GROUPS = ("No Income", "Below 10k", "10k-25k", "25k-50k", "50k+", "Unknown")
 _EDU_GROUPS = ("Unknown", "Basic Education", "Higher Education", "Doctoral")
 
-# inner statements reused by the feeds (query text without the CTE prefix)
-_RQ1_6_SELECT = _RQ1_6
-_RQ2_2_CTE = _RQ2_2
-
 SQL: dict[str, str] = {
     "rq1_1_income_distribution": _q(f"""
 SELECT income_group, COUNT(*) AS customer_count,
@@ -707,15 +699,6 @@ SELECT 'null_restaurant_ids', COUNT(*) FROM stg_restaurant WHERE id IS NULL"""),
 }
 
 
-def _inner(key: str) -> str:
-    """A query's statement as a subquery body (the CTE prefix stays outside)."""
-    return SQL[key][len(PREFIX):]
-
-
-def _feed(body_ctes: str, select: str) -> str:
-    return PREFIX + body_ctes + "\n" + select
-
-
 SQL.update({
     "feed_income_mix": _q(f"""
 SELECT income_group, customer_count,

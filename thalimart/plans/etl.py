@@ -54,15 +54,6 @@ DIM_RESTAURANT_COLS = ["restaurant_key", "restaurant_id_nat", "name", "city", "r
 DIM_LOCATION_COLS = ["location_key", "location_nk", "country", "state", "city"]
 FACT_COLS = ["order_key", "order_nk", "date_key", "customer_key", "restaurant_key",
              "sales_qty", "sales_amount", "currency", "location_key"]
-# attributes carried on the wide fact; ``year`` is also its partition column
-WIDE_EXTRA_COLS = ["date_iso", "quarter", "month", "month_name", "day", "dow",
-                   "is_weekend", "is_holiday",
-                   "income_group", "income_group_order", "education_group",
-                   "education_group_order", "family_size",
-                   "restaurant_name", "restaurant_city", "rating", "cuisine",
-                   "loc_country", "loc_state", "loc_city", "year"]
-
-
 def _dtype(df: DataFrame, name: str):
     return df.schema[name].dataType
 
