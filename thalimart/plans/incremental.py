@@ -51,7 +51,8 @@ def fact_in_two_batches(wh: Warehouse) -> DataFrame:
     first = orders.where(F.col("order_date") < SPLIT_AT)
     later = orders.where(~(F.col("order_date") < SPLIT_AT) | F.col("order_date").isNull())
     lookup = etl.restaurant_lookup(wh.dim_restaurant, wh.dim_location)
-    initial = etl.finish_fact(etl.number_orders(etl.load_fact(first, wh.dim_customer, lookup)))
+    initial = etl.finish_fact(etl.number_orders(etl.load_fact(first, wh.dim_customer, lookup),
+                                                small_rows=SMALL_BATCH_ROWS))
     # the first load is written once (a table under the shared checkpoint
     # folder), as the batch load would leave it
     path = f"{checkpoint_root(wh.dim_date.sparkSession)}/thalimart-inc-{uuid.uuid4().hex}"
