@@ -165,3 +165,23 @@ def test_null_and_empty_state_collide(spark):
     rows = [(r.location_key, r.location_nk, r.state) for r in
             build_dim_location(locs).orderBy("location_key").collect()]
     assert rows == [(1, "X||C", None), (2, "Y|S|D", "S")]
+
+
+def test_command_line_build_and_query(tmp_path):
+    import subprocess
+    import sys
+    d = tmp_path / "staging"
+    d.mkdir()
+    for name, text in [("users", USERS), ("restaurants", RESTAURANTS),
+                       ("locations", LOCATIONS), ("orders", ORDERS)]:
+        (d / f"{name}.csv").write_text(text)
+    wh_dir, out = tmp_path / "wh", tmp_path / "out"
+    env = dict(os.environ, PYTHONPATH=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    run = [sys.executable, "-m", "thalimart", "--master", "local[2]"]
+    subprocess.run(run + ["build", str(d), str(wh_dir)], check=True, env=env,
+                   capture_output=True, timeout=600)
+    subprocess.run(run + ["sql", str(wh_dir), "SELECT COUNT(*) AS n FROM fact_order",
+                          "--out", str(out), "--format", "csv"], check=True, env=env,
+                   capture_output=True, timeout=600)
+    text = "".join(p.read_text() for p in out.glob("*.csv"))
+    assert text.split() == ["n", "9"]
