@@ -93,3 +93,20 @@ def test_loyalty_and_holidays(spark):
     md = spark.createDataFrame([(12, 25), (12, 31), (12, 26), (2, 14)], "m int, d int")
     assert [r[0] for r in md.select(B.is_holiday(F.col("m"), F.col("d"))).collect()] == \
         [1, 1, 0, 1]                                               # M25
+
+
+def test_timestamp_text_ignores_session_time_zone(spark):
+    # 02:30 on 2017-03-12 does not exist in America/Los_Angeles; the text of a
+    # TIMESTAMP_NTZ must not move (date_format would print 03:30)
+    from thalimart.functions.lenient import date_text, ntz_text
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.sql("SELECT timestamp_ntz'2017-03-12 02:30:05' AS t")
+        row = df.select(ntz_text(F.col("t")).alias("a"),
+                        date_text(F.to_date(F.col("t"))).alias("b"),
+                        iso_timestamp(F.lit("2017-03-12 02:30:05")).alias("c")).first()
+        assert (row.a, row.b) == ("2017-03-12 02:30:05", "2017-03-12")
+        assert row.c.hour == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

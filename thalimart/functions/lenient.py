@@ -60,3 +60,16 @@ def integer_text(c: Column, dtype: DataType | None = None) -> Column:
 def raw_text(c: Column) -> Column:
     """``CAST(x AS TEXT)``: the dimension-side natural key form (no normalising)."""
     return c.cast("string")
+
+
+def ntz_text(ts: Column) -> Column:
+    """``strftime('%Y-%m-%d %H:%M:%S')`` of a TIMESTAMP_NTZ, built from its
+    fields: ``date_format`` would pass the value through the session time zone
+    and move wall-clock times inside a daylight-saving gap."""
+    return F.format_string("%04d-%02d-%02d %02d:%02d:%02d", F.year(ts), F.month(ts),
+                           F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts))
+
+
+def date_text(d: Column) -> Column:
+    """``YYYY-MM-DD`` of a DATE, without any time-zone step."""
+    return F.format_string("%04d-%02d-%02d", F.year(d), F.month(d), F.dayofmonth(d))

@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import buckets as B
-from ..functions.lenient import integer_text, iso_timestamp, lenient_double, lenient_int, raw_text
+from ..functions.lenient import (date_text, integer_text, iso_timestamp, lenient_double,
+                                 lenient_int, ntz_text, raw_text)
 from ..functions.numeric import MONEY
 from ..operators.dedup import first_per_key
 from ..operators.substring_match import first_substring_match
@@ -70,7 +71,7 @@ def date_attributes(ts: F.Column) -> dict[str, F.Column]:
     dow = F.dayofweek(d)  # 1 = Sunday .. 7 = Saturday
     return {
         "date_key": (y * 10000 + m * 100 + day).cast("int"),
-        "date_iso": F.date_format(d, "yyyy-MM-dd"),
+        "date_iso": date_text(d),
         "year": y.cast("int"),
         "quarter": F.quarter(d).cast("int"),
         "month": m.cast("int"),
@@ -171,7 +172,7 @@ def staged_fact_rows(orders: DataFrame) -> DataFrame:
     parts = [
         integer_text(F.col("user_id"), _dtype(orders, "user_id")),
         integer_text(F.col("r_id"), _dtype(orders, "r_id")),
-        F.date_format(ts, "yyyy-MM-dd HH:mm:ss"),
+        ntz_text(ts),
         F.trim(F.coalesce(F.col("currency"), F.lit(""))),
         F.trim(F.col("sales_qty").cast("string")),
         amount.cast("string"),

@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.lenient import ntz_text
 from .staging import LOCATION_COLS, ORDERS_COLS, RESTAURANT_COLS, USERS_COLS, Staging
 
 DATE_SHIFT_DAYS = 6940
@@ -119,7 +120,7 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     unknown_user = ((ck % 31 == 0) | ((ck % 5 == 1) & (ok % 16 != 0))
                     | ((ck % 5 == 2) & (ok % 6 != 0)))
     ts = F.col("o_orderdate") + F.make_dt_interval(F.lit(DATE_SHIFT_DAYS), (ok % 24).cast("int"))
-    order_date = F.when(ok % 101 == 0, "bad-date").otherwise(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"))
+    order_date = F.when(ok % 101 == 0, "bad-date").otherwise(ntz_text(ts))
     amount = (F.when(ok % 97 == 0, F.lit(0.0)).when(ok % 89 == 0, F.lit(-1.0))
               .otherwise(F.col("l_extendedprice")))
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
