@@ -185,3 +185,21 @@ def test_command_line_build_and_query(tmp_path):
                    capture_output=True, timeout=600)
     text = "".join(p.read_text() for p in out.glob("*.csv"))
     assert text.split() == ["n", "9"]
+
+
+def test_blank_cells_as_empty_text(spark, tmp_path):
+    # M26 with the CLI import: blank cells are '' and lenient casts give 0 / 0.0
+    from thalimart.plans.etl import build_dim_customer, build_dim_restaurant, staged_fact_rows
+    d = tmp_path
+    (d / "users.csv").write_text(USERS)
+    (d / "restaurants.csv").write_text(RESTAURANTS)
+    (d / "orders.csv").write_text(ORDERS)
+    (d / "locations.csv").write_text(LOCATIONS)
+    st = read_csv_staging(spark, str(d / "users.csv"), str(d / "restaurants.csv"),
+                          str(d / "orders.csv"), str(d / "locations.csv"), blank_as_empty=True)
+    cust = {r.user_id_nat: r for r in build_dim_customer(st.users).collect()}
+    assert cust["5"].family_size == 0 and cust["3"].age == 0
+    rest = {r.restaurant_id_nat: r for r in build_dim_restaurant(st.restaurants).collect()}
+    assert rest["15"].rating == 0.0 and rest["12"].cuisine == ""
+    qty = {r.order_nk: r.sales_qty for r in staged_fact_rows(st.orders).collect()}
+    assert qty["5|10|2024-03-02 00:00:00|INR||10.0000"] == 0

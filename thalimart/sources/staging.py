@@ -59,10 +59,11 @@ def _text_schema(cols: list[str]) -> StructType:
 def read_csv_table(spark: SparkSession, path: str, cols: list[str],
                    blank_as_empty: bool = False) -> DataFrame:
     opts = {"header": "true", "mode": "PERMISSIVE"}
-    if blank_as_empty:
-        opts["nullValue"] = "\u0000"  # nothing matches: blanks stay ''
-        opts["emptyValue"] = ""
     df = spark.read.options(**opts).schema(_text_schema(cols)).csv(path)
+    if blank_as_empty:
+        # a CSV cell cannot tell NULL from blank; the CLI import stores ''
+        df = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in cols],
+                       "_metadata")
     md = F.col("_metadata")
     seq = F.struct(md.getField("file_path").alias("file"),
                    md.getField("file_block_start").alias("block"),
