@@ -114,11 +114,11 @@ def cuisine_by_education(wh: Warehouse) -> DataFrame:
         .agg(F.sum("n").cast("bigint").alias("order_count"))
     ranked = top_n_per_group(counts, ["education_group"],
                              [F.col("order_count").desc(), F.col("single_cuisine").asc()], 5,
-                             rank_col="cuisine_rank")
+                             rank_col="_pos")
     share = percent(F.col("order_count"),
                     F.sum("order_count").over(Window.partitionBy("education_group")))
     return (ranked.withColumn("percentage", share)
-            .orderBy("education_group_order", "education_group", "cuisine_rank")
+            .orderBy("education_group_order", "education_group", "_pos")
             .select("education_group", F.col("single_cuisine").alias("top_cuisine"),
                     "order_count", "percentage"))
 
