@@ -239,7 +239,7 @@ def finish_fact(keyed: DataFrame) -> DataFrame:
     md = F.col("date_key") % 10000
     month = (md / 100).cast("int")
     day = (md % 100).cast("int")
-    a = date_attributes(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd"))
+    a = date_attributes(F.make_date(y, month, day))
     return kept.select(
         *FACT_COLS,
         a["date_iso"].alias("date_iso"), a["quarter"].alias("quarter"),
