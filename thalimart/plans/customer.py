@@ -40,15 +40,18 @@ def income_distribution(wh: Warehouse) -> DataFrame:
             .orderBy("income_group_order", "income_group").drop("income_group_order"))
 
 
-def income_frequency(wh: Warehouse) -> DataFrame:
-    """RQ1.2: customers (with or without orders), orders, orders per customer."""
+def income_frequency(wh: Warehouse, ordered: bool = True) -> DataFrame:
+    """RQ1.2: customers (with or without orders), orders, orders per customer.
+    ``ordered=False`` skips the presentation sort (for feeds that re-aggregate)."""
     g = _customers_with_orders(wh).groupBy("income_group", "income_group_order").agg(
         F.count("customer_key").alias("customer_count"),
         F.coalesce(F.sum("n_orders"), F.lit(0)).cast("bigint").alias("total_orders"))
-    return (g.select("income_group", "customer_count", "total_orders",
-                     money_round(safe_div(F.col("total_orders"), F.col("customer_count")), 2)
-                     .alias("avg_orders_per_customer"), "income_group_order")
-            .orderBy("income_group_order", "income_group").drop("income_group_order"))
+    out = g.select("income_group", "customer_count", "total_orders",
+                   money_round(safe_div(F.col("total_orders"), F.col("customer_count")), 2)
+                   .alias("avg_orders_per_customer"), "income_group_order")
+    if ordered:
+        out = out.orderBy("income_group_order", "income_group")
+    return out.drop("income_group_order")
 
 
 def income_spending(wh: Warehouse) -> DataFrame:
@@ -68,7 +71,7 @@ def income_spending(wh: Warehouse) -> DataFrame:
         .orderBy("income_group_order", "income_group").drop("income_group_order"))
 
 
-def cuisine_by_income(wh: Warehouse) -> DataFrame:
+def cuisine_by_income(wh: Warehouse, ordered: bool = True) -> DataFrame:
     """RQ1.4: top 5 cuisines per income group. Every split element counts
     (empties and repeats too); shares are over *all* cuisines of the group."""
     per_string = wh.orders.groupBy("income_group", "income_group_order", "cuisine") \
@@ -80,8 +83,10 @@ def cuisine_by_income(wh: Warehouse) -> DataFrame:
     share = percent(F.col("order_count"), F.sum("order_count").over(Window.partitionBy("income_group")))
     ranked = top_n_per_group(counts.withColumn("percentage", share), ["income_group"],
                              [F.col("order_count").desc(), F.col("single_cuisine").asc()], 5)
-    return (ranked.orderBy("income_group_order", F.col("order_count").desc(), "single_cuisine")
-            .select("income_group", "single_cuisine", "order_count", "percentage"))
+    if ordered:
+        ranked = ranked.orderBy("income_group_order", F.col("order_count").desc(),
+                                "single_cuisine")
+    return ranked.select("income_group", "single_cuisine", "order_count", "percentage")
 
 
 def education_behaviour(wh: Warehouse) -> DataFrame:
@@ -101,7 +106,7 @@ def education_behaviour(wh: Warehouse) -> DataFrame:
         .orderBy("education_group_order", "education_group").drop("education_group_order"))
 
 
-def cuisine_by_education(wh: Warehouse) -> DataFrame:
+def cuisine_by_education(wh: Warehouse, ordered: bool = True) -> DataFrame:
     """RQ1.6: top 5 cuisines per education group by distinct orders; shares
     are over the five kept rows only."""
     per_string = (wh.orders.where(F.col("cuisine").isNotNull())
@@ -117,10 +122,11 @@ def cuisine_by_education(wh: Warehouse) -> DataFrame:
                              rank_col="_pos")
     share = percent(F.col("order_count"),
                     F.sum("order_count").over(Window.partitionBy("education_group")))
-    return (ranked.withColumn("percentage", share)
-            .orderBy("education_group_order", "education_group", "_pos")
-            .select("education_group", F.col("single_cuisine").alias("top_cuisine"),
-                    "order_count", "percentage"))
+    out = ranked.withColumn("percentage", share)
+    if ordered:
+        out = out.orderBy("education_group_order", "education_group", "_pos")
+    return out.select("education_group", F.col("single_cuisine").alias("top_cuisine"),
+                      "order_count", "percentage")
 
 
 def weekend_by_education(wh: Warehouse) -> DataFrame:

@@ -41,26 +41,28 @@ def _measures():
             avg_money(F.col("sales_amount")).alias("aov")]
 
 
-def _finish(g: DataFrame, keys: list[str]) -> DataFrame:
-    return (g.select(*keys, "orders", "total_sales_quantity",
-                     out_money(F.col("amount")).alias("total_sales_amount"),
-                     money_round(F.col("aov"), 2).alias("avg_order_value"))
-            .orderBy(F.col("total_sales_amount").desc(), F.col("total_sales_quantity").desc(),
-                     *keys))
+def _finish(g: DataFrame, keys: list[str], ordered: bool = True) -> DataFrame:
+    out = g.select(*keys, "orders", "total_sales_quantity",
+                   out_money(F.col("amount")).alias("total_sales_amount"),
+                   money_round(F.col("aov"), 2).alias("avg_order_value"))
+    if ordered:
+        out = out.orderBy(F.col("total_sales_amount").desc(),
+                          F.col("total_sales_quantity").desc(), *keys)
+    return out
 
 
-def family_daytype(wh: Warehouse) -> DataFrame:
+def family_daytype(wh: Warehouse, ordered: bool = True) -> DataFrame:
     """RQ3.2: by family group, income level and weekday/weekend."""
     g = (_family_base(wh).groupBy("family_group", "income_level", "is_weekend").agg(*_measures())
          .withColumn("day_type", B.weekend_label(F.col("is_weekend"))))
-    return _finish(g, ["family_group", "income_level", "day_type"])
+    return _finish(g, ["family_group", "income_level", "day_type"], ordered)
 
 
-def family_holiday(wh: Warehouse) -> DataFrame:
+def family_holiday(wh: Warehouse, ordered: bool = True) -> DataFrame:
     """RQ3.3: by family group, income level and holiday / regular day."""
     g = (_family_base(wh).groupBy("family_group", "income_level", "is_holiday").agg(*_measures())
          .withColumn("day_type", B.holiday_label(F.col("is_holiday"))))
-    return _finish(g, ["family_group", "income_level", "day_type"])
+    return _finish(g, ["family_group", "income_level", "day_type"], ordered)
 
 
 def family_cuisine(wh: Warehouse) -> DataFrame:

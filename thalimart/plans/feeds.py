@@ -29,7 +29,7 @@ def _slug(label: str) -> str:
 def income_mix(wh: Warehouse) -> DataFrame:
     """Income segments by customer count (desc) with donut shares and a
     thousands-separated label."""
-    q = customer.income_frequency(wh)
+    q = customer.income_frequency(wh, ordered=False)
     total = F.sum("customer_count").over(Window.partitionBy())
     return (q.select("income_group", "customer_count",
                      percent(F.col("customer_count"), total).alias("share_pct"),
@@ -39,7 +39,7 @@ def income_mix(wh: Warehouse) -> DataFrame:
 
 def avg_orders_range(wh: Warehouse) -> DataFrame:
     """Axis range of average orders per customer across income groups."""
-    q = customer.income_frequency(wh)
+    q = customer.income_frequency(wh, ordered=False)
     return q.agg(F.min("avg_orders_per_customer").alias("min_avg_orders"),
                  F.max("avg_orders_per_customer").alias("max_avg_orders"))
 
@@ -52,13 +52,13 @@ def _pivot(q: DataFrame, row: str, col: str, labels: tuple[str, ...]) -> DataFra
 
 def cuisine_pivot_education(wh: Warehouse) -> DataFrame:
     """Heat map: top cuisine x education group, percentage."""
-    return _pivot(customer.cuisine_by_education(wh), "top_cuisine", "education_group",
+    return _pivot(customer.cuisine_by_education(wh, ordered=False), "top_cuisine", "education_group",
                   EDUCATION_GROUPS)
 
 
 def cuisine_pivot_income(wh: Warehouse) -> DataFrame:
     """Heat map: cuisine x income group, percentage."""
-    return _pivot(customer.cuisine_by_income(wh), "single_cuisine", "income_group", INCOME_GROUPS)
+    return _pivot(customer.cuisine_by_income(wh, ordered=False), "single_cuisine", "income_group", INCOME_GROUPS)
 
 
 def _box(q: DataFrame, keys: list[str]) -> DataFrame:
@@ -70,17 +70,17 @@ def _box(q: DataFrame, keys: list[str]) -> DataFrame:
 
 def aov_box_daytype(wh: Warehouse) -> DataFrame:
     """Box plot of segment AOV by weekday/weekend."""
-    return _box(family.family_daytype(wh), ["day_type"])
+    return _box(family.family_daytype(wh, ordered=False), ["day_type"])
 
 
 def aov_box_income_holiday(wh: Warehouse) -> DataFrame:
     """Box plot of segment AOV by income level x holiday/regular day."""
-    return _box(family.family_holiday(wh), ["income_level", "day_type"])
+    return _box(family.family_holiday(wh, ordered=False), ["income_level", "day_type"])
 
 
 def aov_weekday(wh: Warehouse) -> DataFrame:
     """Weekday rows only: mean AOV per family group x income level."""
-    q = family.family_daytype(wh).where(F.col("day_type") == "Weekday")
+    q = family.family_daytype(wh, ordered=False).where(F.col("day_type") == "Weekday")
     return (q.groupBy("family_group", "income_level")
             .agg(money_round(F.avg("avg_order_value"), 6).alias("mean_aov"))
             .orderBy("family_group", "income_level"))
@@ -88,7 +88,7 @@ def aov_weekday(wh: Warehouse) -> DataFrame:
 
 def aov_holiday(wh: Warehouse) -> DataFrame:
     """AOV per family group x holiday flag, averaged over income levels."""
-    q = family.family_holiday(wh)
+    q = family.family_holiday(wh, ordered=False)
     return (q.groupBy("family_group", "day_type")
             .agg(money_round(F.avg("avg_order_value"), 6).alias("mean_aov"))
             .orderBy("family_group", "day_type"))
@@ -111,6 +111,6 @@ def rating_vs_orders(wh: Warehouse) -> DataFrame:
 
 def festival_by_year(wh: Warehouse) -> DataFrame:
     """Line feed: best festival sales per year (mean over tied rows)."""
-    q = restaurant.festival_top(wh)
+    q = restaurant.festival_top(wh, ordered=False)
     return (q.groupBy("year").agg(money_round(F.avg("total_sales"), 6).alias("avg_total_sales"))
             .orderBy("year"))
