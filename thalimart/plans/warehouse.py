@@ -13,6 +13,7 @@ when a filtered date table is joined on the year).
 from __future__ import annotations
 
 import threading
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -54,6 +55,19 @@ def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     w.parquet(path)
 
 
+class _Phases:
+    """Optional wall-clock split of a build (seconds per phase)."""
+
+    def __init__(self, into: dict[str, float] | None):
+        self.into, self.t = into, time.perf_counter()
+
+    def mark(self, name: str) -> None:
+        now = time.perf_counter()
+        if self.into is not None:
+            self.into[name] = round(now - self.t, 3)
+        self.t = now
+
+
 def _in_parallel(tasks: dict) -> None:
     """Run independent write jobs from driver threads (Spark schedules
     concurrent jobs); re-raise the first failure."""
@@ -63,12 +77,15 @@ def _in_parallel(tasks: dict) -> None:
 
 
 def build_warehouse(spark: SparkSession, staging: Staging, root: str,
-                    location_strategy: str = "auto") -> Warehouse:
+                    location_strategy: str = "auto",
+                    phases: dict[str, float] | None = None) -> Warehouse:
     """Run the ETL and write every table under ``root``.
 
     The staging tables are written first: the order staging feeds both
     ``dim_date`` and the fact, and is computed once instead of twice."""
+    clock = _Phases(phases)
     staging = stage(spark, staging, root)
+    clock.mark("staging")
     builders = {"dim_date": lambda: etl.build_dim_date(staging.orders),
                 "dim_customer": lambda: etl.build_dim_customer(staging.users),
                 "dim_restaurant": lambda: etl.build_dim_restaurant(staging.restaurants),
@@ -77,14 +94,18 @@ def build_warehouse(spark: SparkSession, staging: Staging, root: str,
     _in_parallel({name: (lambda n=name: _write(builders[n](), f"{root}/{n}"))
                   for name in builders})
     out = {name: spark.read.parquet(f"{root}/{name}") for name in builders}
+    clock.mark("dimensions")
     wide = etl.build_fact_wide(staging.orders, out["dim_customer"], out["dim_restaurant"],
                                out["dim_location"], location_strategy)
     _write(wide, f"{root}/order_wide", partition_by="year")
+    clock.mark("fact")
     # key high-water mark for later incremental loads (one row)
     spark.read.parquet(f"{root}/order_wide").agg(
         F.coalesce(F.max("order_key"), F.lit(0)).alias("max_order_key")) \
         .write.mode("overwrite").parquet(f"{root}/order_key_hwm")
-    return open_warehouse(spark, root)
+    wh = open_warehouse(spark, root)
+    clock.mark("finish")
+    return wh
 
 
 STAGING_TABLES = ("users", "restaurants", "orders", "locations")
@@ -118,15 +139,19 @@ _LOCK = threading.Lock()
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 
 
-def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
+def warehouse_for(spark: SparkSession, sf_dir: str,
+                  phases: dict[str, float] | None = None) -> Warehouse:
     """Warehouse built from the test tables in ``sf_dir`` (once per Spark
     application; later calls reuse the written tables and the frames)."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
         wh = _BUILT.get(key)
         if wh is None:
+            t = time.perf_counter()
             staging = adapter_staging(spark, sf_dir)
+            if phases is not None:
+                phases["adapter"] = round(time.perf_counter() - t, 3)
             root = f"{checkpoint_root(spark)}/thalimart-wh-{uuid.uuid4().hex}"
-            wh = build_warehouse(spark, staging, root)
+            wh = build_warehouse(spark, staging, root, phases=phases)
             _BUILT[key] = wh
     return wh
