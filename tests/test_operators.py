@@ -124,3 +124,19 @@ def test_dense_key_small_path_equals_distributed(spark):
     a = {(r.v, r.k) for r in with_dense_key(df, order, "k").collect()}
     b = {(r.v, r.k) for r in with_dense_key(df, order, "k", small_rows=10_000).collect()}
     assert a == b and len(a) == 2000
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b"]),
+                          st.text(alphabet="xyz", min_size=1, max_size=3),
+                          st.integers(0, 5)), min_size=1, max_size=60, unique_by=lambda t: t[:2]))
+def test_two_stage_top_n_equals_brute_force(spark, rows):
+    from thalimart.operators.topk import top_n_per_group
+    df = spark.createDataFrame(rows, "g string, item string, n int")
+    got = sorted((r.g, r.item, r._rank) for r in top_n_per_group(
+        df, ["g"], [F.col("n").desc(), F.col("item").asc()], 3, salts=4).collect())
+    want = []
+    for g in {r[0] for r in rows}:
+        ranked = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1]))[:3]
+        want += [(g, item, i + 1) for i, (_, item, _) in enumerate(ranked)]
+    assert got == sorted(want)

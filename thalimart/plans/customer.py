@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import money_round, out_money, percent, safe_div
 from ..operators import cuisine as C
-from ..operators.topk import top_n_per_group
+from ..operators.topk import top_n_per_group, with_group_total
 from .warehouse import Warehouse
 
 
@@ -80,8 +80,10 @@ def cuisine_by_income(wh: Warehouse, ordered: bool = True) -> DataFrame:
                               F.explode(C.all_items(F.col("cuisine"))).alias("single_cuisine"))
     counts = items.groupBy("income_group", "income_group_order", "single_cuisine") \
         .agg(F.sum("n").cast("bigint").alias("order_count"))
-    share = percent(F.col("order_count"), F.sum("order_count").over(Window.partitionBy("income_group")))
-    ranked = top_n_per_group(counts.withColumn("percentage", share), ["income_group"],
+    shared = with_group_total(counts, ["income_group"], "order_count", "_group_total") \
+        .withColumn("percentage", percent(F.col("order_count"), F.col("_group_total"))) \
+        .drop("_group_total")
+    ranked = top_n_per_group(shared, ["income_group"],
                              [F.col("order_count").desc(), F.col("single_cuisine").asc()], 5)
     if ordered:
         ranked = ranked.orderBy("income_group_order", F.col("order_count").desc(),
