@@ -59,3 +59,17 @@ def test_location_match_strategy_switch(spark):
     large = _plan(first_substring_match(t, "city", p, "city", "k", max_broadcast=0))
     assert "BroadcastNestedLoopJoin" in small
     assert "BroadcastNestedLoopJoin" not in large
+
+
+def test_bounded_broadcast_only_within_bound(spark):
+    from pyspark.sql import functions as F
+
+    from thalimart.operators.broadcast import bounded_broadcast
+    big = spark.range(1000).withColumn("v", F.col("id") % 7)
+    small = spark.range(10).withColumnRenamed("id", "v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in _plan(big.join(bounded_broadcast(small, 100), "v"))
+        assert "BroadcastHashJoin" not in _plan(big.join(bounded_broadcast(small, 5), "v"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")

@@ -1,0 +1,15 @@
+"""Broadcast behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows (counted, one
+    small job); otherwise ``df`` unchanged, so the join planner (shuffle join
+    or AQE's runtime conversion) decides."""
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lenient import ntz_text
+from ..operators.broadcast import bounded_broadcast
 from .staging import LOCATION_COLS, ORDERS_COLS, RESTAURANT_COLS, USERS_COLS, Staging
 
 DATE_SHIFT_DAYS = 6940
@@ -75,8 +76,8 @@ def stg_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stg_restaurant(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _read(spark, sf_dir, "supplier")
-    # nation is the fixed 25-row TPC-H nation list: a bounded broadcast
-    n = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    # nation is the fixed 25-row TPC-H list; broadcast after the count check
+    n = bounded_broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     k = F.col("s_suppkey")
     city = (F.when(k % 19 == 0, "Nowhere")
             .otherwise(F.concat(F.lit("Area "), (k % 7).cast("string"), F.lit(","),
@@ -97,7 +98,7 @@ def stg_restaurant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stg_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = _read(spark, sf_dir, "nation")
-    r = F.broadcast(_read(spark, sf_dir, "region"))
+    r = bounded_broadcast(_read(spark, sf_dir, "region"))
     k = F.col("n_nationkey")
     state = F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(
         F.concat(F.lit("State "), (k % 5).cast("string")))
