@@ -40,19 +40,27 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """True when driver and executors are one process on one machine."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint dir already
-    set on the context). Only when neither is set - local tests and bench -
-    a fresh local folder is created and registered.
+    set on the context). When neither is set, a local master gets a fresh
+    local folder (tests, bench); any other master is refused, because every
+    executor would write to its own disk and later reads would miss files.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if not d:
-        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    d = d or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="thalimart-ckpt-")
-        sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
+        if not is_local(spark):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="thalimart-ckpt-"))
+        d = sc.getCheckpointDir()
     return d.rstrip("/")
