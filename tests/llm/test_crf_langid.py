@@ -45,7 +45,7 @@ def test_held_out_accuracy_and_code_switching(spark):
     rows = C.predict(docs, model, ("doc_id", "lang")).where(C.held_out(F.col("doc_id"))).collect()
     assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.98
     assert all(0 <= r.score <= 1 for r in rows)
-    text = {lang: duckdb.sql(f"select text from '/root/testdata/sf0.01/documents.parquet' where lang='{lang}' and n_chars between 900 and 4000 order by doc_id limit 1").fetchone()[0] for lang in ("en", "de")}
+    text = {lang: duckdb.sql(f"select text from '/root/testdata/sf0.01/documents.parquet' where lang='{lang}' and n_chars between 900 and 4000 order by doc_id limit 1").fetchall()[0][0] for lang in ("en", "de")}
     en, de = C.words(text["en"])[:40], C.words(text["de"])[:40]
     psi = C.Scorer(model).factors(en + de).astype(float)
     post = C.posteriors(psi, np.array([len(en) + len(de)]), np.exp(model.transition))

@@ -122,3 +122,13 @@ def test_planted_documents(spark):
     import duckdb
     rows = duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet' order by doc_id").fetchall()
     check(spark, [r[0] for r in rows])
+
+
+def test_representatives_keep_one_whole_row_of_each_class(spark):
+    schema = "doc_id long, text string, tid string, n int"
+    rows = [(5, "x y z a b c", "p", 1), (5, "x y z a b c", "q", 2), (6, "X y z a b c", "r", 3), (None, "x y z a b c", "s", 4),
+            (None, "other words here now five", "t", 5), (None, "other words here now five", "u", 6), (7, None, "v", 7), (7, None, "w", 8),
+            (8, None, "x", 9), (9, "", "y", 10), (10, "", "z", 11), (11, "alone", "a", 12)]
+    got = sorted((tuple(r) for r in D.representatives(spark.createDataFrame(rows, schema)).collect()), key=lambda r: r[3])
+    assert got == [rows[i] for i in (0, 4, 6, 8, 9, 11)]
+    assert D.representatives(spark.createDataFrame([], schema)).collect() == []

@@ -280,13 +280,15 @@ def _predict(model: Model, scorer: Scorer, texts: list[list[str]]) -> list[tuple
 _SCORERS: dict[int, tuple[Model, Scorer]] = {}
 
 
-def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and lang_pred, score. Only text is looked at."""
+def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",),
+            marks: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns and the language and its share, named ``marks``. Only
+    text is looked at."""
     kinds = [docs.schema[c] for c in keep]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds)
-    schema = f"{fields}, lang_pred string, score double"
+    schema = f"{fields}, `{marks[0]}` string, `{marks[1]}` double"
     if model is None:
-        return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*keep, F.lit(UNKNOWN).alias(marks[0]), F.lit(0.0).alias(marks[1]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +306,7 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([x[0] for x in found], pa.string()),
                  pa.array([x[1] for x in found], pa.float64())],
-                names=[*keep, "lang_pred", "score"])
+                names=[*keep, *marks])
 
     return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
 

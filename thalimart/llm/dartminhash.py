@@ -54,6 +54,8 @@ from .common import mix64, slices, written
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
+#: Stands for a null doc_id inside.
+NO_ID = -(1 << 63)
 #: Words handled at once and hashed words remembered per process.
 BATCH_WORDS, CACHE_WORDS = 300_000, 500_000
 
@@ -250,7 +252,7 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, row
     """(texts, links, components): texts has a row per input row with its text id
     tid; links the verified pairs of different texts; components v, root."""
     texts = docs.select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("tid"),
-                        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("did"), "text")
+                        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("did"), "text")
     table = written(signed(texts.where("text is not null"), bands, rows), "signatures")
     distinct = table.groupBy("tid").agg(F.first("n_runs").alias("n_runs"), F.first("bands").alias("bands"))
     rows_ = written(distinct.select("tid", "n_runs", F.explode("bands").alias("key")), "bands")
@@ -292,19 +294,46 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, row
     return texts, found, groups
 
 
+def _text_classes(texts: DataFrame, groups: DataFrame) -> DataFrame:
+    """tid, root and class_id (smallest doc_id of the class) of every text."""
+    doc_id = F.when(F.col("did") > NO_ID, F.col("did"))
+    roots = groups.select(F.col("v").alias("tid"), "root")
+    per_text = written(texts.where("tid is not null").groupBy("tid").agg(F.min(doc_id).alias("id"))
+                       .join(roots, "tid", "left")
+                       .select("tid", F.coalesce("root", "tid").alias("root"), "id"), "texts")
+    best = per_text.groupBy("root").agg(F.min("id").alias("class_id"))
+    return per_text.join(best, "root").select("tid", "root", "class_id")
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, class_id (smallest doc_id of its class) and kept (the row carries
     that id), a row per row of ``docs``. A null text is a class of its own per
     doc_id."""
     texts, _, groups = links(docs, threshold, bands, rows)
-    null_id = F.when(F.col("did") > -(1 << 63), F.col("did"))
-    ids = texts.select("tid", null_id.alias("doc_id"))
-    roots = groups.select(F.col("v").alias("tid"), "root")
-    per_text = written(ids.where("tid is not null").groupBy("tid").agg(F.min("doc_id").alias("id"))
-                       .join(roots, "tid", "left")
-                       .select("tid", F.coalesce("root", "tid").alias("root"), "id"), "texts")
-    best = per_text.groupBy("root").agg(F.min("id").alias("class_id"))
-    final = per_text.join(best, "root").select("tid", "class_id")
-    out = ids.join(final, "tid", "left").select(
+    ids = texts.select("tid", F.when(F.col("did") > NO_ID, F.col("did")).alias("doc_id"))
+    out = ids.join(_text_classes(texts.select("tid", "did"), groups), "tid", "left").select(
         "doc_id", F.when(F.col("tid").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)))
+
+
+def representatives(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """The rows of ``docs`` that stay, one per class, all columns unchanged: the
+    class's smallest doc_id (null last), then the smallest text id. Rows that
+    repeat such an id and text are told apart by a row number. Null texts are
+    copies of each other only under one doc_id."""
+    texts, _, groups = links(docs, threshold, bands, rows)
+    marked = texts.select("tid", "did").groupBy("tid", "did").agg(F.count(F.lit(1)).alias("n"))
+    final = _text_classes(texts.select("tid", "did"), groups)
+    no_id_last = F.when(F.col("did") == NO_ID, F.lit((1 << 63) - 1)).otherwise(F.col("did"))
+    stay = (marked.where("tid is not null").join(final, "tid")
+            .groupBy("root").agg(F.min(F.struct(no_id_last.alias("o"), "tid", "did", "n")).alias("m"))
+            .select("m.tid", "m.did", "m.n"))
+    stay = written(stay.unionByName(marked.where("tid is null")), "representatives")
+    key = docs.withColumns({"__tid": F.unhex(F.md5(F.col("text").cast("binary"))),
+                            "__did": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))})
+    some = stay.select(F.col("tid").alias("__t"), F.col("did").alias("__d"), F.col("n").alias("__n"))
+    kept = key.join(some, F.col("__tid").eqNullSafe(F.col("__t")) & (F.col("__did") == F.col("__d")))
+    once = kept.where("__n = 1").select(*docs.columns)
+    again = kept.where("__n > 1")
+    first = again.groupBy("__tid", "__did").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
+    return once.unionByName(first.select("__row.*"))

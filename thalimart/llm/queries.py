@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_stream, crf_langid, dartminhash
+from . import bpe_stream, crf_langid, dartminhash, decontaminate
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op6_streaming_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id, n_windows, matched, verbatim of every leaked item."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id, kept of every document."""
     return dartminhash.classes(table(spark, sf_dir, "documents"))
@@ -34,6 +39,7 @@ def op9_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op5_language_crf": op5_language_crf,
     "op6_streaming_bpe": op6_streaming_bpe,
+    "op7_template_leaks": op7_template_leaks,
     "op9_dartminhash": op9_dartminhash,
 }
 
