@@ -6,13 +6,41 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_stream, crf_langid, dartminhash, decontaminate
-from .common import table
+from . import (bpe_stream, crf_langid, dartminhash, decontaminate, hilbert, license_scan, orc_tokens,
+               rp_forest, url_templates, warc_arc)
+from .common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to (and the
+    record's id, target and date) of every page, from the WARC files."""
+    return warc_arc.archive(table(spark, sf_dir, "pages"), scratch(spark, "archives"))
+
+
+def op2_forest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score: 20 neighbours of every twentieth vector."""
+    return rp_forest.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+#: The list's rules, in no order: the longest that fits decides.
+URL_RULES = [url_templates.Rule(verdict, text) for verdict, text in (
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))]
+
+
+def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict (and template, block_share) of every page."""
+    return url_templates.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, license, containment, first_word of every notice found."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -31,16 +59,34 @@ def op7_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, from the ORC files."""
+    path = scratch(spark, "orc-tokens")
+    orc_tokens.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return orc_tokens.digests(spark, path)
+
+
 def op9_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id, kept of every document."""
     return dartminhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document."""
+    return hilbert.sharded(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_arc_to_warc": op1_arc_to_warc,
+    "op2_forest_neighbours": op2_forest_neighbours,
+    "op3_url_templates": op3_url_templates,
+    "op4_license_scan": op4_license_scan,
     "op5_language_crf": op5_language_crf,
     "op6_streaming_bpe": op6_streaming_bpe,
     "op7_template_leaks": op7_template_leaks,
+    "op8_orc_tokens": op8_orc_tokens,
     "op9_dartminhash": op9_dartminhash,
+    "op10_hilbert_shards": op10_hilbert_shards,
 }
 
 SQL: dict[str, str] = {}
