@@ -69,7 +69,7 @@ def main(argv: list[str]) -> int:
     from __spark_entry__ import oracle_sql
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     keys = argv[1:] or list(oracle_sql())
-    spark = build_session()
+    spark = build_session(master="local[8]", shuffle_partitions=8)
     con = duck(sf_dir)
     bad = 0
     for k in keys:

@@ -202,4 +202,48 @@ def test_blank_cells_as_empty_text(spark, tmp_path):
     rest = {r.restaurant_id_nat: r for r in build_dim_restaurant(st.restaurants).collect()}
     assert rest["15"].rating == 0.0 and rest["12"].cuisine == ""
     qty = {r.order_nk: r.sales_qty for r in staged_fact_rows(st.orders).collect()}
-    assert qty["5|10|2024-03-02 00:00:00|INR||10.0000"] == 0
+    assert qty["5|10|2024-03-02 00:00:00|INR||10.0"] == 0
+
+
+def test_no_cap_drops_orders(spark, tmp_path):
+    """Ids over 2^31, amounts that differ in the fifth decimal, tiny and huge
+    amounts, unequal texts and equal numbers in different spellings."""
+    from thalimart.plans import etl, quality
+    users = "user_id,name,email,age,gender,Family size,Monthly Income,Educational qualifications\n3000000000,A,a@x,1,F,1,,\n"
+    rests = "id,name,city,rating,cuisine\n5000000000,R,Pune,1,X\n"
+    cells = [("1", "10.00001"), ("1", "10.00002"), ("1", "0.00004"), ("1", "1000000000000000"), ("1", "1e30"), ("1.0", "7"),
+             ("1", "7.0"), ("1", "12abc"), ("1", "12xyz"), ("1", "--"), ("4000000000", "3"), ("1", "-0.5")]
+    orders = "user_id,r_id,order_date,sales_qty,sales_amount,currency\n" + "".join(
+        f"3000000000,5000000000,2018-01-01 00:00:00,{q},{a},INR\n" for q, a in cells)
+    for name, text in (("u", users), ("r", rests), ("o", orders), ("l", LOCATIONS)):
+        (tmp_path / f"{name}.csv").write_text(text)
+    st = read_csv_staging(spark, *(str(tmp_path / f"{n}.csv") for n in "urol"))
+    built = build_warehouse(spark, st, str(tmp_path / "w"))
+    got = sorted((r.order_nk.split("|")[4:], r.sales_qty, float(r.sales_amount)) for r in built.fact.collect())
+    assert got == [(["1", "-0.5"], 1, -0.5), (["1", "0.00004"], 1, 0.00004), (["1", "10.00001"], 1, 10.00001),
+                   (["1", "10.00002"], 1, 10.00002), (["1", "1000000000000000.0"], 1, 1e15), (["1", "12abc"], 1, 12.0),
+                   (["1", "12xyz"], 1, 12.0), (["1", "7.0"], 1, 7.0), (["4000000000", "3.0"], 4000000000, 3.0)]
+    assert quality.rejected_amounts(built).collect()[0][0] == 1
+    assert quality.negative_amounts(built).collect()[0][0] == 1
+    assert etl.staged_fact_rows(st.orders).count() == len(cells)
+
+
+def test_orphans_count_null_keys(wh):
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from thalimart.plans import quality
+    bad = replace(wh, orders=wh.orders.withColumns({
+        "customer_key": F.when(F.col("sales_qty") == 2, F.lit(None)).otherwise(F.col("customer_key")),
+        "restaurant_key": F.lit(99).cast("bigint"), "location_key": F.lit(None).cast("bigint")}))
+    n, two = wh.orders.count(), wh.orders.where("sales_qty = 2").count()
+    rows = {r.check_name: r.rows for r in quality.fk_orphans(bad).collect()}
+    assert two > 0 and rows == {"date_fk_orphans": 0, "customer_fk_orphans": two, "restaurant_fk_orphans": n, "location_fk_orphans": 0}
+
+
+def test_missing_date_has_no_text(spark):
+    from thalimart.functions.lenient import iso_timestamp, ntz_text
+    from pyspark.sql import functions as F
+    row = spark.createDataFrame([("bad",)], "d string").select(ntz_text(iso_timestamp(F.col("d"))).alias("t")).first()
+    assert row.t is None

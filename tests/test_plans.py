@@ -51,25 +51,46 @@ def test_customer_grain_before_join(wh):
     assert "partial_count(order_key" in below
 
 
-def test_location_match_strategy_switch(spark):
+def test_location_match_is_an_equi_join(spark):
     from thalimart.operators.substring_match import first_substring_match
     t = spark.createDataFrame([("Baner,PUNE",)], "city string")
     p = spark.createDataFrame([("Pune", 1)], "city string, k long")
-    small = _plan(first_substring_match(t, "city", p, "city", "k", max_broadcast=10))
-    large = _plan(first_substring_match(t, "city", p, "city", "k", max_broadcast=0))
-    assert "BroadcastNestedLoopJoin" in small
-    assert "BroadcastNestedLoopJoin" not in large
-
-
-def test_bounded_broadcast_only_within_bound(spark):
-    from pyspark.sql import functions as F
-
-    from thalimart.operators.broadcast import bounded_broadcast
-    big = spark.range(1000).withColumn("v", F.col("id") % 7)
-    small = spark.range(10).withColumnRenamed("id", "v")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in _plan(big.join(bounded_broadcast(small, 100), "v"))
-        assert "BroadcastHashJoin" not in _plan(big.join(bounded_broadcast(small, 5), "v"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+    plan = _plan(first_substring_match(t, "city", p, "city", "k"))
+    assert "BroadcastNestedLoopJoin" not in plan and "Cartesian" not in plan
+
+
+def test_existing_facts_are_pruned_by_the_batch(wh):
+    from thalimart.plans.incremental import existing_keys
+    batch = wh.orders.where("year = 2016 AND month = 3").select("date_key")
+    scan = [x for x in _plan(existing_keys(wh.orders, batch)).splitlines() if "FileScan parquet" in x][0]
+    part = scan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "2016" in part and "GreaterThanOrEqual(date_key,201603" in scan and "cuisine" not in scan
+
+
+def test_top_n_limits_groups_before_the_shuffle(wh):
+    assert "WindowGroupLimit" in _plan(QUERIES["rq1_4_cuisine_by_income"](wh))
+
+
+def test_checks_scan_the_fact_once(wh):
+    # the fact is the only table whose scan carries the partition column
+    for key in ("qa_fk_orphans", "dq_unique_keys"):
+        scans = [x for x in _plan(QUERIES[key](wh)).splitlines() if "FileScan parquet" in x]
+        assert len([x for x in scans if ",year#" in x.split("]")[0]]) == 1, key
+
+
+def test_machine_local_scratch_is_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    from thalimart.session import checkpoint_root
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None,
+                         getConf=lambda: SimpleNamespace(get=lambda k: None))
+    with pytest.raises(RuntimeError):
+        checkpoint_root(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d)))
+
+
+def test_build_leaves_no_scratch_tables(wh):
+    spark = wh.orders.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(wh.root)
+    names = {s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)}
+    assert names - {"_tmp"} == {"dim_customer", "dim_date", "dim_location", "dim_restaurant", "order_wide",
+                                "stg_locations", "stg_orders", "stg_restaurants", "stg_users"}

@@ -7,6 +7,10 @@
     python -m thalimart sql WAREHOUSE_DIR "SELECT ... FROM fact_order ..." [--out PATH]
     python -m thalimart list
 
+``--master`` runs without spark-submit (for example ``--master local[4]``); under
+spark-submit the cluster's own settings hold. Intermediate tables of a build go
+under WAREHOUSE_DIR.
+
 Without ``--out`` the first rows are printed; with it the whole result is
 written by the executors (nothing is collected to the driver).
 """
@@ -14,7 +18,6 @@ written by the executors (nothing is collected to the driver).
 from __future__ import annotations
 
 import argparse
-import os
 import sys
 
 from pyspark.sql import DataFrame
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame
 
 def _session(master: str | None):
     from .session import build_session
-    return build_session(master=master or os.environ.get("THALIMART_MASTER", "local[*]"))
+    return build_session(master=master)
 
 
 def _emit(df: DataFrame, out: str | None, fmt: str) -> None:

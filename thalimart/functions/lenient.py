@@ -14,21 +14,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType
+from pyspark.sql.types import DataType, IntegralType, NumericType
 
 _INT_PREFIX = r"^[+-]?[0-9]+"
 _REAL_PREFIX = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 
 
 def lenient_int(c: Column, dtype: DataType | None = None) -> Column:
-    """INTEGER cast with prefix parsing; NULL in, NULL out."""
+    """INTEGER cast (64 bits) with prefix parsing; NULL in, NULL out."""
     if dtype is not None and isinstance(dtype, NumericType):
-        return c.try_cast("bigint").try_cast("int")
+        return c.try_cast("bigint")
     s = F.trim(c.cast("string"))
     head = F.regexp_extract(s, _INT_PREFIX, 0)
-    return (F.when(c.isNull(), F.lit(None).cast("int"))
-            .when(head == "", F.lit(0))
-            .otherwise(head.try_cast("int")))
+    return (F.when(c.isNull(), F.lit(None).cast("bigint"))
+            .when(head == "", F.lit(0).cast("bigint"))
+            .otherwise(head.try_cast("bigint")))
 
 
 def lenient_double(c: Column, dtype: DataType | None = None) -> Column:
@@ -57,6 +57,41 @@ def integer_text(c: Column, dtype: DataType | None = None) -> Column:
     return F.trim(lenient_int(c, dtype).cast("string"))
 
 
+def plain_number(d: Column) -> Column:
+    """A double as decimal text without exponent: at least one digit after the
+    point, no other trailing zeros (``250.0``, ``0.00004``). Beyond the range of
+    38 digits the double's own text."""
+    exact = d.try_cast("decimal(38,18)")
+    digits = F.regexp_replace(exact.cast("string"), "0+$", "")
+    text = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    return F.when(exact.cast("double") == d, text).otherwise(d.cast("string"))
+
+
+def _number(c: Column, dtype: DataType | None) -> Column:
+    """The cell's value if the whole cell is a number, else NULL."""
+    if dtype is not None and isinstance(dtype, NumericType):
+        return c.cast("double")
+    s = F.trim(c.cast("string"))
+    return F.when(s.rlike(_REAL_PREFIX + "$"), s.try_cast("double"))
+
+
+def real_text(c: Column, dtype: DataType | None = None) -> Column:
+    """Text of a cell in a REAL column: a number in one form (``1`` and ``1.0``
+    are the same cell), anything else as it stands."""
+    n = _number(c, dtype)
+    return F.when(n.isNull(), F.trim(c.cast("string"))).otherwise(plain_number(n))
+
+
+def whole_text(c: Column, dtype: DataType | None = None) -> Column:
+    """Text of a cell in an INTEGER column: whole numbers without a point
+    (``1.0`` is the cell ``1``), other numbers and texts as in a REAL column."""
+    if dtype is not None and isinstance(dtype, IntegralType):
+        return c.cast("string")
+    n = _number(c, dtype)
+    whole = (n == F.floor(n)) & (F.abs(n) < F.lit(9e18))
+    return F.when(whole, n.try_cast("bigint").cast("string")).otherwise(real_text(c, dtype))
+
+
 def raw_text(c: Column) -> Column:
     """``CAST(x AS TEXT)``: the dimension-side natural key form (no normalising)."""
     return c.cast("string")
@@ -66,8 +101,9 @@ def ntz_text(ts: Column) -> Column:
     """``strftime('%Y-%m-%d %H:%M:%S')`` of a TIMESTAMP_NTZ, built from its
     fields: ``date_format`` would pass the value through the session time zone
     and move wall-clock times inside a daylight-saving gap."""
-    return F.format_string("%04d-%02d-%02d %02d:%02d:%02d", F.year(ts), F.month(ts),
+    text = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", F.year(ts), F.month(ts),
                            F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts))
+    return F.when(ts.isNotNull(), text)
 
 
 def date_text(d: Column) -> Column:

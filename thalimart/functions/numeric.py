@@ -1,7 +1,7 @@
 """Money and ratio arithmetic that gives the same digits on every engine.
 
 Rules (see README "Numeric rules"):
-* money is stored as DECIMAL(18,4) so SUM is exact and independent of
+* money is stored as DECIMAL(28,10) so SUM is exact and independent of
   partitioning; sums are cast to DOUBLE only at output;
 * a double ratio is never rounded directly: it goes through DECIMAL(38,8)
   first, which removes binary noise before the half-up rounding;
@@ -14,11 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,4)"
-
-
-def money(c: Column) -> Column:
-    return c.cast(MONEY)
+MONEY = "decimal(28,10)"
 
 
 def out_money(c: Column) -> Column:

@@ -2,17 +2,12 @@
 folded), keeping the smallest pattern key per text.
 
 Always run at the grain of *distinct texts* (e.g. distinct restaurant cities),
-never per fact row. Two exact strategies:
-
-* ``broadcast``: a nested-loop join against the broadcast pattern table. Used
-  only when the pattern table was counted and is at most ``max_broadcast``
-  rows, so the broadcast size is checked, not assumed.
-* ``grams``: an equi-join on short substrings. Each pattern is keyed by its
-  first ``k`` folded characters (whole pattern if shorter); each text emits
-  its distinct substrings of length 0..k. Every pattern that occurs in a text
-  shares its key with one of those substrings, so the equi-join finds every
-  candidate and the ``contains`` check then keeps exactly the true matches.
-  Work grows with text length x k, not with texts x patterns.
+never per fact row, as an equi-join: every pattern is one key (its smallest key
+per folded pattern), and every text emits its distinct substrings of the lengths
+that patterns have. A pattern occurs in a text exactly when it equals one of
+those substrings, so nothing is left to verify, no pattern meets a text that
+does not hold it, and work grows with text length x pattern lengths, not with
+texts x patterns.
 """
 
 from __future__ import annotations
@@ -22,8 +17,6 @@ from pyspark.sql import functions as F
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
-DEFAULT_MAX_BROADCAST = 50_000
-GRAM = 3
 
 
 def ascii_fold(c: Column) -> Column:
@@ -32,35 +25,18 @@ def ascii_fold(c: Column) -> Column:
 
 
 def first_substring_match(texts: DataFrame, text_col: str, patterns: DataFrame,
-                          pattern_col: str, key_col: str, strategy: str = "auto",
-                          max_broadcast: int = DEFAULT_MAX_BROADCAST) -> DataFrame:
+                          pattern_col: str, key_col: str) -> DataFrame:
     """Return ``(text_col, key_col)``: for every distinct non-null text with at
     least one matching pattern, the smallest matching pattern key."""
+    keys = (patterns.where(F.col(pattern_col).isNotNull())
+            .groupBy(ascii_fold(F.col(pattern_col)).alias("_piece")).agg(F.min(key_col).alias("_k")))
+    # one row per distinct pattern length: bounded by the longest pattern
+    lengths = [r[0] for r in keys.select(F.length("_piece").alias("n")).distinct().collect()]
+    fold = ascii_fold(F.col(text_col))
+    pieces = F.expr(
+        "array_distinct(flatten(transform(_lengths, m -> transform("
+        "sequence(1, greatest(length(_fold) - m + 1, 1)), i -> substring(_fold, i, m)))))")
     t = (texts.select(text_col).where(F.col(text_col).isNotNull()).distinct()
-         .withColumn("_t_fold", ascii_fold(F.col(text_col))))
-    p = (patterns.select(F.col(pattern_col).alias("_p"), F.col(key_col).alias("_k"))
-         .where(F.col("_p").isNotNull())
-         .withColumn("_p_fold", ascii_fold(F.col("_p"))))
-    if strategy == "auto":
-        strategy = "broadcast" if p.count() <= max_broadcast else "grams"
-    if strategy == "broadcast":
-        cand = t.join(F.broadcast(p), F.col("_t_fold").contains(F.col("_p_fold")))
-    elif strategy == "grams":
-        cand = _gram_candidates(t, p).where(F.col("_t_fold").contains(F.col("_p_fold")))
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return cand.groupBy(text_col).agg(F.min("_k").alias(key_col))
-
-
-def _gram_candidates(t: DataFrame, p: DataFrame) -> DataFrame:
-    pk = p.withColumn("_g_len", F.least(F.length("_p_fold"), F.lit(GRAM))) \
-          .withColumn("_gram", F.substring("_p_fold", 1, GRAM))
-    # all distinct substrings of length 0..GRAM of the folded text
-    grams = F.expr(
-        f"array_distinct(flatten(transform(sequence(0, {GRAM}), m -> "
-        f"transform(sequence(1, greatest(length(_t_fold) - m + 1, 1)), "
-        f"i -> named_struct('l', m, 'g', substring(_t_fold, i, m))))))")
-    tk = (t.select(*t.columns, F.explode(grams).alias("_tg"))
-          .select(*t.columns, F.col("_tg.l").alias("_g_len"), F.col("_tg.g").alias("_gram"))
-          .where(F.length("_gram") == F.col("_g_len")))
-    return tk.join(pk, ["_g_len", "_gram"])
+         .select(text_col, fold.alias("_fold"), F.array(*map(F.lit, sorted(lengths))).cast("array<int>").alias("_lengths"))
+         .select(text_col, F.explode(pieces).alias("_piece")))
+    return t.join(keys, "_piece").groupBy(text_col).agg(F.min("_k").alias(key_col))

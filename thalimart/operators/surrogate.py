@@ -19,11 +19,8 @@ Instead:
 5. the offsets (bounded by the partition count, so safe to broadcast) are
    joined back and added to the in-partition position.
 
-Callers whose input is usually small (dimensions) may pass ``small_rows``:
-the rows are counted first and, when the count is within that bound, a plain
-``row_number`` window numbers them in one task - the count is the size check.
-Above the bound, or without one (the fact: counting would cost a full extra
-pass), the distributed path runs.
+The tagged table goes under ``scratch`` (by default the shared checkpoint
+folder); a caller that writes the result removes it afterwards.
 """
 
 from __future__ import annotations
@@ -44,17 +41,14 @@ _POS_BITS = 33
 
 
 def with_dense_key(df: DataFrame, order_by: Sequence[Column], name: str,
-                   first: bool = True, small_rows: int | None = None) -> DataFrame:
-    """Add ``name`` (bigint, 1..n) following ``order_by``; ``order_by`` must be
-    a total order over the rows for the numbering to be reproducible.
+                   scratch: str | None = None, after: int = 0) -> DataFrame:
+    """Add ``name`` (bigint, ``after`` + 1 .. n) as the first column, following
+    ``order_by``, which must be a total order over the rows for the numbering to
+    be reproducible.
 
     Runs the sort and the write of the tagged rows eagerly."""
-    if small_rows is not None and df.count() <= small_rows:
-        numbered = F.row_number().over(Window.orderBy(*order_by)).cast("bigint")
-        out = df.withColumn(name, numbered)
-        return out.select(name, *df.columns) if first else out
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/thalimart-keys-{name}-{uuid.uuid4().hex}"
+    path = f"{scratch or checkpoint_root(spark)}/thalimart-keys-{name}-{uuid.uuid4().hex}"
     (df.orderBy(*order_by).withColumn(_ID, F.monotonically_increasing_id())
      .write.mode("overwrite").parquet(path))
     tagged = spark.read.parquet(path)
@@ -64,8 +58,6 @@ def with_dense_key(df: DataFrame, order_by: Sequence[Column], name: str,
     offsets = counts.select(_PART, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
     pos = F.col(_ID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     keyed = (tagged.join(F.broadcast(offsets), part == F.col(_PART))
-             .withColumn(name, (F.col(_OFF) + pos + F.lit(1)).cast("bigint"))
+             .withColumn(name, (F.col(_OFF) + pos + F.lit(1 + after)).cast("bigint"))
              .drop(_ID, _PART, _OFF))
-    if first:
-        return keyed.select(name, *df.columns)
-    return keyed
+    return keyed.select(name, *df.columns)

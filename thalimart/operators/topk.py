@@ -8,26 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-TOPN_SALTS = 32
-
-
 def top_n_per_group(df: DataFrame, group_cols: Sequence[str], order_by: Sequence[Column],
-                    n: int, rank_col: str = "_rank", salts: int = TOPN_SALTS) -> DataFrame:
+                    n: int, rank_col: str = "_rank") -> DataFrame:
     """Rows ranked 1..n inside each group (``order_by`` must be total, so ties
-    resolve the same way everywhere).
-
-    Two exact stages, so no task ever holds a whole group: rows are spread
-    over ``salts`` buckets per group by a hash of the row, each bucket keeps
-    its own top n, and only those (at most ``salts * n`` per group) are ranked
-    per group. Every row of a group's top n is in the top n of its bucket.
+    resolve the same way everywhere). The rank filter becomes a group limit
+    before the shuffle (``WindowGroupLimit``): a task passes on at most n rows
+    of a group.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
-    by_bucket = Window.partitionBy(*group_cols, "_topn_salt").orderBy(*order_by)
-    survivors = (df.withColumn("_topn_salt", salt)
-                 .withColumn("_topn_r", F.row_number().over(by_bucket))
-                 .where(F.col("_topn_r") <= n).drop("_topn_salt", "_topn_r"))
     w = Window.partitionBy(*group_cols).orderBy(*order_by)
-    return survivors.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
+    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
 
 
 def with_group_total(df: DataFrame, group_cols: Sequence[str], value_col: str,

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import business, customer, family, feeds, incremental, quality, restaurant
+from . import business, customer, family, feeds, incremental, quality, restaurant, roundtrip, views
 from .etl import FACT_COLS
 from .warehouse import Warehouse
 
@@ -53,6 +53,12 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "etl_dim_location": lambda wh: wh.dim_location,
     "etl_fact_order": lambda wh: _fact_out(wh.fact),
     "etl_fact_incremental": lambda wh: _fact_out(incremental.fact_in_two_batches(wh)),
+    "etl_dim_incremental": incremental.customers_in_two_batches,
+    "etl_location_repatch": incremental.locations_in_two_batches,
+    "stg_csv_roundtrip": roundtrip.staging_through_csv,
+    "v_stg_orders_nk": views.stg_orders_nk,
+    "v_new_dates": views.new_dates,
+    "v_fact_load": views.fact_load,
     # QA and data quality
     "qa_row_counts": quality.row_counts,
     "qa_fk_orphans": quality.fk_orphans,
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "dq_negative_amounts": quality.negative_amounts,
     "dq_null_keys": quality.null_keys,
     "dq_unique_keys": quality.unique_keys,
+    "dq_rejected_amounts": quality.rejected_amounts,
     # chart feeds
     "feed_income_mix": feeds.income_mix,
     "feed_avg_orders_range": feeds.avg_orders_range,

@@ -22,7 +22,13 @@ the fact again to join a large dimension. ``fact_order`` is a projection.
 Divergences chosen (documented in README): an unparseable date produces no
 ``dim_date`` row (the source gains an auto-numbered junk row no order can
 reference); keys are numbered in natural-key order (the source numbers in
-load order); amounts are DECIMAL(18,4).
+load order); amounts are kept as DECIMAL(28,10) beside the rules, which look
+at the uncut value: the natural key holds the cell's own text, and the delete
+compares the REAL amount. An amount that DECIMAL(28,10) cannot hold (1e18 and
+more, after conversion) is rejected and counted, see ``rejected_amounts``.
+
+Every key assignment is one distributed numbering of narrow rows; attributes
+are joined after it.
 """
 
 from __future__ import annotations
@@ -34,17 +40,13 @@ from pyspark.sql import functions as F
 
 from ..functions import buckets as B
 from ..functions.lenient import (date_text, integer_text, iso_timestamp, lenient_double,
-                                 lenient_int, ntz_text, raw_text)
+                                 lenient_int, ntz_text, raw_text, real_text, whole_text)
 from ..functions.numeric import MONEY
 from ..operators.dedup import first_per_key
 from ..operators.substring_match import first_substring_match
 from ..operators.surrogate import with_dense_key
 from ..sources.staging import Staging
 
-# dimensions up to this many rows are numbered by a single-task window after
-# a count check; larger ones use the distributed dense-key path
-SMALL_DIMENSION_ROWS = 1_000_000
-
 DIM_DATE_COLS = ["date_key", "date_iso", "year", "quarter", "month", "month_name", "day",
                  "dow", "is_weekend"]
 DIM_CUSTOMER_COLS = ["customer_key", "user_id_nat", "name", "email", "age", "gender",
@@ -55,6 +57,15 @@ DIM_RESTAURANT_COLS = ["restaurant_key", "restaurant_id_nat", "name", "city", "r
 DIM_LOCATION_COLS = ["location_key", "location_nk", "country", "state", "city"]
 FACT_COLS = ["order_key", "order_nk", "date_key", "customer_key", "restaurant_key",
              "sales_qty", "sales_amount", "currency", "location_key"]
+
+
+WIDE_SCHEMA = f"""order_key bigint, order_nk string, date_key int, customer_key bigint, restaurant_key bigint,
+sales_qty bigint, sales_amount {MONEY}, currency string, location_key bigint, date_iso string, quarter int, month int,
+month_name string, day int, dow int, is_weekend int, is_holiday int, income_group string, income_group_order int,
+education_group string, education_group_order int, family_size int, restaurant_name string, restaurant_city string,
+rating double, cuisine string, loc_country string, loc_state string, loc_city string, year int"""
+
+
 def _dtype(df: DataFrame, name: str):
     return df.schema[name].dataType
 
@@ -92,13 +103,14 @@ def build_dim_date(orders: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ dim_customer
-def build_dim_customer(users: DataFrame) -> DataFrame:
+def customer_rows(users: DataFrame) -> DataFrame:
+    """Customers without their key: the first staged row of every user id."""
     rows = users.select(
         raw_text(F.col("user_id")).alias("user_id_nat"),
         "name", "email",
-        lenient_int(F.col("age"), _dtype(users, "age")).alias("age"),
+        lenient_int(F.col("age"), _dtype(users, "age")).try_cast("int").alias("age"),
         "gender",
-        lenient_int(F.col("family_size"), _dtype(users, "family_size")).alias("family_size"),
+        lenient_int(F.col("family_size"), _dtype(users, "family_size")).try_cast("int").alias("family_size"),
         F.col("monthly_income").alias("monthly_income_raw"),
         F.col("education").alias("education_raw"),
         "ingest_seq",
@@ -106,32 +118,43 @@ def build_dim_customer(users: DataFrame) -> DataFrame:
     first = first_per_key(rows, ["user_id_nat"], ["ingest_seq"]).drop("ingest_seq")
     inc = B.income_group(F.col("monthly_income_raw"))
     edu = B.education_group(F.col("education_raw"))
-    enriched = (first.withColumn("income_group", inc)
-                .withColumn("income_group_order", B.income_group_order(F.col("income_group")))
-                .withColumn("education_group", edu)
-                .withColumn("education_group_order",
-                            B.education_group_order(F.col("education_group"))))
-    keyed = with_dense_key(enriched, _numeric_then_text(F.col("user_id_nat")), "customer_key",
-                           small_rows=SMALL_DIMENSION_ROWS)
-    return keyed.select(*DIM_CUSTOMER_COLS)
+    return (first.withColumn("income_group", inc)
+            .withColumn("income_group_order", B.income_group_order(F.col("income_group")))
+            .withColumn("education_group", edu)
+            .withColumn("education_group_order", B.education_group_order(F.col("education_group"))))
+
+
+def key_customers(rows: DataFrame, scratch: str | None = None, after: int = 0) -> DataFrame:
+    return with_dense_key(rows, _numeric_then_text(F.col("user_id_nat")), "customer_key",
+                          scratch, after).select(*DIM_CUSTOMER_COLS)
+
+
+def build_dim_customer(users: DataFrame, scratch: str | None = None) -> DataFrame:
+    return key_customers(customer_rows(users), scratch)
 
 
 # ---------------------------------------------------------- dim_restaurant
-def build_dim_restaurant(restaurants: DataFrame) -> DataFrame:
+def restaurant_rows(restaurants: DataFrame) -> DataFrame:
     rows = restaurants.select(
         raw_text(F.col("id")).alias("restaurant_id_nat"),
         "name", "city",
         lenient_double(F.col("rating"), _dtype(restaurants, "rating")).alias("rating"),
         "cuisine", "ingest_seq",
     ).where(F.col("restaurant_id_nat").isNotNull())
-    first = first_per_key(rows, ["restaurant_id_nat"], ["ingest_seq"]).drop("ingest_seq")
-    keyed = with_dense_key(first, _numeric_then_text(F.col("restaurant_id_nat")), "restaurant_key",
-                           small_rows=SMALL_DIMENSION_ROWS)
-    return keyed.select(*DIM_RESTAURANT_COLS)
+    return first_per_key(rows, ["restaurant_id_nat"], ["ingest_seq"]).drop("ingest_seq")
+
+
+def key_restaurants(rows: DataFrame, scratch: str | None = None, after: int = 0) -> DataFrame:
+    return with_dense_key(rows, _numeric_then_text(F.col("restaurant_id_nat")), "restaurant_key",
+                          scratch, after).select(*DIM_RESTAURANT_COLS)
+
+
+def build_dim_restaurant(restaurants: DataFrame, scratch: str | None = None) -> DataFrame:
+    return key_restaurants(restaurant_rows(restaurants), scratch)
 
 
 # ------------------------------------------------------------ dim_location
-def build_dim_location(locations: DataFrame) -> DataFrame:
+def location_rows(locations: DataFrame) -> DataFrame:
     """Distinct (country, state, city); the key text prints a NULL state as ''
     so a NULL and an empty state collide - the NULL one (sorted first) wins."""
     rows = (locations.where(F.col("country").isNotNull() & F.col("city").isNotNull())
@@ -140,22 +163,26 @@ def build_dim_location(locations: DataFrame) -> DataFrame:
                                                    F.coalesce(F.col("state"), F.lit("")),
                                                    F.col("city")))
             .withColumn("_state_rank", F.when(F.col("state").isNull(), 0).otherwise(1)))
-    first = first_per_key(rows.select("location_nk", "_state_rank", "country", "state", "city"),
-                          ["location_nk"], ["_state_rank"]).drop("_state_rank")
+    return first_per_key(rows.select("location_nk", "_state_rank", "country", "state", "city"),
+                         ["location_nk"], ["_state_rank"]).drop("_state_rank")
+
+
+def key_locations(rows: DataFrame, scratch: str | None = None, after: int = 0) -> DataFrame:
     order = [F.col("country").asc(), F.col("state").asc_nulls_first(), F.col("city").asc()]
-    keyed = with_dense_key(first, order, "location_key",
-                           small_rows=SMALL_DIMENSION_ROWS)
-    return keyed.select(*DIM_LOCATION_COLS)
+    return with_dense_key(rows, order, "location_key", scratch, after).select(*DIM_LOCATION_COLS)
+
+
+def build_dim_location(locations: DataFrame, scratch: str | None = None) -> DataFrame:
+    return key_locations(location_rows(locations), scratch)
 
 
 # ------------------------------------------------------- location matching
-def restaurant_locations(dim_restaurant: DataFrame, dim_location: DataFrame,
-                         strategy: str = "auto") -> DataFrame:
+def restaurant_locations(dim_restaurant: DataFrame, dim_location: DataFrame) -> DataFrame:
     """``(restaurant_key, location_key)`` for restaurants whose city contains a
     location city (ASCII case folded); the smallest location key wins. The
     match runs on distinct restaurant cities, then joins back on the city."""
     per_city = first_substring_match(dim_restaurant, "city", dim_location, "city",
-                                     "location_key", strategy=strategy)
+                                     "location_key")
     return (dim_restaurant.select("restaurant_key", "city")
             .join(per_city, "city").select("restaurant_key", "location_key"))
 
@@ -163,84 +190,88 @@ def restaurant_locations(dim_restaurant: DataFrame, dim_location: DataFrame,
 # -------------------------------------------------------------------- fact
 def staged_fact_rows(orders: DataFrame) -> DataFrame:
     """Staged orders with the natural key and typed measures; rows that the
-    fact cannot hold (no date, NULL quantity or amount) are dropped here."""
+    fact cannot hold (no date, NULL quantity or amount, an amount beyond its
+    type) are dropped here. ``amount`` is the uncut REAL value in INR: the
+    currency is converted first, and the delete looks at the result."""
     ts = iso_timestamp(F.col("order_date"))
-    qty_t = _dtype(orders, "sales_qty")
-    amt_t = _dtype(orders, "sales_amount")
-    qty = lenient_int(F.col("sales_qty"), qty_t)
-    amount = lenient_double(F.col("sales_amount"), amt_t).cast(MONEY)
-    parts = [
-        integer_text(F.col("user_id"), _dtype(orders, "user_id")),
-        integer_text(F.col("r_id"), _dtype(orders, "r_id")),
-        ntz_text(ts),
-        F.trim(F.coalesce(F.col("currency"), F.lit(""))),
-        F.trim(F.col("sales_qty").cast("string")),
-        amount.cast("string"),
-    ]
+    qty = lenient_int(F.col("sales_qty"), _dtype(orders, "sales_qty"))
+    amount_type = _dtype(orders, "sales_amount")
+    amount = lenient_double(F.col("sales_amount"), amount_type)
+    user = integer_text(F.col("user_id"), _dtype(orders, "user_id"))
+    rest = integer_text(F.col("r_id"), _dtype(orders, "r_id"))
+    usd = B.is_usd(F.trim(F.col("currency")))
+    exact = amount.try_cast(MONEY)
+    converted = F.when(usd, F.try_multiply(exact, F.lit(B.USD_TO_INR).cast("decimal(10,0)"))).otherwise(exact)
+    parts = [user, rest, ntz_text(ts), F.trim(F.coalesce(F.col("currency"), F.lit(""))),
+             whole_text(F.col("sales_qty"), _dtype(orders, "sales_qty")),
+             real_text(F.col("sales_amount"), amount_type)]
     nk = F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
-    a = date_attributes(ts)
     return (orders.select(
         nk.alias("order_nk"),
-        a["date_key"].alias("date_key"),
-        integer_text(F.col("user_id"), _dtype(orders, "user_id")).alias("user_txt"),
-        integer_text(F.col("r_id"), _dtype(orders, "r_id")).alias("rest_txt"),
+        date_attributes(ts)["date_key"].alias("date_key"),
+        user.alias("user_txt"), rest.alias("rest_txt"),
         qty.alias("sales_qty"),
-        amount.alias("sales_amount"),
-        F.trim(F.col("currency")).alias("currency"),
+        F.when(usd, amount * F.lit(float(B.USD_TO_INR))).otherwise(amount).alias("amount"),
+        converted.try_cast(MONEY).alias("sales_amount"),
+        F.when(usd, F.lit("INR")).otherwise(F.trim(F.col("currency"))).alias("currency"),
         "ingest_seq")
-        .where(F.col("date_key").isNotNull() & F.col("sales_qty").isNotNull()
-               & F.col("sales_amount").isNotNull()))
+        .where(F.col("date_key").isNotNull() & F.col("sales_qty").isNotNull() & F.col("amount").isNotNull()))
 
 
-def restaurant_lookup(dim_restaurant: DataFrame, dim_location: DataFrame,
-                      location_strategy: str = "auto") -> DataFrame:
-    """Restaurant grain: natural id -> restaurant key, attributes and the
-    matched location (NULL when no location city matches)."""
-    loc_of = restaurant_locations(dim_restaurant, dim_location, location_strategy)
-    locs = dim_location.select("location_key", F.col("country").alias("loc_country"),
-                               F.col("state").alias("loc_state"), F.col("city").alias("loc_city"))
+def fitting(rows: DataFrame) -> DataFrame:
+    """Rows whose amount the fact's type holds."""
+    return rows.where(F.col("sales_amount").isNotNull())
+
+
+def rejected_amounts(orders: DataFrame) -> DataFrame:
+    """How many staged orders (valid but for this) the fact's type cannot hold."""
+    return staged_fact_rows(orders).agg(
+        F.count(F.when(F.col("sales_amount").isNull(), 1)).alias("rejected_amounts"))
+
+
+def restaurant_lookup(dim_restaurant: DataFrame, dim_location: DataFrame) -> DataFrame:
+    """Restaurant grain: restaurant key, attributes and the matched location
+    (NULL when no location city matches)."""
+    loc_of = restaurant_locations(dim_restaurant, dim_location)
     return (dim_restaurant.select(
-        F.col("restaurant_id_nat").alias("rest_txt"), "restaurant_key",
-        F.col("name").alias("restaurant_name"), F.col("city").alias("restaurant_city"),
-        "rating", "cuisine")
-        .join(loc_of, "restaurant_key", "left")
-        .join(locs, "location_key", "left"))
-
-
-def load_fact(orders: DataFrame, dim_customer: DataFrame, rest_lookup: DataFrame) -> DataFrame:
-    """Deduplicated staged orders with resolved keys (before numbering)."""
-    rows = first_per_key(staged_fact_rows(orders), ["order_nk"], ["ingest_seq"]).drop("ingest_seq")
-    cust = dim_customer.select(
-        F.col("user_id_nat").alias("user_txt"), "customer_key", "income_group",
-        "income_group_order", "education_group", "education_group_order", "family_size")
-    return rows.join(cust, "user_txt").join(rest_lookup, "rest_txt").drop("user_txt", "rest_txt")
-
-
-def number_orders(loaded: DataFrame, offset: int = 0, small_rows: int | None = None) -> DataFrame:
-    """``order_key`` = offset + dense rank in ``order_nk`` order."""
-    keyed = with_dense_key(loaded, [F.col("order_nk").asc()], "order_key", small_rows=small_rows)
-    if offset:
-        keyed = keyed.withColumn("order_key", F.col("order_key") + F.lit(offset))
-    return keyed
-
-
-def finish_fact(keyed: DataFrame) -> DataFrame:
-    """Currency conversion, then the invalid-amount delete, then the wide
-    layout (fact columns + date/customer/restaurant/location attributes)."""
-    usd = B.is_usd(F.col("currency"))
-    converted = (keyed
-                 .withColumn("sales_amount",
-                             F.when(usd, F.col("sales_amount") * B.USD_TO_INR)
-                             .otherwise(F.col("sales_amount")).cast(MONEY))
-                 .withColumn("currency", F.when(usd, F.lit("INR")).otherwise(F.col("currency"))))
-    kept = converted.where(~F.col("sales_amount").isin(*[F.lit(v).cast(MONEY)
-                                                          for v in B.INVALID_AMOUNTS]))
+        "restaurant_key", F.col("name").alias("restaurant_name"),
+        F.col("city").alias("restaurant_city"), "rating", "cuisine")
+        .join(loc_of, "restaurant_key", "left"))
+
+
+def location_attributes(dim_location: DataFrame) -> DataFrame:
+    return dim_location.select("location_key", F.col("country").alias("loc_country"),
+                               F.col("state").alias("loc_state"), F.col("city").alias("loc_city"))
+
+
+def load_fact(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame) -> DataFrame:
+    """Deduplicated staged orders with resolved keys, narrow, before numbering."""
+    rows = first_per_key(fitting(staged_fact_rows(orders)), ["order_nk"], ["ingest_seq"]).drop("ingest_seq")
+    cust = dim_customer.select(F.col("user_id_nat").alias("user_txt"), "customer_key")
+    rest = dim_restaurant.select(F.col("restaurant_id_nat").alias("rest_txt"), "restaurant_key")
+    return rows.join(cust, "user_txt").join(rest, "rest_txt").drop("user_txt", "rest_txt")
+
+
+def number_orders(loaded: DataFrame, after: int = 0, scratch: str | None = None) -> DataFrame:
+    """``order_key`` = ``after`` + dense rank in ``order_nk`` order."""
+    return with_dense_key(loaded, [F.col("order_nk").asc()], "order_key", scratch, after)
+
+
+def finish_fact(keyed: DataFrame, dim_customer: DataFrame, lookup: DataFrame,
+                dim_location: DataFrame) -> DataFrame:
+    """The invalid-amount delete on the uncut amount, then the wide layout (fact
+    columns + date/customer/restaurant/location attributes)."""
+    kept = keyed.where(~F.col("amount").isin(*map(float, B.INVALID_AMOUNTS)))
+    cust = dim_customer.select("customer_key", "income_group", "income_group_order",
+                               "education_group", "education_group_order", "family_size")
+    wide = (kept.join(cust, "customer_key").join(lookup, "restaurant_key")
+            .join(location_attributes(dim_location), "location_key", "left"))
     y = (F.col("date_key") / 10000).cast("int")
     md = F.col("date_key") % 10000
     month = (md / 100).cast("int")
     day = (md % 100).cast("int")
     a = date_attributes(F.make_date(y, month, day))
-    return kept.select(
+    return wide.select(
         *FACT_COLS,
         a["date_iso"].alias("date_iso"), a["quarter"].alias("quarter"),
         month.alias("month"), a["month_name"].alias("month_name"),
@@ -252,9 +283,45 @@ def finish_fact(keyed: DataFrame) -> DataFrame:
 
 
 def build_fact_wide(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame,
-                    dim_location: DataFrame, location_strategy: str = "auto") -> DataFrame:
-    lookup = restaurant_lookup(dim_restaurant, dim_location, location_strategy)
-    return finish_fact(number_orders(load_fact(orders, dim_customer, lookup)))
+                    dim_location: DataFrame, scratch: str | None = None) -> DataFrame:
+    keyed = number_orders(load_fact(orders, dim_customer, dim_restaurant), scratch=scratch)
+    return finish_fact(keyed, dim_customer, restaurant_lookup(dim_restaurant, dim_location), dim_location)
+
+
+# ------------------------------------------------- the source script's views
+def orders_with_raw_key(orders: DataFrame) -> DataFrame:
+    """``v_stg_orders_nk``: every staged order with a key whose ids are the raw
+    cell texts (the fact's own key normalises them to integers)."""
+    ts = iso_timestamp(F.col("order_date"))
+    parts = [F.trim(raw_text(F.col("user_id"))), F.trim(raw_text(F.col("r_id"))), ntz_text(ts),
+             F.trim(F.coalesce(F.col("currency"), F.lit(""))),
+             whole_text(F.col("sales_qty"), _dtype(orders, "sales_qty")),
+             real_text(F.col("sales_amount"), _dtype(orders, "sales_amount"))]
+    nk = F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
+    return orders.select(nk.alias("order_nk"), *[c for c in orders.columns if c != "ingest_seq"])
+
+
+def fact_load_rows(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame) -> DataFrame:
+    """``v_fact_load``: staged orders with resolved keys, before the insert
+    removes repeated natural keys; amounts as staged (not yet converted)."""
+    rows = orders.withColumn("_amount", lenient_double(F.col("sales_amount"), _dtype(orders, "sales_amount")))
+    amount = F.col("_amount")
+    staged = rows.select(
+        F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in (
+            integer_text(F.col("user_id"), _dtype(orders, "user_id")),
+            integer_text(F.col("r_id"), _dtype(orders, "r_id")),
+            ntz_text(iso_timestamp(F.col("order_date"))), F.trim(F.coalesce(F.col("currency"), F.lit(""))),
+            whole_text(F.col("sales_qty"), _dtype(orders, "sales_qty")),
+            real_text(F.col("sales_amount"), _dtype(orders, "sales_amount")))]).alias("order_nk"),
+        date_attributes(iso_timestamp(F.col("order_date")))["date_key"].alias("date_key"),
+        integer_text(F.col("user_id"), _dtype(orders, "user_id")).alias("user_id_nat"),
+        integer_text(F.col("r_id"), _dtype(orders, "r_id")).alias("restaurant_id_nat"),
+        lenient_int(F.col("sales_qty"), _dtype(orders, "sales_qty")).alias("sales_qty"),
+        amount.alias("sales_amount"), F.trim(F.col("currency")).alias("currency"))
+    return (staged.where(F.col("date_key").isNotNull())
+            .join(dim_customer.select("user_id_nat", "customer_key"), "user_id_nat")
+            .join(dim_restaurant.select("restaurant_id_nat", "restaurant_key"), "restaurant_id_nat")
+            .select("order_nk", "date_key", "customer_key", "restaurant_key", "sales_qty", "sales_amount", "currency"))
 
 
 @dataclass

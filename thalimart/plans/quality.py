@@ -1,8 +1,8 @@
 """Post-load QA checks and source data-quality checks.
 
-Orphan checks aggregate the fact to key grain first (partial aggregation:
-one row per distinct key and task) and anti-join that against the dimension,
-so the fact itself is never shuffled for a check.
+The orphan and uniqueness checks read every table once: its keys are stacked
+into (check, key) rows, counted per key with partial aggregation (one row per
+distinct key and task), and only these counts are shuffled.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lenient import iso_timestamp
+from ..functions.lenient import iso_timestamp, lenient_double
+from . import etl
 from .warehouse import Warehouse
 
 
@@ -30,22 +31,33 @@ def row_counts(wh: Warehouse) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _orphans(fact: DataFrame, fk: str, dim: DataFrame, pk: str, label: str) -> DataFrame:
-    per_key = fact.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
-    missing = per_key.join(dim.select(F.col(pk).alias(fk)), fk, "left_anti")
-    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows")) \
-        .select(F.lit(label).alias("check_name"), "rows")
+def _stacked(df: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """(check_name, key) rows of the named columns, one scan."""
+    pairs = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(c).cast("string").alias("key"))
+                      for name, c in keys.items()])
+    return df.select(F.inline(pairs))
+
+
+def _for_each_check(names: list[str], found: DataFrame, value: str) -> DataFrame:
+    """``found`` (check_name, value) with a 0 for checks without a row."""
+    spark = found.sparkSession
+    labels = spark.range(1).select(F.explode(F.array(*map(F.lit, names))).alias("check_name"))
+    return labels.join(found, "check_name", "left").select(
+        "check_name", F.coalesce(value, F.lit(0)).cast("bigint").alias(value))
 
 
 def fk_orphans(wh: Warehouse) -> DataFrame:
-    """Q2: fact rows whose foreign key has no dimension row (expected 0)."""
-    f = wh.fact
-    parts = [_orphans(f, "date_key", wh.dim_date, "date_key", "date_fk_orphans"),
-             _orphans(f, "customer_key", wh.dim_customer, "customer_key", "customer_fk_orphans"),
-             _orphans(f, "restaurant_key", wh.dim_restaurant, "restaurant_key",
-                      "restaurant_fk_orphans"),
-             _orphans(f, "location_key", wh.dim_location, "location_key", "location_fk_orphans")]
-    return reduce(DataFrame.unionByName, parts)
+    """Q2: fact rows whose foreign key has no dimension row (expected 0). A NULL
+    key is an orphan too, except the location, which may be unknown."""
+    keys = {"date_fk_orphans": ("date_key", wh.dim_date), "customer_fk_orphans": ("customer_key", wh.dim_customer),
+            "restaurant_fk_orphans": ("restaurant_key", wh.dim_restaurant),
+            "location_fk_orphans": ("location_key", wh.dim_location)}
+    used = _stacked(wh.fact, {name: c for name, (c, _) in keys.items()})
+    used = (used.where(F.col("key").isNotNull() | (F.col("check_name") != "location_fk_orphans"))
+            .groupBy("check_name", "key").agg(F.count(F.lit(1)).alias("n")))
+    have = reduce(DataFrame.unionByName, [_stacked(dim, {name: c}) for name, (c, dim) in keys.items()])
+    missing = used.join(have, ["check_name", "key"], "left_anti")
+    return _for_each_check(list(keys), missing.groupBy("check_name").agg(F.sum("n").alias("rows")), "rows")
 
 
 def location_count(wh: Warehouse) -> DataFrame:
@@ -78,7 +90,8 @@ def invalid_dates(wh: Warehouse) -> DataFrame:
 def negative_amounts(wh: Warehouse) -> DataFrame:
     """Q7: staged orders with an amount below zero."""
     return wh.staging.orders.agg(
-        F.count(F.when(F.col("sales_amount").cast("double") < 0, 1)).alias("negative_amounts"))
+        F.count(F.when(lenient_double(F.col("sales_amount"), wh.staging.orders.schema["sales_amount"].dataType) < 0, 1))
+        .alias("negative_amounts"))
 
 
 def null_keys(wh: Warehouse) -> DataFrame:
@@ -90,22 +103,20 @@ def null_keys(wh: Warehouse) -> DataFrame:
     return u.unionByName(r)
 
 
-def _dupes(df: DataFrame, col: str, label: str) -> DataFrame:
-    per_key = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(F.count(F.when(F.col("_n") > 1, 1)).alias("duplicate_keys")) \
-        .select(F.lit(label).alias("check_name"), "duplicate_keys")
-
-
 def unique_keys(wh: Warehouse) -> DataFrame:
     """Q9: natural and surrogate keys that occur more than once (expected 0)."""
-    checks = [(wh.dim_date, "date_key", "dim_date.date_key"),
-              (wh.dim_date, "date_iso", "dim_date.date_iso"),
-              (wh.dim_customer, "customer_key", "dim_customer.customer_key"),
-              (wh.dim_customer, "user_id_nat", "dim_customer.user_id_nat"),
-              (wh.dim_restaurant, "restaurant_key", "dim_restaurant.restaurant_key"),
-              (wh.dim_restaurant, "restaurant_id_nat", "dim_restaurant.restaurant_id_nat"),
-              (wh.dim_location, "location_key", "dim_location.location_key"),
-              (wh.dim_location, "location_nk", "dim_location.location_nk"),
-              (wh.fact, "order_key", "fact_order.order_key"),
-              (wh.fact, "order_nk", "fact_order.order_nk")]
-    return reduce(DataFrame.unionByName, [_dupes(df, c, label) for df, c, label in checks])
+    tables = {"dim_date": (wh.dim_date, ("date_key", "date_iso")),
+              "dim_customer": (wh.dim_customer, ("customer_key", "user_id_nat")),
+              "dim_restaurant": (wh.dim_restaurant, ("restaurant_key", "restaurant_id_nat")),
+              "dim_location": (wh.dim_location, ("location_key", "location_nk")),
+              "fact_order": (wh.fact, ("order_key", "order_nk"))}
+    names = [f"{t}.{c}" for t, (_, cols) in tables.items() for c in cols]
+    rows = reduce(DataFrame.unionByName, [_stacked(df, {f"{t}.{c}": c for c in cols}) for t, (df, cols) in tables.items()])
+    per_key = rows.where(F.col("key").isNotNull()).groupBy("check_name", "key").agg(F.count(F.lit(1)).alias("n"))
+    found = per_key.where("n > 1").groupBy("check_name").agg(F.count(F.lit(1)).alias("duplicate_keys"))
+    return _for_each_check(names, found, "duplicate_keys")
+
+
+def rejected_amounts(wh: Warehouse) -> DataFrame:
+    """Q10: otherwise valid staged orders whose amount the fact cannot hold."""
+    return etl.rejected_amounts(wh.staging.orders)

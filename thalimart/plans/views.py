@@ -1,29 +1,49 @@
 """SQL access: the written warehouse as temporary views.
 
-Registers ``fact_order``, ``dim_date``, ``dim_customer``, ``dim_restaurant``,
-``dim_location`` and the analysis view ``v_family_analysis`` so existing SQL
-against the star schema runs unchanged through ``spark.sql`` (Catalyst plans
-it; the views are lazy projections of the written Parquet tables).
+The star schema, the analysis view and the three views of the source's load
+script: staged orders with their raw-text key, calendar rows of order dates the
+calendar lacks, and staged orders resolved to surrogate keys. All are lazy
+projections of the written Parquet tables.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import etl
 from .family import family_view
 from .warehouse import Warehouse
 
-VIEWS = ("fact_order", "dim_date", "dim_customer", "dim_restaurant", "dim_location",
-         "v_family_analysis")
+
+def stg_orders_nk(wh: Warehouse) -> DataFrame:
+    return etl.orders_with_raw_key(wh.staging.orders)
+
+
+def new_dates(wh: Warehouse) -> DataFrame:
+    """Calendar rows of all staged order dates (the load ignores known ones)."""
+    return etl.build_dim_date(wh.staging.orders)
+
+
+def fact_load(wh: Warehouse) -> DataFrame:
+    return etl.fact_load_rows(wh.staging.orders, wh.dim_customer, wh.dim_restaurant)
+
+
+VIEWS = {
+    "fact_order": lambda wh: wh.fact.withColumn("sales_amount", F.col("sales_amount").cast("double")),
+    "dim_date": lambda wh: wh.dim_date,
+    "dim_customer": lambda wh: wh.dim_customer,
+    "dim_restaurant": lambda wh: wh.dim_restaurant,
+    "dim_location": lambda wh: wh.dim_location,
+    "v_family_analysis": family_view,
+    "v_stg_orders_nk": stg_orders_nk,
+    "v_new_dates": new_dates,
+    "v_fact_load": fact_load,
+}
 
 
 def register_views(spark: SparkSession, wh: Warehouse) -> tuple[str, ...]:
-    fact = wh.fact.withColumn("sales_amount", F.col("sales_amount").cast("double"))
-    fact.createOrReplaceTempView("fact_order")
-    wh.dim_date.createOrReplaceTempView("dim_date")
-    wh.dim_customer.createOrReplaceTempView("dim_customer")
-    wh.dim_restaurant.createOrReplaceTempView("dim_restaurant")
-    wh.dim_location.createOrReplaceTempView("dim_location")
-    family_view(wh).createOrReplaceTempView("v_family_analysis")
-    return VIEWS
+    for name, view in VIEWS.items():
+        view(wh).createOrReplaceTempView(name)
+    return tuple(VIEWS)
+

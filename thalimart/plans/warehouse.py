@@ -5,6 +5,9 @@ uses them, so each step starts from files (lineage is cut; a lost executor
 recomputes one step, not the whole ETL). The location is a folder under the
 cluster's shared checkpoint directory, never a machine-local one.
 
+Intermediate tables go under ``<root>/_tmp`` and are removed when the build
+ends.
+
 Layout: dimensions as plain Parquet; the wide order fact partitioned by
 ``year`` so year filters prune files (and dynamic partition pruning applies
 when a filtered date table is joined on the year).
@@ -37,6 +40,11 @@ class Warehouse:
     staging: Staging
     root: str | None = None
 
+    @property
+    def scratch(self) -> str:
+        """Where intermediate tables of later loads go."""
+        return f"{self.root}/_tmp"
+
     @property
     def fact(self) -> DataFrame:
         return self.orders.select(*etl.FACT_COLS)
@@ -55,6 +63,19 @@ def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     w.parquet(path)
 
 
+def written_under(scratch: str, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """``df`` written once under the scratch folder and read back."""
+    path = f"{scratch}/{name}-{uuid.uuid4().hex}"
+    _write(df, path, partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the warehouse through Spark's file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 class _Phases:
     """Optional wall-clock split of a build (seconds per phase)."""
 
@@ -77,36 +98,33 @@ def _in_parallel(tasks: dict) -> None:
 
 
 def build_warehouse(spark: SparkSession, staging: Staging, root: str,
-                    location_strategy: str = "auto",
                     phases: dict[str, float] | None = None) -> Warehouse:
     """Run the ETL and write every table under ``root``.
 
     The staging tables are written first: the order staging feeds both
     ``dim_date`` and the fact, and is computed once instead of twice."""
     clock = _Phases(phases)
+    scratch = f"{root}/_tmp"
     staging = stage(spark, staging, root)
     clock.mark("staging")
     builders = {"dim_date": lambda: etl.build_dim_date(staging.orders),
-                "dim_customer": lambda: etl.build_dim_customer(staging.users),
-                "dim_restaurant": lambda: etl.build_dim_restaurant(staging.restaurants),
-                "dim_location": lambda: etl.build_dim_location(staging.locations)}
+                "dim_customer": lambda: etl.build_dim_customer(staging.users, scratch),
+                "dim_restaurant": lambda: etl.build_dim_restaurant(staging.restaurants, scratch),
+                "dim_location": lambda: etl.build_dim_location(staging.locations, scratch)}
     # the four dimensions are independent: their jobs run concurrently
     _in_parallel({name: (lambda n=name: _write(builders[n](), f"{root}/{n}"))
                   for name in builders})
     out = {name: spark.read.parquet(f"{root}/{name}") for name in builders}
     clock.mark("dimensions")
     wide = etl.build_fact_wide(staging.orders, out["dim_customer"], out["dim_restaurant"],
-                               out["dim_location"], location_strategy)
+                               out["dim_location"], scratch)
     # the partitioned writer sorts each task's rows by year anyway; extending
     # that local sort to month and day gives every row group tight month/date
     # ranges, so month filters skip row groups by their statistics
     _write(wide.sortWithinPartitions("year", "month", "date_key"), f"{root}/order_wide",
            partition_by="year")
     clock.mark("fact")
-    # key high-water mark for later incremental loads (one row)
-    spark.read.parquet(f"{root}/order_wide").agg(
-        F.coalesce(F.max("order_key"), F.lit(0)).alias("max_order_key")) \
-        .write.mode("overwrite").parquet(f"{root}/order_key_hwm")
+    remove(spark, scratch)
     wh = open_warehouse(spark, root)
     clock.mark("finish")
     return wh
@@ -133,7 +151,7 @@ def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
         dim_customer=r.parquet(f"{root}/dim_customer"),
         dim_restaurant=r.parquet(f"{root}/dim_restaurant"),
         dim_location=r.parquet(f"{root}/dim_location"),
-        orders=r.parquet(f"{root}/order_wide"),
+        orders=r.schema(etl.WIDE_SCHEMA).parquet(f"{root}/order_wide"),
         staging=open_staging(spark, root),
         root=root,
     )

@@ -25,13 +25,18 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "thalimart", extra: dict | None = None) -> SparkSession:
-    """Session for tests, bench and local runs (a cluster brings its own)."""
-    b = SparkSession.builder.master(master).appName(app)
+    """A session with the settings above. Master, memory and shuffle partitions
+    are set only if given (tests, bench); else ``spark-submit`` and the cluster
+    decide."""
+    b = SparkSession.builder.appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("THALIMART_DRIVER_MEMORY", "16g")
+    if master:
+        b = b.master(master)
+        conf["spark.driver.memory"] = os.environ.get("THALIMART_DRIVER_MEMORY", "16g")
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

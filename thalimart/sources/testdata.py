@@ -5,17 +5,19 @@ fixed expression over one base table (the SQL oracle applies the same
 expressions). Every base row is used; rules only set values:
 
 * users <- customer (+ one 'DUP' copy of every 50th customer, loaded later,
-  so "first row wins" is exercised);
+  so "first row wins" is exercised), + a guest user per 16th order and an
+  inactive user per 4th customer, both with ids above 2^31;
 * restaurants <- supplier x nation (names repeat, some cities match no
   location, cuisines cover every splitter case);
 * locations <- nation x region (NULL states, the first five nations twice,
   NATION_1 is a substring of NATION_10..19 so city matching is ambiguous);
-* orders <- lineitem x orders, with bad dates, zero and -1 amounts, USD in
-  three spellings, natural-key duplicate copies, and the lines of some
-  customers pointed at user ids that do not exist. Those lines flow through
-  the whole ETL and are dropped by its unknown-user rule, which leaves
-  customers with no, one or few orders (outer joins and loyalty segments
-  need them). No staged row is filtered out here.
+* orders <- lineitem x orders, with bad dates, amounts of 0, -1, 0.00004,
+  10.00001 beside 10.00002, 1e15 and (beyond the fact's type) 1e30, USD in
+  three spellings and natural-key duplicate copies. The lines of every 16th
+  order belong to its guest user, which makes customers with one or few
+  orders; the lines of every 31st customer name users that do not exist
+  (about 3%), which the unknown-user rule drops. No staged row is filtered
+  out here.
 
 Order dates move forward 6,940 days (1995-2001 -> 2014-2020) plus
 ``l_orderkey % 24`` hours, as ISO text.
@@ -27,10 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lenient import ntz_text
-from ..operators.broadcast import bounded_broadcast
 from .staging import LOCATION_COLS, ORDERS_COLS, RESTAURANT_COLS, USERS_COLS, Staging
 
 DATE_SHIFT_DAYS = 6940
+GUEST_IDS = 3_000_000_000       # + o_orderkey
+INACTIVE_IDS = 6_000_000_000    # + c_custkey
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,13 +74,22 @@ def stg_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         education.alias("education"),
         _copies(k % 50 == 0).alias("ingest_seq"))
     rows = rows.withColumn("name", F.when(F.col("ingest_seq") == 1, "DUP").otherwise(F.col("name")))
-    return rows.select(*USERS_COLS)
+
+    def extra(df: DataFrame, key: F.Column, base: int, name: str) -> DataFrame:
+        return df.select((key + base).alias("user_id"), F.lit(name).alias("name"), F.lit(None).cast("string").alias("email"),
+                         F.lit(40).alias("age"), F.lit(None).cast("string").alias("gender"),
+                         (key % 5).cast("int").alias("family_size"), F.lit("More than 50000").alias("monthly_income"),
+                         F.lit("School").alias("education"), F.lit(0).cast("long").alias("ingest_seq"))
+
+    ok = F.col("o_orderkey")
+    guests = extra(_read(spark, sf_dir, "orders").where(ok % 16 == 0), ok, GUEST_IDS, "Guest")
+    inactive = extra(c.where(k % 4 == 0), k, INACTIVE_IDS, "Inactive")
+    return rows.select(*USERS_COLS).unionByName(guests).unionByName(inactive)
 
 
 def stg_restaurant(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _read(spark, sf_dir, "supplier")
-    # nation is the fixed 25-row TPC-H list; broadcast after the count check
-    n = bounded_broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     k = F.col("s_suppkey")
     city = (F.when(k % 19 == 0, "Nowhere")
             .otherwise(F.concat(F.lit("Area "), (k % 7).cast("string"), F.lit(","),
@@ -98,7 +110,7 @@ def stg_restaurant(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stg_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = _read(spark, sf_dir, "nation")
-    r = bounded_broadcast(_read(spark, sf_dir, "region"))
+    r = _read(spark, sf_dir, "region")
     k = F.col("n_nationkey")
     state = F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(
         F.concat(F.lit("State "), (k % 5).cast("string")))
@@ -110,7 +122,8 @@ def stg_location(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
+        "l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
+        "l_linenumber")
     od = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     # fact-to-fact join: a shuffle join (both sides grow with the data); the
     # hint keeps it one even where orders would fit a broadcast, so the
@@ -118,23 +131,26 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey)
     ok = F.col("l_orderkey")
     ck = F.col("o_custkey")
-    unknown_user = ((ck % 31 == 0) | ((ck % 5 == 1) & (ok % 16 != 0))
-                    | ((ck % 5 == 2) & (ok % 6 != 0)))
     ts = F.col("o_orderdate") + F.make_dt_interval(F.lit(DATE_SHIFT_DAYS), (ok % 24).cast("int"))
     order_date = F.when(ok % 101 == 0, "bad-date").otherwise(ntz_text(ts))
+    first_line = F.col("l_linenumber") == 1
     amount = (F.when(ok % 97 == 0, F.lit(0.0)).when(ok % 89 == 0, F.lit(-1.0))
+              .when(ok % 83 == 0, F.lit(0.00004))
+              .when((ok % 79 == 0) & (F.col("ingest_seq") == 0), F.lit(10.00001))
+              .when(ok % 79 == 0, F.lit(10.00002))
+              .when((ok % 997 == 0) & first_line, F.lit(1e15)).when((ok % 991 == 0) & first_line, F.lit(1e30))
               .otherwise(F.col("l_extendedprice")))
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     currency = (F.when(flag == "A", " USD ").when(flag == "N", "INR")
                 .when((flag == "R") & (status == "F"), "usd"))
-    return j.select(
-        F.when(unknown_user, -(ck + 1)).otherwise(ck).alias("user_id"),
+    twice = ((ck % 50 == 0) & (F.col("l_suppkey") % 10 == 3)) | (ok % 79 == 0)
+    return j.withColumn("ingest_seq", _copies(twice)).select(
+        F.when(ck % 31 == 0, -(ck + 1)).when(ok % 16 == 0, ok + GUEST_IDS).otherwise(ck).alias("user_id"),
         F.col("l_suppkey").alias("r_id"),
         order_date.alias("order_date"),
         F.col("l_quantity").cast("int").alias("sales_qty"),
         amount.alias("sales_amount"),
-        currency.alias("currency"),
-        _copies((ck % 50 == 0) & (F.col("l_suppkey") % 10 == 3)).alias("ingest_seq"),
+        currency.alias("currency"), "ingest_seq",
     ).select(*ORDERS_COLS)
 
 

@@ -4,14 +4,15 @@ New staged order files (CSV, the staging layout) arriving in a folder are
 read as a stream; each micro-batch is merged into the written warehouse by
 ``foreachBatch``:
 
-* new calendar days are appended to ``dim_date`` (anti-join on date_key);
+* new users, restaurants, locations and days of the batch are inserted into the
+  dimensions (known natural keys are ignored);
 * orders go through the same insert-or-ignore as a batch load
-  (``plans.incremental.append_batch``): deduplicated, keys resolved against
-  the current dimensions, existing natural keys ignored, keys numbered above
-  the current maximum, then location, conversion and delete rules;
-* the rows are appended to the year-partitioned wide fact; new keys start
-  after a one-row high-water mark (``order_key_hwm``), so no batch scans
-  the whole fact for its largest key.
+  (``plans.incremental.append_batch``); the new rows are computed and written
+  once, under the scratch folder, and appended from there;
+* orders whose user or restaurant is unknown are kept in ``late_orders``, which
+  a new folder replaces with every batch, and are tried again;
+* new keys start after the largest key of the fact, read from the footers of
+  its one key column, so a batch that stopped half way leaves no mark behind.
 
 Each append is one Spark write job (files become visible at job commit), and
 the anti-join on ``order_nk`` makes a replayed micro-batch a no-op, so a
@@ -21,32 +22,70 @@ the stream's checkpoint location (a shared folder on a cluster).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans import etl
-from ..plans.incremental import append_batch
-from ..plans.warehouse import open_warehouse
-from ..sources.staging import ORDERS_COLS, ORDERS_CSV, _text_schema
+from ..plans import etl, incremental
+from ..plans.warehouse import open_warehouse, remove, written_under
+from ..sources.staging import ORDERS_COLS, ORDERS_CSV, Staging, _text_schema
+
+
+def late_orders(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest complete table of orders that wait for a dimension row."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/late_orders")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    done = sorted(name for name in (s.getPath().getName() for s in fs.listStatus(path))
+                  if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/late_orders/{name}/_SUCCESS")))
+    return spark.read.parquet(f"{root}/late_orders/{done[-1]}") if done else None
+
 
+def merge_batch(spark: SparkSession, root: str, batch: DataFrame, users: DataFrame | None = None,
+                restaurants: DataFrame | None = None, locations: DataFrame | None = None) -> None:
+    """Merge one batch of staged orders, and of staged dimension rows if given,
+    into the warehouse at ``root``."""
+    wh = open_warehouse(spark, root)
+    waiting = late_orders(spark, root)
+    orders = batch.select(*[F.col(c).cast("string") for c in ORDERS_CSV])
+    if waiting is not None:
+        orders = orders.unionByName(waiting.select(*ORDERS_CSV))
+    # the batch's own order decides which of two equal keys is first; cells are
+    # equal then, so any total order will do
+    orders = written_under(wh.scratch, orders.withColumn("ingest_seq", F.lit(0).cast("long")), "orders")
 
-def merge_batch(spark: SparkSession, root: str, batch: DataFrame) -> None:
-    """Merge one batch of staged orders into the warehouse at ``root``."""
+    def rows(df: DataFrame | None, like: DataFrame) -> DataFrame:
+        return like.limit(0) if df is None else df
+    staged = Staging(users=rows(users, wh.staging.users), restaurants=rows(restaurants, wh.staging.restaurants),
+                     locations=rows(locations, wh.staging.locations), orders=orders)
+    for name, added in incremental.dimension_additions(wh, staged, wh.scratch).items():
+        written_under(wh.scratch, added, name).write.mode("append").parquet(f"{root}/{name}")
     wh = open_warehouse(spark, root)
-    new_days = etl.build_dim_date(batch).join(wh.dim_date.select("date_key"), "date_key",
-                                              "left_anti")
-    new_days.write.mode("append").parquet(f"{root}/dim_date")
-    lookup = etl.restaurant_lookup(wh.dim_restaurant, wh.dim_location)
-    hwm = f"{root}/order_key_hwm"
-    top = spark.read.parquet(hwm).first()["max_order_key"]
-    added = append_batch(wh.orders, batch, wh.dim_customer, lookup, top=top)
-    # reserve the key range before appending: a failure in between leaves a
-    # gap in the keys (as an auto-numbered key can), never a reused key
-    new_top = added.agg(F.max("order_key").alias("m")).first()["m"] or top
-    spark.createDataFrame([(max(top, new_top),)], "max_order_key long") \
-        .write.mode("overwrite").parquet(hwm)
+    if locations is not None:
+        repatch(spark, root)
+        wh = open_warehouse(spark, root)
+    added = written_under(wh.scratch, incremental.append_batch(wh.orders, orders, wh, wh.scratch), "new-orders")
     added.write.mode("append").partitionBy("year").parquet(f"{root}/order_wide")
+    incremental.unresolved(orders, wh.dim_customer, wh.dim_restaurant).select(*ORDERS_CSV) \
+        .write.parquet(f"{root}/late_orders/{time.time_ns():020d}")
+    remove(spark, wh.scratch)
+
+
+def repatch(spark: SparkSession, root: str) -> None:
+    """Gives facts without a location the one that matches now, rewriting only
+    the years that hold such facts."""
+    wh = open_warehouse(spark, root)
+    base = wh.orders.drop("loc_country", "loc_state", "loc_city")
+    years = [r[0] for r in base.where(F.col("location_key").isNull()).select("year").distinct().collect()]
+    if not years:
+        return
+    patched = incremental.patch_locations(base.where(F.col("year").isin(years)), wh.dim_restaurant, wh.dim_location)
+    wide = patched.join(etl.location_attributes(wh.dim_location), "location_key", "left").select(*wh.orders.columns)
+    written_under(wh.scratch, wide, "patched").write.mode("overwrite").partitionBy("year") \
+        .option("partitionOverwriteMode", "dynamic").parquet(f"{root}/order_wide")
 
 
 def start_incremental_load(spark: SparkSession, orders_dir: str, root: str,

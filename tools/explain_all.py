@@ -21,7 +21,7 @@ def main(argv: list[str]) -> None:
     from thalimart.session import build_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    spark = build_session()
+    spark = build_session(master="local[8]", shuffle_partitions=8)
     wh = warehouse_for(spark, sf_dir)
     summary = ["| Key | hash shuffles | range shuffles | single-partition | broadcasts |",
                "| --- | --- | --- | --- | --- |"]
