@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegralType, NumericType
 
 _INT_PREFIX = r"^[+-]?[0-9]+"
+_ZONE = r"(?:Z|(?<=:[0-9]{2}) ?([+-])([0-9]{2}):([0-9]{2}))$"
 _REAL_PREFIX = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 
 
@@ -46,10 +47,20 @@ def iso_timestamp(c: Column) -> Column:
     """Order date text -> TIMESTAMP_NTZ, NULL when not an ISO date.
 
     A ``YYYY-MM-DD`` guard keeps bare years or numbers from parsing; NTZ keeps
-    the session time zone out of every later year/month/day extraction.
+    the session time zone out of every later year/month/day extraction. As the
+    source's date functions do, a day beyond the month's end (up to 31) rolls
+    into the next month, and a zone suffix (``Z``, ``+05:30``) is applied, giving
+    UTC.
     """
     s = F.trim(c.cast("string"))
-    return F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"), s.try_cast("timestamp_ntz"))
+    zone = F.regexp_extract(s, _ZONE, 0)
+    part = {i: F.regexp_extract(s, _ZONE, i).try_cast("int") for i in (2, 3)}
+    minutes = F.when(part[2].isNull(), 0).otherwise(
+        (part[2] * 60 + part[3]) * F.when(F.regexp_extract(s, _ZONE, 1) == "-", -1).otherwise(1))
+    day = F.substring(s, 9, 2).try_cast("int")
+    first = F.concat(F.substring(s, 1, 8), F.lit("01"), F.substr(s, F.lit(11), F.length(s) - 10 - F.length(zone)))
+    shift = F.make_dt_interval(days=day - 1, mins=-minutes)
+    return F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}") & day.between(1, 31), first.try_cast("timestamp_ntz") + shift)
 
 
 def integer_text(c: Column, dtype: DataType | None = None) -> Column:
