@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_stream, crf_langid, dartminhash, decontaminate, hilbert, license_scan, orc_tokens,
+from . import (bpe_stream, crf_langid, dartminhash, decontaminate, expected, hilbert, license_scan, orc_tokens,
                rp_forest, url_templates, warc_arc)
 from .common import scratch, table
 
@@ -16,9 +16,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to (and the
-    record's id, target and date) of every page, from the WARC files."""
-    return warc_arc.archive(table(spark, sf_dir, "pages"), scratch(spark, "archives"))
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every
+    page, from the WARC files."""
+    records = warc_arc.archive(table(spark, sf_dir, "pages"), scratch(spark, "archives"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op2_forest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,13 +33,14 @@ URL_RULES = [url_templates.Rule(verdict, text) for verdict, text in (
 
 
 def op3_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """page_id, host, path, rule, verdict (and template, block_share) of every page."""
-    return url_templates.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    """page_id, host, path, rule, verdict of every page."""
+    judged = url_templates.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, license, containment, first_word of every notice found."""
-    return license_scan.scan(table(spark, sf_dir, "documents"))
+    """doc_id, license, containment of every notice found."""
+    return license_scan.scan(table(spark, sf_dir, "documents")).select("doc_id", "license", "containment")
 
 
 def op5_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,4 +91,8 @@ QUERIES: dict[str, Query] = {
     "op10_hilbert_shards": op10_hilbert_shards,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_arc_to_warc": expected.ARC_TO_WARC,
+    "op3_url_templates": expected.url_templates(URL_RULES),
+    "op4_license_scan": expected.license_scan(),
+}
