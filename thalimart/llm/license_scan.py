@@ -8,11 +8,11 @@ Only DataFrame expressions run; the templates are the fixed list below.
 2. Templates are cut the same way at every word, short ones are one window.
 3. A window's ``BANDS`` minima over the hashes of its runs of ``SHINGLE`` words are
    its bands, of one row each; h XOR mask orders the hashes anew for every band.
-   A window that holds a five-word notice shares half of its runs with it, so it
-   meets the notice with probability 1 - 2^-BANDS > 0.999, and any window inside
-   an unchanged longer notice equals one of its windows and meets it always.
-   Windows without a known minimum end here; the template bands (a constant
-   list) are in the filter itself and in one broadcast.
+   A window that holds a five-word notice shares three of its four runs with it,
+   so it meets the notice with probability 1 - 4^-BANDS > 0.9997, and a window
+   inside an unchanged longer notice equals one of its windows and meets it
+   always. Windows without a known minimum end here; the template bands (a
+   constant list) are in the filter itself and in one broadcast.
 4. Around every window that is left, the words that can belong to the template
    are compared exactly: the share of the template's runs that occur there
    (containment) must reach ``CONTAINMENT``.
@@ -34,9 +34,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHINGLE = 3
-WINDOW = 8
-STRIDE = 3
-BANDS = 10
+WINDOW = 6
+STRIDE = 2
+BANDS = 6
 CONTAINMENT = 0.8
 #: Words around a window that are compared with a template of n words: n to
 #: either side and some room for inserted words.
@@ -70,7 +70,7 @@ TEMPLATES = {
     "proprietary": ["All rights reserved. No part of this publication may be reproduced"],
 }
 
-WORD = "[^\\p{L}\\p{N}]+"
+WORD = "[^\\p{L}\\p{N}]++"
 
 
 def words_of(text: Column) -> Column:
@@ -99,18 +99,19 @@ def masks() -> list[int]:
     return out
 
 
-def run_hashes(words: Column, at: Column | int, count: int) -> list[Column]:
-    """Hashes of the runs that begin at word ``at`` (from 0) and the next words;
-    null where a run does not fit."""
-    def word(j: int) -> Column:
-        return F.get(words, at + j)
-    return [F.when(word(i + SHINGLE - 1).isNotNull(), F.xxhash64(*[word(i + j) for j in range(SHINGLE)]))
-            for i in range(count)]
+def run_hashes(words: Column) -> Column:
+    """Hashes of the runs of ``SHINGLE`` words, one per place; empty for shorter
+    texts. Loops over arrays keep the generated code small enough to be compiled."""
+    places = F.when(F.size(words) >= SHINGLE, F.sequence(F.lit(0), F.size(words) - SHINGLE)).otherwise(
+        F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(SHINGLE)]))
 
 
-def bands(hashes: list[Column]) -> list[Column]:
-    found = [[h.bitwiseXOR(F.lit(m)) for h in hashes] for m in masks()]
-    return [F.least(*own) if len(own) > 1 else own[0] for own in found]
+def bands(runs: Column, at: Column) -> list[Column]:
+    """Of the window that begins at run ``at``: the minimum of its hashes in the
+    order of every mask."""
+    own = [F.get(runs, at + j) for j in range(WINDOW - SHINGLE + 1)]
+    return [F.least(*[h.bitwiseXOR(F.lit(m)) for h in own]) for m in masks()]
 
 
 def known_bands(spark: SparkSession) -> DataFrame:
@@ -120,9 +121,10 @@ def known_bands(spark: SparkSession) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(n).alias("notice"), F.array(*map(F.lit, words)).alias("template"))
                      for name, n, words in template_rows()])
     notices = spark.range(1).select(F.inline(rows))
-    cut = notices.select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.size("template") - WINDOW, F.lit(0)))).alias("at"))
-    keys = F.array(*bands(run_hashes(F.col("template"), F.col("at"), WINDOW - SHINGLE + 1)))
-    windows = cut.select("license", "notice", "template", F.posexplode(keys).alias("band", "key")).distinct()
+    cut = notices.withColumn("runs", run_hashes(F.col("template"))).select("*", F.explode(
+        F.sequence(F.lit(0), F.greatest(F.size("template") - WINDOW, F.lit(0)))).alias("at"))
+    own = F.array(*bands(F.col("runs"), F.col("at")))
+    windows = cut.select("license", "notice", "template", F.posexplode(own).alias("band", "key")).distinct()
     whole = windows.groupBy("license", "notice").agg(F.collect_set("key").alias("notice_keys"))
     return windows.join(whole, ["license", "notice"])
 
@@ -135,21 +137,19 @@ def scan(docs: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     for r in known.select("band", "key").distinct().collect():
         by_band.setdefault(r.band, []).append(r.key)
 
-    texts = docs.select("doc_id", words_of(F.col("text")).alias("words")).where(F.size("words") >= SHINGLE)
-    windows = texts.select("doc_id", "words", F.explode(
-        F.sequence(F.lit(0), F.size("words") - SHINGLE, F.lit(STRIDE))).alias("at"))
-    size = WINDOW - SHINGLE + 1
-    hashes = run_hashes(F.col("words"), F.col("at"), size)
-    # inline() keeps the hashes from being computed again for every band
-    hashed = windows.select("doc_id", "words", "at", F.inline(F.array(F.struct(*[h.alias(f"h{i}") for i, h in enumerate(hashes)]))))
-    own = bands([F.col(f"h{i}") for i in range(size)])
+    # no filter on the words: it would be pushed down and cut every text twice
+    texts = docs.select("doc_id", words_of(F.col("text")).alias("words"))
+    hashed = texts.select("doc_id", "words", run_hashes(F.col("words")).alias("runs"))
+    windows = hashed.select("doc_id", "words", "runs", F.explode(
+        F.sequence(F.lit(0), F.greatest(F.size("runs") - 1, F.lit(0)), F.lit(STRIDE))).alias("at"))
+    left = F.greatest(F.col("at") - longest - ROOM, F.lit(0))
+    own = bands(F.col("runs"), F.col("at"))
     some = F.lit(False)
     for i, band in enumerate(own):
         some = some | band.isin(by_band.get(i, []))
-    left = F.greatest(F.col("at") - longest - ROOM, F.lit(0))
-    near = hashed.where(some).select(
-        "doc_id", "at", left.alias("left"), F.slice("words", left + 1, F.col("at") - left + WINDOW + longest + ROOM).alias("near"),
-        F.array(*own).alias("keys"))
+    near = windows.where(some).select(
+        "doc_id", "at", left.alias("left"), F.array(*own).alias("keys"),
+        F.slice("words", left + 1, F.col("at") - left + WINDOW + longest + ROOM).alias("near"))
     found = (near.select("*", F.posexplode("keys").alias("band", "key")).join(F.broadcast(known), ["band", "key"])
              .where(~F.arrays_overlap(F.slice("keys", F.lit(1), F.col("band")), "notice_keys")))  # the first band they share
     # only the words that a copy around this window can reach
