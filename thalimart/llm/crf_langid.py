@@ -54,7 +54,7 @@ EPOCHS, RATE, DECAY = 30, 0.25, 1e-6
 #: A word enters a language's lexicon when seen this often and mostly there.
 LEXICON_SEEN, LEXICON_SHARE = 3, 0.8
 #: Words handled at once, words of a block, scored words remembered.
-BATCH_WORDS, BLOCK, CACHE_WORDS = 400_000, 32, 600_000
+BATCH_WORDS, BLOCK, CACHE_WORDS = 200_000, 32, 400_000
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -290,6 +290,8 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
     if model is None:
         return docs.select(*keep, F.lit(UNKNOWN).alias(marks[0]), F.lit(0.0).alias(marks[1]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = keep if "text" in keep else (*keep, "text")  # a kept text travels once
+    at = sent.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -298,17 +300,17 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
             _SCORERS[id(own)] = own, Scorer(own)
         scorer = _SCORERS[id(own)][1]
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(at)
             weights = [(n or 0) // 6 for n in pc.binary_length(texts).to_pylist()]
             found: list[tuple[str, float]] = []
             for begin, end in slices(weights, BATCH_WORDS):
                 found += _predict(own, scorer, [words(t) for t in texts[begin:end].to_pylist()])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([x[0] for x in found], pa.string()),
+                [*batch.columns[:len(keep)], pa.array([x[0] for x in found], pa.string()),
                  pa.array([x[1] for x in found], pa.float64())],
                 names=[*keep, *marks])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*sent).mapInArrow(run, schema)
 
 
 def held_out(doc_id: Column) -> Column:
