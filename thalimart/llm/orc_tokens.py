@@ -12,9 +12,9 @@ file, so a document's place in the whole stream needs no global sort and no pass
 over the ids.
 
 Tokens. The tokenizers library encodes the distinct words of a text and the results
-are remembered per process; texts are first lower-cased and cut into words as the
-library's normalizer and pre-tokenizer would. Texts where that could differ (not in
-NFC, or beyond U+024F) go whole through the library.
+are remembered per process. Words are cut as the library's normalizer and
+pre-tokenizer would; pieces where that could differ (not in NFC, beyond U+024F,
+with a special token) and texts with unusual control characters go to it whole.
 
 Defined results: a null text has no ids but the end id; documents with equal ids lie
 next to each other in the order of their texts' hashes and are separate rows; null
@@ -44,42 +44,72 @@ STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
 #: Bytes of text that one file holds on average.
 FILE_BYTES = 64 << 20
-BATCH_IDS, CACHE_WORDS = 500_000, 500_000
+BATCH_IDS, CACHE_PIECES = 500_000, 700_000
 FILE_SCHEMA = "doc_id bigint, file int, before bigint, n bigint, ids array<int>"
 
 _LETTER, _NUMBER = latin_classes()
 #: The library's pre-tokenizer for text below U+0250 (the alternatives begin with
 #: different characters, so letters may come first).
 _WORDS = re.compile(rf"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}\x1c-\x1f]+|[\x1c-\x1f]+")
-#: What the word path leaves to the library: control characters that engines class
-#: differently, a letter whose lower case is two characters, and all beyond Latin.
-_OTHER = re.compile("[\x1c-\x1fİ]|[^\x00-ɏ]")
+#: White space to Python but not to the library: such texts go to it whole.
+_CONTROL = re.compile("[\x1c-\x1f]")
+#: Pieces that go to the library: a letter whose lower case is two characters, and
+#: all beyond Latin.
+_OTHER = re.compile("İ|[^\x00-ɏ]")
 
 
 class Words(dict):
-    """Ids of words as 32-bit little-endian bytes."""
+    """Ids of white-space-free pieces of text as 32-bit little-endian bytes. The
+    library drops white space and its pre-tokenizer joins nothing across it, so a
+    text's ids are those of its pieces. A new piece is put together from its
+    words; new words go to the library many at a time."""
 
     def __init__(self, spec: str):
         super().__init__()
         self.library = Tokenizer.from_str(spec)
         self.library.no_padding()
         self.library.no_truncation()
+        self.words: dict[str, bytes] = {}
+        mark = self.library.model.end_of_word_suffix or "\0"
+        self.ends = np.zeros(self.library.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.library.get_vocab().items() if t.endswith(mark)]] = True
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.whole(word)
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
-
     def text(self, text: str) -> bytes:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        if "<|" in text or _OTHER.search(text) or not (text.isascii() or unicodedata.is_normalized("NFC", text)):
+        if _CONTROL.search(text):
             return self.whole(text)
-        return b"".join(map(self.__getitem__, _WORDS.findall(text.lower())))
+        pieces = text.split()
+        try:
+            return b"".join(map(self.__getitem__, pieces))
+        except KeyError:
+            if len(self) > CACHE_PIECES:
+                self.clear()
+                self.words.clear()
+            self.learn({p for p in pieces if p not in self})
+            return b"".join(map(self.__getitem__, pieces))
+
+    def learn(self, pieces: set[str]) -> None:
+        cut = {}
+        for p in pieces:
+            if "<|" in p or _OTHER.search(p) or not (p.isascii() or unicodedata.is_normalized("NFC", p)):
+                self[p] = self.whole(p)
+            else:
+                cut[p] = _WORDS.findall(p.lower())
+        new = [w for w in dict.fromkeys(w for found in cut.values() for w in found) if w not in self.words]
+        for begin in range(0, len(new), 500):
+            group = new[begin:begin + 500]
+            found = self.library.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0]
+            ids = np.array(found.ids, "<u4")
+            last = np.flatnonzero(self.ends[ids]) + 1  # a word's last token carries the end mark
+            if len(last) == len(group):
+                data, cuts = ids.tobytes(), [0, *last.tolist()]
+                self.words.update((w, data[4 * a:4 * b]) for w, a, b in zip(group, cuts, cuts[1:]))
+            else:
+                self.words.update((w, self.whole(w)) for w in group)
+        for p, found in cut.items():
+            self[p] = b"".join(map(self.words.__getitem__, found))
 
 
 _LOADED: dict[str, Words] = {}
