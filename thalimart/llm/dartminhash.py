@@ -17,16 +17,22 @@ Joining. ``BANDS`` bands of ``ROWS`` coordinates: a pair at similarity 0.8 meets
 in some band with probability 1 - (1 - 0.8^4)^24 > 0.999996. Then
 
 1. texts are collapsed to distinct ones (copies share a row from here on);
-2. in every bucket each text is paired with the bucket's smallest text only
-   (a star: as many pairs as rows), and the distinct pairs are verified exactly;
-3. links are joined into components; buckets whose texts are all in one
-   component are done. In the others, pairs across components remain possible.
-   With d the exact distance to the smallest text, the triangle inequality (1 -
-   weighted Jaccard is a metric) rules out any pair whose d differ by more than
-   0.2, and sizes rule out more; what is left is verified exactly as well.
+2. in every bucket each text is paired with one leader only, the text that meets
+   most others in all buckets (a star: as many pairs as rows). Pairs whose
+   signatures agree in fewer than 0.6 of the coordinates go (at similarity 0.8
+   this has probability 3e-7), the others are verified exactly on whole texts;
+3. links are joined into components. A bucket whose texts all lie in the
+   component of its leader is done;
+4. in the others, texts outside that component are compared with all texts of
+   other components, block by block, unless a bound rules the pair out. Bounds:
+   sizes; with d the exact distance to the leader, the triangle inequality (1 -
+   weighted Jaccard is a metric); and the weight of runs that no other text of
+   these buckets has, which can be in no intersection. The bounds are exact: an
+   edited copy whose own words take it under 0.8 is compared with few.
 
 So every pair of different texts that meets in a band and reaches the threshold
-is a link or lies inside a component already: classes lose nothing to the star.
+is a link or lies inside one component already: classes lose nothing to the
+stars, and a bucket of many copies costs its rows, not its square.
 
 Defined results: a null text and a text without a word form no link; texts with
 no word are classed by equality; repeated rows are copies; a null doc_id is
@@ -54,6 +60,11 @@ from .common import mix64, slices, written
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
+#: Sketches of a pair at the threshold agree in a share of coordinates no less than
+#: the threshold minus this (five standard deviations).
+SLACK = 0.2
+#: Texts and bytes of a block of a bucket.
+BLOCK, BLOCK_BYTES = 256, 8 << 20
 #: Stands for a null doc_id inside.
 NO_ID = -(1 << 63)
 #: Words handled at once and hashed words remembered per process.
@@ -171,23 +182,26 @@ def _text_rows(batch: pa.RecordBatch, column: int):
 
 
 def signed(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """tid, did (bigint), n_runs and the band keys of every text with a word."""
+    """tid, n_runs, band keys and sketch (a byte of every coordinate) of every text
+    with a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, end, own in _text_rows(batch, 2):
+            for begin, end, own in _text_rows(batch, 1):
                 owner, runs, weight = shingles(own)
                 total = np.bincount(owner, weight, len(own)).astype(np.int64)
-                keys = band_keys(signatures(owner, runs, weight, len(own), bands * rows), rows)
+                signature = signatures(owner, runs, weight, len(own), bands * rows)
+                keys = band_keys(signature, rows)
                 full = total > 0
+                sketch = (signature >> _U(8)).astype(np.uint8)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(full.sum() + 1) * bands, pa.int32()), pa.array(keys[full].ravel()))
                 part = batch.slice(begin, end - begin).filter(pa.array(full))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(total[full]), lists],
-                                                 names=["tid", "did", "n_runs", "bands"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(total[full]), lists, pa.array([x.tobytes() for x in sketch[full]], pa.binary())],
+                    names=["tid", "n_runs", "bands", "sketch"])
 
-    return texts.select("tid", "did", "text").mapInArrow(
-        run, "tid binary, did bigint, n_runs bigint, bands array<bigint>")
+    return texts.select("tid", "text").mapInArrow(run, "tid binary, n_runs bigint, bands array<bigint>, sketch binary")
 
 
 def similarity(left: list[str], right: list[str]) -> np.ndarray:
@@ -202,15 +216,23 @@ def similarity(left: list[str], right: list[str]) -> np.ndarray:
     return shared / np.maximum(total - shared, 1)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b, distance of candidate pairs (tids), from the whole texts. Only the
-    texts that occur in a pair are moved."""
-    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct(), "pair-texts")
-    some = texts.join(needed, "tid", "left_semi").select("tid", "text")
-    bodies = written(some.groupBy("tid").agg(F.first("text").alias("text")), "pair-bodies")
+def _alike(x: np.ndarray, y: np.ndarray, share: float) -> np.ndarray:
+    """Whether sketches (rows of bytes) agree in at least ``share`` of the
+    coordinates."""
+    return (x == y).mean(-1) >= share
 
+
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _verified(pairs: DataFrame, bodies: DataFrame, share: float) -> DataFrame:
+    """a, b, distance of candidate pairs (tids) whose sketches agree in ``share``
+    of the coordinates, from the whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if batch.num_rows:
+                batch = batch.filter(pa.array(_alike(_sketches(batch.column(4)), _sketches(batch.column(5)), share)))
             sizes = [(x + y) // 6 for x, y in zip(pc.binary_length(batch.column(2)).to_pylist(),
                                                   pc.binary_length(batch.column(3)).to_pylist(), strict=True)]
             for begin, end in slices(sizes, BATCH_WORDS):
@@ -219,10 +241,10 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(d)],
                                                  names=["a", "b", "distance"])
 
-    return (pairs.select("a", "b").join(bodies.select(F.col("tid").alias("a"), F.col("text").alias("left")), "a")
-            .join(bodies.select(F.col("tid").alias("b"), F.col("text").alias("right")), "b")
-            .select("a", "b", "left", "right")
-            .mapInArrow(run, "a binary, b binary, distance double"))
+    own = bodies.select("tid", "text", "sketch")
+    return (pairs.join(own.withColumnsRenamed({"tid": "a", "text": "left", "sketch": "ls"}), "a")
+            .join(own.withColumnsRenamed({"tid": "b", "text": "right", "sketch": "rs"}), "b")
+            .select("a", "b", "left", "right", "ls", "rs").mapInArrow(run, "a binary, b binary, distance double"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -250,48 +272,158 @@ def components(links: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(texts, links, components): texts has a row per input row with its text id
-    tid; links the verified pairs of different texts; components v, root."""
+    tid; links verified pairs of different texts; components v, root."""
     texts = docs.select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("tid"),
                         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("did"), "text")
     table = written(signed(texts.where("text is not null"), bands, rows), "signatures")
-    distinct = table.groupBy("tid").agg(F.first("n_runs").alias("n_runs"), F.first("bands").alias("bands"))
-    rows_ = written(distinct.select("tid", "n_runs", F.explode("bands").alias("key")), "bands")
-    lead = rows_.groupBy("key").agg(F.min(F.struct("tid", "n_runs")).alias("lead"), F.count(F.lit(1)).alias("n")) \
-        .where("n > 1").select("key", F.col("lead.tid").alias("a"), F.col("lead.n_runs").alias("a_runs"))
-    met = written(rows_.join(lead, "key").where(F.col("tid") != F.col("a")), "met")
-    near = F.least("n_runs", "a_runs") >= threshold * F.greatest("n_runs", "a_runs")
-    stars = met.where(near).select("a", F.col("tid").alias("b")).distinct()
-    known = written(_verified(stars, texts), "star-distances")
+    distinct = table.groupBy("tid").agg(*[F.first(c).alias(c) for c in ("n_runs", "bands")])
+    keyed = written(distinct.select("tid", "n_runs", F.explode("bands").alias("key")), "bands")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = written(keyed.join(shared, "key"), "met")
+    # a text that meets many others is likely to be what they were copied from
+    degree = met.groupBy("tid").agg(F.sum("n").alias("degree"))
+    met = written(met.drop("n").join(degree, "tid").select("key", "tid", "n_runs", "degree"), "met")
+    # the texts that met another one are fetched once; always by a shuffle of tid
+    needed = met.select("tid").distinct().hint("merge")
+    some = texts.where("text is not null").join(needed, "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text"))
+    sketch = table.select("tid", "sketch").join(needed, "tid", "left_semi").groupBy("tid").agg(F.first("sketch").alias("sketch"))
+    bodies = written(some.join(sketch, "tid"), "bodies")
+
     close = 1 - threshold + 1e-12
+    lead = met.groupBy("key").agg(F.max(F.struct("degree", "tid", "n_runs")).alias("l")).select(
+        "key", F.col("l.tid").alias("a"), F.col("l.n_runs").alias("a_runs"))
+    lead = written(lead, "leaders")
+    near = F.least("n_runs", "a_runs") >= threshold * F.greatest("n_runs", "a_runs")
+    stars = (met.join(lead, "key").where((F.col("tid") != F.col("a")) & near)
+             .select("a", F.col("tid").alias("b")).distinct())
+    known = written(_verified(stars, bodies, threshold - SLACK), "star-distances")
     first = known.where(F.col("distance") <= close).select("a", "b")
-    parts = written(components(first), "star-components")
+    groups = written(components(first), "star-components")
 
-    # Buckets that still hold more than one component: only texts outside the
-    # leader's component ("minor") look for partners, so a bucket of many copies
-    # and few strangers costs their product, not its square.
+    # What the stars leave: texts outside the component of their bucket's leader
+    # ("minor") look for any partner of another component in the bucket.
+    roots = groups.select(F.col("v").alias("tid"), "root")
+    lead_root = lead.join(roots.withColumnsRenamed({"tid": "a", "root": "r"}), "a", "left").select(
+        "key", "a", "a_runs", F.coalesce("r", "a").alias("lead_root"))
+    member = (met.join(roots, "tid", "left").join(lead_root, "key")
+              .select("key", "tid", "n_runs", F.coalesce("root", "tid").alias("root"), "a", "a_runs", "lead_root")
+              .withColumn("minor", F.col("root") != F.col("lead_root")))
+    member = written(member, "members")
+    mixed = written(member.join(member.where("minor").select("key").distinct(), "key", "left_semi"), "mixed-buckets")
+    if mixed.isEmpty():
+        return texts, first, groups
+    alone = _unshared(bodies.join(mixed.select("tid").distinct(), "tid", "left_semi"))
     size_bound = 1 - F.least("n_runs", "a_runs") / F.greatest("n_runs", "a_runs")
     own = F.when(F.col("tid") == F.col("a"), 0.0).otherwise(F.col("distance"))
-    lead_root = parts.select(F.col("v").alias("a"), F.col("root").alias("a_root"))
-    member = (met.join(known.select("a", F.col("b").alias("tid"), "distance"), ["a", "tid"], "left")
-              .join(parts.select(F.col("v").alias("tid"), "root"), "tid", "left")
-              .join(lead_root, "a", "left")
-              .select("key", "tid", "n_runs", F.coalesce("root", "tid").alias("root"),
-                      (F.coalesce("root", "tid") != F.coalesce("a_root", "a")).alias("minor"),
-                      F.coalesce(own, size_bound).alias("low"), F.coalesce(own, F.lit(1.0)).alias("high")))
-    mixed = member.where("minor").select("key").distinct()
-    left = written(member.join(mixed, "key", "left_semi"), "mixed-buckets")
-    x, y = left.alias("x"), left.where("minor").alias("y")
-    # d(x,y) >= |d(x,a) - d(y,a)|; where a distance was not computed its bounds stand in
-    apart = F.greatest(F.col("x.low") - F.col("y.high"), F.col("y.low") - F.col("x.high"))
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root"))
-                   & (~F.col("x.minor") | (F.col("x.tid") < F.col("y.tid"))) & (apart <= close)
-                   & (F.least("x.n_runs", "y.n_runs") >= threshold * F.greatest("x.n_runs", "y.n_runs")))
-            .select(F.least("x.tid", "y.tid").alias("a"), F.greatest("x.tid", "y.tid").alias("b")).distinct()
-            .join(known.select("a", "b"), ["a", "b"], "left_anti"))
-    more = written(_verified(written(rest, "rest-pairs"), texts), "rest-distances")
-    found = first.unionByName(more.where(F.col("distance") <= close).select("a", "b"))
-    groups = parts if more.where(F.col("distance") <= close).isEmpty() else written(components(found), "components")
-    return texts, found, groups
+    bounds = (mixed.join(known.withColumnRenamed("b", "tid"), ["a", "tid"], "left").join(alone, "tid", "left")
+              .select("key", "tid", "n_runs", "root", "minor", F.coalesce(own, size_bound).alias("low"),
+                      F.coalesce(own, F.lit(1.0)).alias("high"), (F.col("n_runs") - F.coalesce("alone", F.lit(0))).alias("most")))
+    # a text whose unshared runs alone take it below the threshold has no partner
+    bounds = bounds.where(F.col("most") >= threshold * F.col("n_runs"))
+    more = written(_across(bounds, bodies.join(distinct.select("tid", "bands"), "tid"), threshold), "rest-links")
+    if more.isEmpty():
+        return texts, first, groups
+    found = first.unionByName(more)
+    return texts, found, written(components(found), "components")
+
+
+def _across(bounds: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between texts of different components in a bucket, one of
+    them minor. Buckets are cut into blocks of about ``BLOCK`` texts and
+    ``BLOCK_BYTES`` bytes; a row holds two blocks, so no pair becomes a row and
+    every text is cut into runs once per row. A pair is looked at in the first
+    bucket it shares, and its links are thinned to a spanning forest."""
+    whole = bounds.join(bodies.select("tid", "text", "sketch", "bands"), "tid")
+    size = bounds.join(bodies.select("tid", F.octet_length("text").alias("bytes")), "tid").groupBy("key").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"),
+        F.max("minor").alias("any"))
+    fields = ("tid", "n_runs", "root", "minor", "low", "high", "most", "text", "sketch", "bands")
+    blocks = written(whole.join(size.where("any"), "key")
+                     .withColumn("block", F.pmod(F.xxhash64("tid"), F.col("blocks")))
+                     .groupBy("key", "block").agg(F.collect_list(F.struct(*fields)).alias("rows"), F.max("minor").alias("minor")),
+                     "bucket-blocks")
+    x, y = blocks.alias("x"), blocks.alias("y")
+    both = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.block") <= F.col("y.block"))
+                   & (F.col("x.minor") | F.col("y.minor")))
+            .select("x.key", (F.col("x.block") == F.col("y.block")).alias("same"), F.col("x.rows").alias("p"), F.col("y.rows").alias("q")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                key, same, p, q = (batch.column(i)[row].as_py() for i in range(4))
+                found = _block_links(key, p, None if same else q, threshold)
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    return both.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _block_links(key: int, p: list[dict], q: list[dict] | None, threshold: float) -> list[tuple[bytes, bytes]]:
+    """The links between two blocks (or inside one) that join components."""
+    rows = p if q is None else p + q
+
+    def of(name: str, kind=None) -> np.ndarray:
+        return np.array([r[name] for r in rows], kind)
+    n, most, low, high, minor = of("n_runs"), of("most"), of("low"), of("high"), of("minor", bool)
+    root = np.unique([r["root"] for r in rows], return_inverse=True)[1]
+    sketch = np.frombuffer(b"".join(r["sketch"] for r in rows), np.uint8).reshape(len(rows), -1)
+    band = of("bands")
+    i, j = np.triu_indices(len(rows), 1) if q is None else (x.ravel() for x in np.meshgrid(
+        np.arange(len(p)), np.arange(len(p), len(rows)), indexing="ij"))
+    share = np.minimum(most[i], most[j])
+    ok = ((minor[i] | minor[j]) & (root[i] != root[j]) & (share >= threshold * (n[i] + n[j] - share))
+          & (np.minimum(n[i], n[j]) >= threshold * np.maximum(n[i], n[j]))
+          & (np.maximum(low[i] - high[j], low[j] - high[i]) <= 1 - threshold + 1e-12))
+    i, j = i[ok], j[ok]
+    kept = []
+    for begin in range(0, len(i), 20_000):
+        a, b = i[begin:begin + 20_000], j[begin:begin + 20_000]
+        good = _alike(sketch[a], sketch[b], threshold - SLACK)
+        a, b = a[good], b[good]
+        equal = band[a] == band[b]
+        first = equal.argmax(1)
+        here = band[a, first] == key
+        kept.append((a[here], b[here]))
+    if not kept or not sum(len(a) for a, _ in kept):
+        return []
+    i, j = (np.concatenate(x) for x in zip(*kept, strict=True))
+    owner, run, weight = shingles([r["text"] for r in rows])
+    at = np.searchsorted(owner, np.arange(len(rows) + 1))
+    top = list(range(len(rows)))
+
+    def head(v: int) -> int:
+        while top[v] != v:
+            top[v] = top[top[v]]
+            v = top[v]
+        return v
+
+    out = []
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        x, y = head(a), head(b)
+        if x == y:
+            continue
+        own, other = run[at[a]:at[a + 1]], run[at[b]:at[b + 1]]
+        _, s, t = np.intersect1d(own, other, assume_unique=True, return_indices=True)
+        shared = np.minimum(weight[at[a] + s], weight[at[b] + t]).sum()
+        if shared >= (threshold - 1e-12) * (n[a] + n[b] - shared):
+            top[y] = x
+            out.append((rows[a]["tid"], rows[b]["tid"]))
+    return out
+
+
+def _unshared(bodies: DataFrame) -> DataFrame:
+    """tid, alone: the weight of the runs that no other of these texts has. They
+    are in no intersection, whatever the partner."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, end, own in _text_rows(batch, 1):
+                owner, runs, weight = shingles(own)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(begin + owner)), pa.array(runs.astype(np.int64)), pa.array(weight)],
+                    names=["tid", "run", "weight"])
+
+    rows = bodies.select("tid", "text").mapInArrow(run, "tid binary, run bigint, weight bigint")
+    once = rows.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("tid").alias("tid"), F.min("weight").alias("weight")).where("n = 1")
+    return once.groupBy("tid").agg(F.sum("weight").alias("alone"))
 
 
 def _text_classes(texts: DataFrame, groups: DataFrame) -> DataFrame:
