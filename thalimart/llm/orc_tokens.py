@@ -44,7 +44,7 @@ STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
 #: Bytes of text that one file holds on average.
 FILE_BYTES = 64 << 20
-BATCH_IDS, CACHE_PIECES = 500_000, 700_000
+BATCH_IDS, CACHE_PIECES, CACHE_WORDS = 500_000, 300_000, 900_000
 FILE_SCHEMA = "doc_id bigint, file int, before bigint, n bigint, ids array<int>"
 
 _LETTER, _NUMBER = latin_classes()
@@ -85,7 +85,8 @@ class Words(dict):
             return b"".join(map(self.__getitem__, pieces))
         except KeyError:
             if len(self) > CACHE_PIECES:
-                self.clear()
+                self.clear()  # cheap to put together again from the words
+            if len(self.words) > CACHE_WORDS:
                 self.words.clear()
             self.learn({p for p in pieces if p not in self})
             return b"".join(map(self.__getitem__, pieces))
