@@ -38,9 +38,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak no benchmark item (operator 7)."""
-    leaks = written(decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct(), "leaky")
-    return docs.join(leaks.withColumnRenamed("doc_id", "__leaky"), docs.doc_id.eqNullSafe(F.col("__leaky")), "left_anti")
+    """Documents that leak no benchmark item (operator 7). Texts are judged, so
+    rows with one id, or none, do not stand for each other."""
+    leaks = written(decontaminate.text_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("tid").alias("__leaky")).distinct(), "leaky")
+    # null texts leak nothing; numbers spread them over the join
+    key = F.coalesce(decontaminate.text_id(F.col("text")), F.concat(F.lit("null text in row "), F.monotonically_increasing_id().cast("string")).cast("binary"))
+    return docs.withColumn("__tid", key).join(leaks, F.col("__tid") == F.col("__leaky"), "left_anti").select(*docs.columns)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,3 +56,15 @@ def test_planted_passages_equal_a_plain_search(spark):
             if sum(" " + " ".join(words[k:k + 8]) + " " in text for k in range(len(words) - 7)) >= 6:
                 want.add((r.doc_id, i))
     assert got == want and len(got) > 10
+
+
+def test_rows_that_share_an_id_do_not_pool(spark):
+    words = ITEM.split()
+    parts = [" ".join(words[k:k + 10]) for k in (0, 8, 16)]  # each under ENOUGH windows
+    got = run(spark, [*((None, f"{p} {i} and on") for i, p in enumerate(parts)), *((3, f"{p} {i} and on") for i, p in enumerate(parts))], [(10, ITEM)])
+    assert got == {}
+    other = ITEM.replace("Anna", "Omar").replace("12", "7")
+    more = ITEM.replace("Anna", "Lena").replace("12", "9")
+    got = D.leaks(spark.createDataFrame([(3, t, "q", "k") for t in (other, more, other, "nothing in here")], DOCS),
+                  spark.createDataFrame([(10, ITEM, "s")], BENCH)).collect()
+    assert sorted((r.doc_id, r.matched, r.n_windows) for r in got) == [(3, 25, 25)] * 2

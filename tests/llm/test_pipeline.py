@@ -44,3 +44,13 @@ def test_empty_and_odd_rows(spark, tmp_path):
             out.write.parquet(path)
             docs = spark.read.schema(out.schema).parquet(path)
         assert docs.count() <= len(data)
+
+
+def test_a_leaking_row_takes_no_other_row_of_its_id_along(spark, tmp_path):
+    item = "the seven brothers counted all their sheep twice before they went home over the long bridge at night"
+    spark.createDataFrame([(1, item, "")], "item_id long, text string, slots string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, f"see {item}", 1), (None, "a clean text", 2), (None, None, 3), (5, item, 4), (5, "another clean text", 5), (5, None, 6), (6, "", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    clean = P.decontamination(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns
+    assert sorted(r.n for r in clean.collect()) == [2, 3, 5, 6, 7]

@@ -23,9 +23,11 @@ Names are capitalised words inside a sentence; neighbouring names are one slot.
 Units are words of a fixed list right after a number.
 
 Defined results: null and empty texts match nothing; items without a window
-match nothing; equal document ids are one document; a null doc_id is reported
-as null; equal items are reported under each item_id; extra columns are
-ignored; an empty table on either side gives an empty result.
+match nothing; a document is a text under its id, so rows that share an id (or
+have none) but not the text are looked at, and reported, one by one, and equal
+rows are reported once; a null doc_id is reported as null; equal items are
+reported under each item_id; extra columns are ignored; an empty table on either
+side gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mix64, slices, written
@@ -189,7 +191,7 @@ def window_bitmap(items: DataFrame) -> tuple[np.ndarray, list[int]]:
 
 
 def document_windows(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> DataFrame:
-    """doc_id, size, pos, key, slots of the documents' windows that may match."""
+    """doc_id, tid, size, pos, key, slots of the documents' windows that may match."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,37 +205,49 @@ def document_windows(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> D
                     owner, key, pos, first, slot = windows(own, size)
                     bit = key % _U(BITMAP_BITS)
                     hit = np.flatnonzero(bits[(bit >> _U(6)).astype(np.int64)] >> (bit & _U(63)) & _U(1))
+                    at = pa.array(begin + owner[hit])
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(begin + owner[hit])), pa.array(np.full(len(hit), size, np.int32)),
+                        [batch.column(0).take(at), batch.column(2).take(at), pa.array(np.full(len(hit), size, np.int32)),
                          pa.array(pos[hit]), pa.array(key[hit].astype(np.int64)), _slots(slot, first[hit], size)],
-                        names=["doc_id", "size", "pos", "key", "slots"])
+                        names=["doc_id", "tid", "size", "pos", "key", "slots"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        run, "doc_id bigint, size int, pos bigint, key bigint, slots array<bigint>")
+    return docs.select(F.col("doc_id").cast("bigint"), "text", text_id(F.col("text")).alias("tid")).mapInArrow(
+        run, "doc_id bigint, tid binary, size int, pos bigint, key bigint, slots array<bigint>")
+
+
+def text_id(text: Column) -> Column:
+    """What tells texts apart; null for a null text."""
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_windows of the item, matched (windows that agree),
     verbatim (of these, with the item's own slot values) for every leak."""
+    return text_leaks(docs, benchmark).drop("tid")
+
+
+def text_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``leaks`` with tid, the ``text_id`` of the leaking text."""
     items = written(item_windows(benchmark), "benchmark-windows")
     bitmap, sizes = window_bitmap(items)
     found = document_windows(docs, bitmap, sizes)
     # equal windows of a document count once per item position and slot values
     hits = (found.join(items.withColumnsRenamed({"slots": "item_slots", "pos": "item_pos"}), ["key", "size"])
-            .groupBy("doc_id", "item_id", "item_pos", "n", "item_slots", "slots").agg(F.count(F.lit(1)).alias("times")))
+            .groupBy("doc_id", "tid", "item_id", "item_pos", "n", "item_slots", "slots").agg(F.count(F.lit(1)).alias("times")))
     hits = written(hits, "template-hits")
     pair = (F.explode(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))).alias("p"))
-    values = (hits.where("exists(item_slots, v -> v != 0)").select("doc_id", "item_id", pair).where("p.i != 0")
-              .groupBy("doc_id", "item_id", F.col("p.i").alias("i"), F.col("p.d").alias("d")).agg(F.count(F.lit(1)).alias("w")))
-    order = Window.partitionBy("doc_id", "item_id", "i").orderBy(F.desc("w"), F.desc(F.col("i") == F.col("d")), "d")
+    values = (hits.where("exists(item_slots, v -> v != 0)").select("doc_id", "tid", "item_id", pair).where("p.i != 0")
+              .groupBy("doc_id", "tid", "item_id", F.col("p.i").alias("i"), F.col("p.d").alias("d")).agg(F.count(F.lit(1)).alias("w")))
+    order = Window.partitionBy("doc_id", "tid", "item_id", "i").orderBy(F.desc("w"), F.desc(F.col("i") == F.col("d")), "d")
     chosen = (values.withColumn("r", F.row_number().over(order)).where("r = 1")
-              .groupBy("doc_id", "item_id").agg(F.map_from_entries(F.collect_list(F.struct("i", "d"))).alias("as")))
+              .groupBy("doc_id", "tid", "item_id").agg(F.map_from_entries(F.collect_list(F.struct("i", "d"))).alias("as")))
     h, c = hits.alias("h"), chosen.alias("c")
-    checked = h.join(c, F.col("h.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("h.item_id").eqNullSafe(F.col("c.item_id")), "left")
+    same = (F.col("h.tid") == F.col("c.tid")) & F.col("h.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("h.item_id").eqNullSafe(F.col("c.item_id"))
+    checked = h.join(c, same, "left")
     agree = F.expr("forall(arrays_zip(h.item_slots, h.slots), p -> p.item_slots = 0 OR c.as[p.item_slots] = p.slots)")
     return (checked.where(agree)
-            .groupBy("h.doc_id", "h.item_id", F.col("h.n").alias("n_windows"))
+            .groupBy("h.doc_id", "h.tid", "h.item_id", F.col("h.n").alias("n_windows"))
             .agg(F.count_distinct("h.item_pos").alias("matched"),
                  F.count_distinct(F.when(F.col("h.item_slots") == F.col("h.slots"), F.col("h.item_pos"))).alias("verbatim"))
             .where(F.col("matched") >= F.least(F.lit(ENOUGH), F.col("n_windows")))
-            .select("doc_id", "item_id", "n_windows", "matched", "verbatim"))
+            .select("doc_id", "tid", "item_id", "n_windows", "matched", "verbatim"))
