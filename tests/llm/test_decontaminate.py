@@ -68,3 +68,18 @@ def test_rows_that_share_an_id_do_not_pool(spark):
     got = D.leaks(spark.createDataFrame([(3, t, "q", "k") for t in (other, more, other, "nothing in here")], DOCS),
                   spark.createDataFrame([(10, ITEM, "s")], BENCH)).collect()
     assert sorted((r.doc_id, r.matched, r.n_windows) for r in got) == [(3, 25, 25)] * 2
+
+
+def test_copies_with_values_of_their_own_do_not_out_vote_each_other(spark):
+    def variant(k):
+        name, other = [("Omar", "Lena"), ("Mia", "Paul"), ("Zoe", "Hugo"), ("Ivan", "Rosa"), ("Nina", "Emil")][k % 5]
+        return (ITEM.replace("Anna", name).replace("Peter", other).replace("12 kg", f"{40 + k} km").replace("30", str(100 + 7 * k))
+                .replace("3 hours", f"{61 + k} minutes"))
+    docs = [(n, "\n".join(variant((n * 7 + k) % 23) for k in range(2 + n % 4))) for n in range(40)]
+    docs += [(100 + n, "\n".join([ITEM, *(variant(n + k).replace(f"{40 + n + k} km", "55 km") for k in range(3))])) for n in range(10)]
+    longer = variant(1).replace("apples", "very small apples")  # words put in move the offset
+    docs += [(200, "\n".join([variant(0), longer, variant(2)]))]
+    got = run(spark, docs, [(10, ITEM)])
+    assert set(got) == {(d, 10) for d, _ in docs}
+    assert all(v[0] == 25 for v in got.values())
+    assert all(got[100 + n, 10][1] == 25 for n in range(10))

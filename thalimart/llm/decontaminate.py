@@ -12,10 +12,16 @@ and differ in their slots.
    windows. The bitmap has ``BITMAP_BITS`` bits whatever the benchmark's size (the
    only thing broadcast); a chance hit is dropped by the join.
 3. Document windows and benchmark windows are hash-joined.
-4. Slots are checked per document and item: each benchmark slot value must stand
-   for one document value throughout. Windows that disagree with the most
-   frequent assignment do not count, so a re-parameterised copy passes and a
-   chance sharing of templates does not.
+4. Slots are checked per copy: each benchmark slot value must stand for one
+   document value throughout. Windows that disagree with the most frequent
+   assignment do not count, so a re-parameterised copy passes and a chance
+   sharing of templates does not. A document may hold several copies, each with
+   values of its own, so the windows that may be one copy vote among themselves:
+   those of one offset (position less item position), those of a stretch of
+   offsets as long as the item (two grids, shifted by half of it: words put in
+   or left out move the offset), and, for what is scattered, those of the whole
+   document. The copy with the most windows decides. Windows with the item's own
+   slot values count wherever they are.
 5. A document leaks an item when at least ``ENOUGH`` of its windows agree (all of
    them, if it has fewer): thirteen words in a row, or the whole short item.
 
@@ -34,13 +40,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix64, slices, written
@@ -154,8 +161,8 @@ def _slots(slot: np.ndarray, at: np.ndarray, size: int) -> pa.Array:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, n (windows of the item), size, pos, key, slots. An item shorter
-    than ``WINDOW`` has one window of its own length."""
+    """item_id, n (windows of the item), span (its tokens), size, pos, key, slots.
+    An item shorter than ``WINDOW`` has one window of its own length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,12 +175,12 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
                 owner, key, pos, first, slot = windows([texts[i] for i in at], size)
                 total = np.bincount(owner, minlength=len(at))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at[owner])), pa.array(total[owner]), pa.array(np.full(len(owner), size, np.int32)),
-                     pa.array(pos), pa.array(key.astype(np.int64)), _slots(slot, first, size)],
-                    names=["item_id", "n", "size", "pos", "key", "slots"])
+                    [batch.column(0).take(pa.array(at[owner])), pa.array(total[owner]), pa.array(count[at][owner]),
+                     pa.array(np.full(len(owner), size, np.int32)), pa.array(pos), pa.array(key.astype(np.int64)), _slots(slot, first, size)],
+                    names=["item_id", "n", "span", "size", "pos", "key", "slots"])
 
     return benchmark.select(F.col("item_id").cast("bigint"), "text").mapInArrow(
-        run, "item_id bigint, n bigint, size int, pos bigint, key bigint, slots array<bigint>")
+        run, "item_id bigint, n bigint, span bigint, size int, pos bigint, key bigint, slots array<bigint>")
 
 
 def window_bitmap(items: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -231,23 +238,49 @@ def text_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(item_windows(benchmark), "benchmark-windows")
     bitmap, sizes = window_bitmap(items)
     found = document_windows(docs, bitmap, sizes)
-    # equal windows of a document count once per item position and slot values
-    hits = (found.join(items.withColumnsRenamed({"slots": "item_slots", "pos": "item_pos"}), ["key", "size"])
-            .groupBy("doc_id", "tid", "item_id", "item_pos", "n", "item_slots", "slots").agg(F.count(F.lit(1)).alias("times")))
-    hits = written(hits, "template-hits")
-    pair = (F.explode(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))).alias("p"))
-    values = (hits.where("exists(item_slots, v -> v != 0)").select("doc_id", "tid", "item_id", pair).where("p.i != 0")
-              .groupBy("doc_id", "tid", "item_id", F.col("p.i").alias("i"), F.col("p.d").alias("d")).agg(F.count(F.lit(1)).alias("w")))
-    order = Window.partitionBy("doc_id", "tid", "item_id", "i").orderBy(F.desc("w"), F.desc(F.col("i") == F.col("d")), "d")
-    chosen = (values.withColumn("r", F.row_number().over(order)).where("r = 1")
-              .groupBy("doc_id", "tid", "item_id").agg(F.map_from_entries(F.collect_list(F.struct("i", "d"))).alias("as")))
-    h, c = hits.alias("h"), chosen.alias("c")
-    same = (F.col("h.tid") == F.col("c.tid")) & F.col("h.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("h.item_id").eqNullSafe(F.col("c.item_id"))
-    checked = h.join(c, same, "left")
-    agree = F.expr("forall(arrays_zip(h.item_slots, h.slots), p -> p.item_slots = 0 OR c.as[p.item_slots] = p.slots)")
-    return (checked.where(agree)
-            .groupBy("h.doc_id", "h.tid", "h.item_id", F.col("h.n").alias("n_windows"))
-            .agg(F.count_distinct("h.item_pos").alias("matched"),
-                 F.count_distinct(F.when(F.col("h.item_slots") == F.col("h.slots"), F.col("h.item_pos"))).alias("verbatim"))
+    pair = ["doc_id", "tid", "item_id", "n"]
+    hits = written(found.join(items.withColumnsRenamed({"slots": "item_slots", "pos": "item_pos"}), ["key", "size"])
+                   .select(*pair, "span", "item_pos", "item_slots", "slots", (F.col("pos") - F.col("item_pos")).alias("off")), "template-hits")
+    own = F.col("item_slots") == F.col("slots")
+    counted = (hits.select(*pair, "item_pos", own.alias("own"), F.lit(None).cast("struct<kind:int,at:bigint>").alias("copy"))
+               .where("own").unionByName(_agreeing(hits, pair).select(*pair, "item_pos", F.lit(False).alias("own"), "copy")))
+    # own windows count in every copy; the others once in theirs
+    places = counted.groupBy(*pair, "item_pos").agg(F.max("own").alias("own"), F.collect_set("copy").alias("copies"))
+    copies = (places.select(*pair, "own", F.explode(F.when(F.col("own"), F.array(F.lit(None).cast("struct<kind:int,at:bigint>")))
+                                                    .otherwise(F.col("copies"))).alias("copy"))
+              .groupBy(*pair, "copy").agg(F.count(F.lit(1)).alias("w")))
+    verbatim = F.coalesce(F.max(F.when(F.col("copy").isNull(), F.col("w"))), F.lit(0))
+    best = F.coalesce(F.max(F.when(F.col("copy").isNotNull(), F.col("w"))), F.lit(0))
+    return (copies.groupBy(*pair).agg((verbatim + best).alias("matched"), verbatim.alias("verbatim"))
+            .withColumnRenamed("n", "n_windows")
             .where(F.col("matched") >= F.least(F.lit(ENOUGH), F.col("n_windows")))
             .select("doc_id", "tid", "item_id", "n_windows", "matched", "verbatim"))
+
+
+def _agreeing(hits: DataFrame, pair: list[str]) -> DataFrame:
+    """pair, item_pos and copy of the windows with other slot values than the
+    item's that agree with the most frequent values of their copy."""
+    off, span = F.col("off"), F.col("span")
+    kinds = (F.lit(0).cast("bigint"), off, F.floor(off / span), F.floor((off + F.floor(span / 2)) / span))
+    copy = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), at.cast("bigint").alias("at")) for k, at in enumerate(kinds)]))
+    # a pair without such a window has nothing to vote on
+    other = hits.where("slots != item_slots").select(*pair).distinct().withColumnsRenamed({c: f"o_{c}" for c in pair})
+    voting = hits.where("exists(item_slots, v -> v != 0)")
+    voting = voting.join(other, _same(pair, "o_"), "left_semi")
+    # equal windows of a copy are one row per item position and slot values
+    voting = (voting.select(*pair, "item_pos", "item_slots", "slots", copy.alias("copy"))
+              .groupBy(*pair, "copy", "item_pos", "item_slots", "slots").agg(F.count(F.lit(1)).alias("times")))
+    values = (voting.select(*pair, "copy", F.explode(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))).alias("p"))
+              .where("p.i != 0").groupBy(*pair, "copy", F.col("p.i").alias("i"), F.col("p.d").alias("d")).agg(F.count(F.lit(1)).alias("w")))
+    most = F.max(F.struct("w", (F.col("i") == F.col("d")).alias("own"), F.bitwise_not("d").alias("last"), "d"))
+    chosen = (values.groupBy(*pair, "copy", "i").agg(most.alias("m"))
+              .groupBy(*pair, "copy").agg(F.map_from_entries(F.collect_list(F.struct("i", "m.d"))).alias("as"))
+              .withColumnsRenamed({c: f"c_{c}" for c in [*pair, "copy"]}))
+    agree = F.expr("forall(arrays_zip(item_slots, slots), p -> p.item_slots = 0 OR as[p.item_slots] = p.slots)")
+    return (voting.where("slots != item_slots").join(chosen, _same(pair, "c_") & (F.col("copy") == F.col("c_copy")))
+            .where(agree).select(*pair, "item_pos", "copy"))
+
+
+def _same(columns: list[str], prefix: str) -> Column:
+    """The columns equal, nulls too, those of the other side with the prefix."""
+    return reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(prefix + c)) for c in columns])
