@@ -83,3 +83,22 @@ def test_copies_with_values_of_their_own_do_not_out_vote_each_other(spark):
     assert set(got) == {(d, 10) for d, _ in docs}
     assert all(v[0] == 25 for v in got.values())
     assert all(got[100 + n, 10][1] == 25 for n in range(10))
+
+
+def test_items_of_numbers_names_and_unspaced_scripts_are_found_verbatim(spark):
+    sums = "12 + 7 = 19, 19 + 5 = 24, 24 + 8 = 32, 32 - 11 = 21, 21 * 2 = 42"
+    title = "The Merchant Of The Northern Harbour And The Seven Silver Bells Of King Aldric The Younger"
+    table = "Anna 12 kg 7 km Peter 9 kg 4 km Omar 3 kg 8 km Lena 15 kg 6 km"
+    han = "小明有十二个苹果他把其中五个送给了小红请问他现在还剩下多少个苹果"
+    part = "Which of these is right if 3 5 8 13 and 21 34 55 or 60 70 are given in this order to the class"
+    items = [(1, sums), (2, title), (3, table), (4, han), (5, "4 8 15 16 23"), (6, part)]
+    filler = "other words follow here in this part of the text"
+    docs = [(i, f"{filler} {t} {filler}") for i, t in items]
+    docs[-1] = (6, f"{filler} right if 3 5 8 13 and 21 34 55 or 60 70 {filler}")  # thirteen words of it
+    docs += [(11, "12 + 7 = 19, 20 + 5 = 25, 24 + 9 = 33, 32 - 12 = 20, 21 * 3 = 63"), (12, title.replace("Of ", "By ")),
+             (13, table.replace("12", "13").replace("9", "10").replace("3 kg", "5 kg")), (14, "小明有十二个梨他把其中五个送给了小红"),
+             (15, "4 8 15 17 23"), (16, "right if 3 5 8 13 and 22 34 55 or 60 70"), (17, "请看其中五个送给了小红请问他现在吗")]
+    got = run(spark, docs, items)
+    assert set(got) == {(i, i) for i, _ in items} | {(17, 4)}
+    assert all(got[i, i][0] == got[i, i][1] == got[i, i][2] for i in range(1, 6))
+    assert got[17, 4][0] == 7 and got[6, 6][0] == 6

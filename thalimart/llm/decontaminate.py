@@ -7,7 +7,9 @@ and differ in their slots.
 
 1. Every benchmark item is cut into its windows of ``WINDOW`` canonical tokens
    (an item with fewer tokens is one window). A window needs ``LITERALS`` plain
-   words, else placeholders alone would match anything.
+   words, else placeholders alone would match anything. An item with fewer in
+   some run of ``WINDOW`` words (numbers, units, Title Case) is also cut into
+   windows of its words as they are (lower-cased), whose matches are verbatim.
 2. Documents emit a window only if its hash is set in a bitmap of the benchmark's
    windows. The bitmap has ``BITMAP_BITS`` bits whatever the benchmark's size (the
    only thing broadcast); a chance hit is dropped by the join.
@@ -24,12 +26,15 @@ and differ in their slots.
    slot values count wherever they are.
 5. A document leaks an item when at least ``ENOUGH`` of its windows agree (all of
    them, if it has fewer): thirteen words in a row, or the whole short item.
+   Windows of words as they are count by themselves, by the same rule; they are
+   reported when the templates show no leak.
 
 Names are capitalised words inside a sentence; neighbouring names are one slot.
-Units are words of a fixed list right after a number.
+Units are words of a fixed list right after a number. In scripts without spaces
+every character is a word.
 
-Defined results: null and empty texts match nothing; items without a window
-match nothing; a document is a text under its id, so rows that share an id (or
+Defined results: null and empty texts match nothing; items under ``LITERALS``
+words match nothing; a document is a text under its id, so rows that share an id (or
 have none) but not the text are looked at, and reported, one by one, and equal
 rows are reported once; a null doc_id is reported as null; equal items are
 reported under each item_id; extra columns are ignored; an empty table on either
@@ -64,7 +69,11 @@ kilograms lb lbs pound pounds oz ounce ounces ton tons ml l liter liters litre l
 second seconds sec minute minutes min hour hours h day days week weeks month months year years
 dollar dollars usd euro euros eur cent cents percent degrees degree mph kmh watt watts volt volts""".split())
 
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]")
+# fixed values: scripts that put no spaces between words (Thai, Lao, Myanmar, Khmer,
+# Tai, Balinese, Javanese, kana, Han)
+_UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\u1b00-\u1b7f\ua980-\ua9ff\uaa60-\uaadf"
+             "\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
+_TOKEN = re.compile(rf"\d+(?:[.,]\d+)*|[^\W\d_{_UNSPACED}]+|[{_UNSPACED}]|[.!?\n]")
 _U = np.uint64
 #: Kinds of canonical tokens; the codes of the slots go into the hashes.
 WORD, NUM, NAME, UNIT, STOP = 0, 1, 2, 3, 4
@@ -109,14 +118,21 @@ _TOKENS = Tokens()
 _PLACE = np.array([0, *(xxhash.xxh3_64_intdigest(x) for x in ("<num>", "<name>", "<unit>"))], np.uint64)
 
 
-def canonical(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """owner, canonical hash and slot value hash (0 for a plain word) of the
-    canonical tokens of all texts."""
+Cut = tuple[np.ndarray, np.ndarray]
+
+
+def tokens(texts: list[str]) -> Cut:
+    """owner and row of ``Tokens`` of the raw tokens of all texts."""
     found = [_TOKEN.findall(t) for t in texts]
     sizes = np.array([len(f) for f in found], np.int64)
-    n = int(sizes.sum())
-    table = _TOKENS.rows(chain.from_iterable(found), n)
-    owner = np.repeat(np.arange(len(texts)), sizes)
+    return np.repeat(np.arange(len(texts)), sizes), _TOKENS.rows(chain.from_iterable(found), int(sizes.sum()))
+
+
+def canonical(cut: Cut) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """owner, canonical hash and slot value hash (0 for a plain word) of the
+    canonical tokens of all texts."""
+    owner, table = cut
+    n = len(owner)
     value, plain = table[:, 0], table[:, 1]
     inside, at_start, unit = (table[:, i].astype(np.int8) for i in (2, 3, 4))
     begins = np.ones(n, bool)
@@ -134,24 +150,34 @@ def canonical(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return owner[head], np.where(kind[head] == WORD, plain[head], _PLACE[kind[head]]), slot[last]
 
 
-def windows(texts: list[str], size: int) -> tuple[np.ndarray, ...]:
-    """owner, hash, position and first token of the windows of ``size`` tokens
-    that hold ``LITERALS`` plain words, and the slot values of all tokens."""
-    owner, canon, slot = canonical(texts)
+def as_written(cut: Cut) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """owner, hash and 1 for what is no plain word (number, unit word, name) of
+    the lower-cased words of all texts."""
+    owner, table = cut
+    real = table[:, 2] != STOP
+    rest = (table[:, 2] != WORD) | (table[:, 4] == 1)
+    return owner[real], table[real, 1], rest[real].astype(np.uint64)
+
+
+def windows(read: tuple[np.ndarray, np.ndarray, np.ndarray], size: int, raw: bool = False) -> tuple[np.ndarray, ...]:
+    """owner, hash, position, first token and number of plain words of the
+    windows of ``size`` tokens of ``canonical`` or, ``raw``, ``as_written`` texts,
+    and the slot values of all tokens. A template's window needs ``LITERALS`` plain words."""
+    owner, canon, slot = read
     n = max(0, len(owner) - size + 1)
     if not n:
         none = np.zeros(0, np.int64)
-        return none, none.astype(np.uint64), none, none, slot
-    key = np.full(n, size, np.uint64)
+        return none, none.astype(np.uint64), none, none, none, slot
+    key = np.full(n, size + (WINDOW + 1) * raw, np.uint64)
     plain = np.zeros(n, np.int64)
     for j in range(size):
         key = mix64(key * _U(0x9E3779B97F4A7C15) + canon[j:j + n])
         plain += slot[j:j + n] == 0
-    at = np.flatnonzero((owner[:n] == owner[size - 1:size - 1 + n]) & (plain >= min(LITERALS, size)))
+    at = np.flatnonzero((owner[:n] == owner[size - 1:size - 1 + n]) & (raw | (plain >= min(LITERALS, size))))
     first = np.r_[0, np.flatnonzero(owner[1:] != owner[:-1]) + 1]
     begin = np.zeros(int(owner.max()) + 1, np.int64)
     begin[owner[first]] = first
-    return owner[at], key[at], at - begin[owner[at]], at, slot
+    return owner[at], key[at], at - begin[owner[at]], at, plain[at], slot
 
 
 def _slots(slot: np.ndarray, at: np.ndarray, size: int) -> pa.Array:
@@ -161,44 +187,52 @@ def _slots(slot: np.ndarray, at: np.ndarray, size: int) -> pa.Array:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, n (windows of the item), span (its tokens), size, pos, key, slots.
-    An item shorter than ``WINDOW`` has one window of its own length."""
+    """item_id, n (windows of the item), span (its tokens), size, raw, pos, key,
+    slots. An item shorter than ``WINDOW`` has one window of its own length. Raw
+    windows (of words as they are, without slots) are of items of which some have
+    less than ``LITERALS`` plain words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            count = np.bincount(canonical(texts)[0], minlength=len(texts))
-            for size in range(LITERALS, WINDOW + 1):
-                at = np.flatnonzero(count >= WINDOW if size == WINDOW else count == size)
-                if not len(at):
-                    continue
-                owner, key, pos, first, slot = windows([texts[i] for i in at], size)
-                total = np.bincount(owner, minlength=len(at))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at[owner])), pa.array(total[owner]), pa.array(count[at][owner]),
-                     pa.array(np.full(len(owner), size, np.int32)), pa.array(pos), pa.array(key.astype(np.int64)), _slots(slot, first, size)],
-                    names=["item_id", "n", "span", "size", "pos", "key", "slots"])
+            for raw, reader in ((False, canonical), (True, as_written)):
+                count = np.bincount(reader(tokens(texts))[0], minlength=len(texts))
+                for size in range(LITERALS, WINDOW + 1):
+                    at = np.flatnonzero(count >= WINDOW if size == WINDOW else count == size)
+                    if not len(at):
+                        continue
+                    owner, key, pos, first, plain, slot = windows(reader(tokens([texts[i] for i in at])), size, raw)
+                    if raw:
+                        own = np.isin(owner, owner[plain < LITERALS])
+                        owner, key, pos, first = owner[own], key[own], pos[own], first[own]
+                    total = np.bincount(owner, minlength=len(at))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(at[owner])), pa.array(total[owner]), pa.array(count[at][owner]),
+                         pa.array(np.full(len(owner), size, np.int32)), pa.array(np.full(len(owner), raw)), pa.array(pos),
+                         pa.array(key.astype(np.int64)), _slots(slot, first, 0 if raw else size)],
+                        names=["item_id", "n", "span", "size", "raw", "pos", "key", "slots"])
 
     return benchmark.select(F.col("item_id").cast("bigint"), "text").mapInArrow(
-        run, "item_id bigint, n bigint, span bigint, size int, pos bigint, key bigint, slots array<bigint>")
+        run, "item_id bigint, n bigint, span bigint, size int, raw boolean, pos bigint, key bigint, slots array<bigint>")
 
 
-def window_bitmap(items: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """The bitmap of the benchmark's window hashes and the window sizes in use.
+def window_bitmap(items: DataFrame) -> tuple[np.ndarray, list[tuple[bool, int]]]:
+    """The bitmap of the benchmark's window hashes and the kinds of windows (raw,
+    size) in use.
     At most ``BITMAP_BITS / 64`` rows reach the driver, whatever the benchmark."""
     bit = F.pmod("key", F.lit(BITMAP_BITS))
     cells = items.groupBy(F.shiftright(bit, 6).alias("cell")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(key, {BITMAP_BITS}) & 63 as int))")).alias("bits"),
-        F.collect_set("size").alias("sizes"))
+        F.collect_set(F.struct("raw", "size")).alias("sizes"))
     bitmap, sizes = np.zeros(BITMAP_BITS // 64, np.int64), set()
     for r in cells.toLocalIterator():
         bitmap[r.cell] = r.bits
-        sizes.update(r.sizes)
+        sizes.update((s.raw, s.size) for s in r.sizes)
     return bitmap.view(np.uint64), sorted(sizes)
 
 
-def document_windows(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> DataFrame:
-    """doc_id, tid, size, pos, key, slots of the documents' windows that may match."""
+def document_windows(docs: DataFrame, bitmap: np.ndarray, sizes: list[tuple[bool, int]]) -> DataFrame:
+    """doc_id, tid, size, raw, pos, key, slots of the documents' windows that may match."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,18 +242,21 @@ def document_windows(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> D
             weights = [(x or 0) // 6 for x in pc.binary_length(texts).to_pylist()]
             for begin, end in slices(weights, BATCH_WORDS):
                 own = [t or "" for t in texts[begin:end].to_pylist()]
-                for size in sizes:
-                    owner, key, pos, first, slot = windows(own, size)
+                cut = tokens(own)
+                read = {raw: as_written(cut) if raw else canonical(cut) for raw in {raw for raw, _ in sizes}}
+                for raw, size in sizes:
+                    owner, key, pos, first, _, slot = windows(read[raw], size, raw)
                     bit = key % _U(BITMAP_BITS)
                     hit = np.flatnonzero(bits[(bit >> _U(6)).astype(np.int64)] >> (bit & _U(63)) & _U(1))
                     at = pa.array(begin + owner[hit])
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(at), batch.column(2).take(at), pa.array(np.full(len(hit), size, np.int32)),
-                         pa.array(pos[hit]), pa.array(key[hit].astype(np.int64)), _slots(slot, first[hit], size)],
-                        names=["doc_id", "tid", "size", "pos", "key", "slots"])
+                         pa.array(np.full(len(hit), raw)), pa.array(pos[hit]), pa.array(key[hit].astype(np.int64)),
+                         _slots(slot, first[hit], 0 if raw else size)],
+                        names=["doc_id", "tid", "size", "raw", "pos", "key", "slots"])
 
     return docs.select(F.col("doc_id").cast("bigint"), "text", text_id(F.col("text")).alias("tid")).mapInArrow(
-        run, "doc_id bigint, tid binary, size int, pos bigint, key bigint, slots array<bigint>")
+        run, "doc_id bigint, tid binary, size int, raw boolean, pos bigint, key bigint, slots array<bigint>")
 
 
 def text_id(text: Column) -> Column:
@@ -238,8 +275,8 @@ def text_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(item_windows(benchmark), "benchmark-windows")
     bitmap, sizes = window_bitmap(items)
     found = document_windows(docs, bitmap, sizes)
-    pair = ["doc_id", "tid", "item_id", "n"]
-    hits = written(found.join(items.withColumnsRenamed({"slots": "item_slots", "pos": "item_pos"}), ["key", "size"])
+    pair = ["doc_id", "tid", "item_id", "raw", "n"]
+    hits = written(found.join(items.withColumnsRenamed({"slots": "item_slots", "pos": "item_pos"}), ["key", "size", "raw"])
                    .select(*pair, "span", "item_pos", "item_slots", "slots", (F.col("pos") - F.col("item_pos")).alias("off")), "template-hits")
     own = F.col("item_slots") == F.col("slots")
     counted = (hits.select(*pair, "item_pos", own.alias("own"), F.lit(None).cast("struct<kind:int,at:bigint>").alias("copy"))
@@ -251,10 +288,11 @@ def text_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
               .groupBy(*pair, "copy").agg(F.count(F.lit(1)).alias("w")))
     verbatim = F.coalesce(F.max(F.when(F.col("copy").isNull(), F.col("w"))), F.lit(0))
     best = F.coalesce(F.max(F.when(F.col("copy").isNotNull(), F.col("w"))), F.lit(0))
-    return (copies.groupBy(*pair).agg((verbatim + best).alias("matched"), verbatim.alias("verbatim"))
-            .withColumnRenamed("n", "n_windows")
-            .where(F.col("matched") >= F.least(F.lit(ENOUGH), F.col("n_windows")))
-            .select("doc_id", "tid", "item_id", "n_windows", "matched", "verbatim"))
+    leaked = (copies.groupBy(*pair).agg((verbatim + best).alias("matched"), verbatim.alias("verbatim"))
+              .where(F.col("matched") >= F.least(F.lit(ENOUGH), F.col("n"))))
+    row = F.struct("raw", F.col("n").alias("n_windows"), "matched", "verbatim")  # templates first
+    return (leaked.groupBy("doc_id", "tid", "item_id").agg(F.min(row).alias("m"))
+            .select("doc_id", "tid", "item_id", "m.n_windows", "m.matched", "m.verbatim"))
 
 
 def _agreeing(hits: DataFrame, pair: list[str]) -> DataFrame:
