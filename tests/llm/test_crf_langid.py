@@ -70,3 +70,22 @@ def test_edge_rows(spark):
     assert nothing is None
     assert {r.lang_pred for r in C.predict(docs, nothing).collect()} == {"und"}
     assert C.predict(docs.limit(0), model).collect() == []
+
+
+def test_sample_is_drawn_among_rows_with_words_and_from_long_texts(spark):
+    schema = "doc_id long, text string, lang string"
+    x, y, z = "alpha beta gamma delta ", "rot grun blau gelb ", "uno due tre quattro "
+    rows = [(i, x * 1200, "x") for i in range(20)]  # long texts only
+    rows += [(i, None if i % 3 else "12 34", "y") for i in range(100, 190)] + [(190, y * 5, "y"), (191, y * 6, "y")]
+    rows += [(200, z * 5 + str(i), "z") for i in range(60)] + [(200, z * 9, "z")] * 60  # one id
+    rows += [(300, "." * 30_000 + " eins zwei drei " + "7 " * 30_000, "w")]
+    docs = spark.createDataFrame(rows, schema)
+    model = C.fit(docs, F.col("doc_id").isNotNull(), train_docs=2)
+    assert model.languages == ["w", "x", "y", "z"]
+    got = {r.doc_id: r.lang_pred for r in C.predict(docs.where("doc_id in (0, 190, 200, 300)"), model).collect()}
+    assert got == {0: "x", 190: "y", 200: "z", 300: "w"}
+    again = C.fit(docs.repartition(7), F.col("doc_id").isNotNull(), train_docs=2)
+    assert (again.weights == model.weights).all() and again.lexicon == model.lexicon
+    long = spark.createDataFrame(rows[:1] + [(1, "z" * 50_000, "x")], schema).select(C.sample(F.col("text"))).collect()
+    assert set(long[0][0].split()) == set(x.split()) and C.TRAIN_CHARS * 0.9 < len(long[0][0]) <= C.TRAIN_CHARS + C.PIECES
+    assert set(long[1][0]) == {"z", "\n"}

@@ -9,10 +9,12 @@ language is the one with the largest mean share over its words, and that share
 is the score.
 
 Training. The classifier is fitted on a bounded sample of labelled rows:
-``TRAIN_DOCS`` rows per language (those with the smallest hash of doc_id), for
-the ``LANGUAGES`` most frequent languages; of these, rows longer than
-``TRAIN_CHARS`` characters are left out of the fit. Both bounds are parameters. The rows are cut into short runs that
-are shuffled into code-switched training chains, so transitions between
+``TRAIN_DOCS`` rows per language (those with the smallest hash of doc_id and
+text) among the rows that have words, for the ``LANGUAGES`` languages most frequent
+there; equal rows count once. A row longer than ``TRAIN_CHARS`` characters gives
+``PIECES`` pieces of that length together, from its first word on and evenly over
+the text. Both bounds are parameters. The rows are cut into short runs that are
+shuffled into code-switched training chains, so transitions between
 languages are seen. Prediction reads every word of every text.
 
 Prediction. A chain is cut into blocks; each block's transfer matrix (product
@@ -45,6 +47,8 @@ from .common import slices
 
 TRAIN_DOCS = 200
 TRAIN_CHARS = 20_000
+#: Pieces drawn from a longer row.
+PIECES = 20
 LANGUAGES = 200
 #: Hashed feature weights per language.
 FEATURES = 1 << 16
@@ -58,6 +62,8 @@ BATCH_WORDS, BLOCK, CACHE_WORDS = 200_000, 32, 400_000
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
+#: Characters of words, for Spark's expressions.
+_LETTER = "\\p{L}\\p{Nl}\\p{No}"
 
 
 def words(text: str | None) -> list[str]:
@@ -171,18 +177,35 @@ def fit(docs: DataFrame, labelled: Column, train_docs: int = TRAIN_DOCS) -> Mode
     Narrow rows choose the sample - a row_number per language, limited before
     its shuffle - and only the chosen rows' texts are fetched (bounded by
     ``LANGUAGES * train_docs * TRAIN_CHARS``)."""
-    pool = docs.where(labelled & F.col("lang").isNotNull())
-    pick = F.xxhash64(F.col("doc_id").cast("string"), F.lit(17)).alias("pick")
-    narrow = pool.select("doc_id", "lang", pick)
+    pick = F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit(17))
+    pool = docs.where(labelled & F.col("lang").isNotNull() & F.col("text").rlike(f"[{_LETTER}]")).select("doc_id", "lang", "text", pick.alias("pick"))
+    narrow = pool.select("doc_id", "lang", "pick")
     langs = [r[0] for r in narrow.groupBy("lang").count()
              .orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
     order = Window.partitionBy("lang").orderBy("pick", "doc_id")
-    chosen = (narrow.where(F.col("lang").isin(langs)).withColumn("n", F.row_number().over(order))
-              .where(F.col("n") <= train_docs).select("doc_id").distinct())
-    rows = pool.where(F.length("text").between(1, TRAIN_CHARS)).join(F.broadcast(chosen), "doc_id")
-    keep = (rows.where(F.col("lang").isin(langs)).select("lang", "text", pick)
-            .limit(2 * train_docs * max(1, len(langs))))
-    return train(sorted((r[0], r[1], r[2]) for r in keep.collect()))
+    chosen = (narrow.where(F.col("lang").isin(langs)).distinct().withColumn("n", F.row_number().over(order))
+              .where(F.col("n") <= train_docs).select("doc_id", "lang", "pick"))
+    rows = pool.join(F.broadcast(chosen), ["doc_id", "lang", "pick"])
+    # equal rows are one
+    keep = rows.select("doc_id", "lang", sample(F.col("text")).alias("text"), "pick").distinct()
+    return train(sorted((r.lang, r.text, r.pick) for r in keep.collect()))
+
+
+def sample(text: Column) -> Column:
+    """A text of up to ``TRAIN_CHARS`` characters as it is; else its pieces, less
+    words that the cuts split, unless such a word is all there is."""
+    body = F.regexp_replace(text, f"^[^{_LETTER}]++", "")
+    size = TRAIN_CHARS // PIECES
+
+    def piece(k: int) -> Column:
+        begin = F.floor((F.length(body) - size).cast("bigint") * F.lit(k) / F.lit(PIECES - 1)) if k else F.lit(0)
+        own = F.substring(body, begin.cast("int") + 1, F.lit(size))
+        whole = F.regexp_replace(own, f"[{_LETTER}]++$" if k == 0 else f"^[{_LETTER}]++" if k == PIECES - 1 else f"^[{_LETTER}]++|[{_LETTER}]++$", "")
+        return F.when(whole.rlike(f"[{_LETTER}]"), whole).otherwise(own)
+
+    # what follows the first word may be short
+    return (F.when(F.length(text) <= TRAIN_CHARS, text).when(F.length(body) <= TRAIN_CHARS, body)
+            .otherwise(F.concat_ws("\n", *map(piece, range(PIECES)))))
 
 
 class Scorer:
