@@ -3,8 +3,8 @@ drop benchmark leaks, encode.
 
 Every stage reads what its predecessor wrote and decides about whole texts. A
 row is dropped only by the decision of its stage: language identification drops
-texts without a language (null, no letter, or no language with half of the
-words); near-dedup keeps one document of each class; decontamination drops
+texts without a language (null, no letter, or words that are on average less than
+half certain of their own language, so texts that switch languages stay); near-dedup keeps one document of each class; decontamination drops
 documents that leak a benchmark item. The last stage returns the encoded
 documents. Empty tables give empty results; extra columns pass through.
 """
@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 from thalimart.llm import bpe_stream, crf_langid, dartminhash, decontaminate
 from thalimart.llm.common import scratch, table, written
 
-#: A text whose best language has a smaller mean share of its words is rejected.
+#: A text whose words' best languages have a smaller mean share is rejected.
 LEAST_SHARE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose words have a language (operator 5)."""
     model = crf_langid.fit(docs, crf_langid.trained_rows(docs.doc_id))
-    found = crf_langid.predict(docs, model, tuple(docs.columns), marks=("__lang", "__share"))
+    found = crf_langid.predict(docs, model, tuple(docs.columns), marks=("__lang", "__score", "__share"))
     sure = (F.col("__lang") != crf_langid.UNKNOWN) & (F.col("__share") >= LEAST_SHARE)
     return found.where(sure).select(*docs.columns)
 

@@ -54,3 +54,16 @@ def test_a_leaking_row_takes_no_other_row_of_its_id_along(spark, tmp_path):
     clean = P.decontamination(spark, docs, str(tmp_path))
     assert clean.columns == docs.columns
     assert sorted(r.n for r in clean.collect()) == [2, 3, 5, 6, 7]
+
+
+def test_code_switched_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted((r for r in docs.where("n_chars > 900").collect()), key=lambda r: r.doc_id)
+    cut = {lang: [w for r in rows if r.lang == lang for w in r.text.split()] for lang in ("de", "en", "es", "fr")}
+    mixed = [" ".join(cut[a][n * 40:n * 40 + 40] + cut[b][n * 30:n * 30 + 30] + cut[c][n * 30:n * 30 + 30])
+             for n, (a, b, c) in enumerate([("de", "en", "es"), ("en", "fr", "de"), ("es", "de", "fr"), ("fr", "es", "en")])]
+    more = spark.createDataFrame([(10**9 + n, t) for n, t in enumerate(mixed)], "doc_id long, text string")
+    both = docs.unionByName(more, allowMissingColumns=True)
+    kept = {r.doc_id for r in P.language_id(spark, both, "").select("doc_id").collect()}
+    gone = [r for r in both.collect() if r.doc_id not in kept]
+    assert [r for r in gone if r.text and any(c.isalpha() for c in r.text)] == []  # only texts without a letter may go

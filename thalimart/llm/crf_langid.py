@@ -284,8 +284,9 @@ def posteriors(psi: np.ndarray, sizes: np.ndarray, step: np.ndarray) -> np.ndarr
     return out / out.sum(1, keepdims=True)
 
 
-def _predict(model: Model, scorer: Scorer, texts: list[list[str]]) -> list[tuple[str, float]]:
-    out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
+def _predict(model: Model, scorer: Scorer, texts: list[list[str]]) -> list[tuple[str, float, float]]:
+    """Language, its mean share and the mean of each word's largest share."""
+    out: list[tuple[str, float, float]] = [(UNKNOWN, 0.0, 0.0)] * len(texts)
     full = [i for i, found in enumerate(texts) if found]
     if not full:
         return out
@@ -293,10 +294,12 @@ def _predict(model: Model, scorer: Scorer, texts: list[list[str]]) -> list[tuple
     psi = scorer.factors([w for i in full for w in texts[i]])
     trans = model.transition
     post = posteriors(psi.astype(np.float64), sizes, np.exp(trans - trans.max()))
-    share = np.add.reduceat(post, np.r_[0, np.cumsum(sizes)[:-1]]) / sizes[:, None]
-    for i, row in zip(full, share, strict=True):
+    begin = np.r_[0, np.cumsum(sizes)[:-1]]
+    share = np.add.reduceat(post, begin) / sizes[:, None]
+    sure = np.add.reduceat(post.max(1), begin) / sizes
+    for i, row, own in zip(full, share, sure, strict=True):
         best = int(row.argmax())
-        out[i] = model.languages[best], float(min(1.0, row[best]))
+        out[i] = model.languages[best], float(min(1.0, row[best])), float(min(1.0, own))
     return out
 
 
@@ -304,14 +307,15 @@ _SCORERS: dict[int, tuple[Model, Scorer]] = {}
 
 
 def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",),
-            marks: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``keep`` columns and the language and its share, named ``marks``. Only
-    text is looked at."""
+            marks: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns and the language, its share and, if a third name is
+    given, the words' mean certainty (share of each word's own best language),
+    named ``marks``. Only text is looked at."""
     kinds = [docs.schema[c] for c in keep]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds)
-    schema = f"{fields}, `{marks[0]}` string, `{marks[1]}` double"
+    schema = ", ".join([fields, f"`{marks[0]}` string", *(f"`{m}` double" for m in marks[1:])])
     if model is None:
-        return docs.select(*keep, F.lit(UNKNOWN).alias(marks[0]), F.lit(0.0).alias(marks[1]))
+        return docs.select(*keep, F.lit(UNKNOWN).alias(marks[0]), *(F.lit(0.0).alias(m) for m in marks[1:]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     sent = keep if "text" in keep else (*keep, "text")  # a kept text travels once
     at = sent.index("text")
@@ -325,12 +329,12 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
         for batch in batches:
             texts = batch.column(at)
             weights = [(n or 0) // 6 for n in pc.binary_length(texts).to_pylist()]
-            found: list[tuple[str, float]] = []
+            found: list[tuple[str, float, float]] = []
             for begin, end in slices(weights, BATCH_WORDS):
                 found += _predict(own, scorer, [words(t) for t in texts[begin:end].to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], pa.array([x[0] for x in found], pa.string()),
-                 pa.array([x[1] for x in found], pa.float64())],
+                 *(pa.array([x[n] for x in found], pa.float64()) for n in range(1, len(marks)))],
                 names=[*keep, *marks])
 
     return docs.select(*sent).mapInArrow(run, schema)
