@@ -178,7 +178,9 @@ def fit(docs: DataFrame, labelled: Column, train_docs: int = TRAIN_DOCS) -> Mode
     its shuffle - and only the chosen rows' texts are fetched (bounded by
     ``LANGUAGES * train_docs * TRAIN_CHARS``)."""
     pick = F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit(17))
-    pool = docs.where(labelled & F.col("lang").isNotNull() & F.col("text").rlike(f"[{_LETTER}]")).select("doc_id", "lang", "text", pick.alias("pick"))
+    # the pattern decodes what it reads: most texts show a word at their start
+    spoken = F.substring("text", 1, 200).rlike(f"[{_LETTER}]") | F.col("text").rlike(f"[{_LETTER}]")
+    pool = docs.where(labelled & F.col("lang").isNotNull() & spoken).select("doc_id", "lang", "text", pick.alias("pick"))
     narrow = pool.select("doc_id", "lang", "pick")
     langs = [r[0] for r in narrow.groupBy("lang").count()
              .orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
