@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,34 @@ def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
+#: What a word of ASCII letters, digits and all else beyond ASCII is made of; A-Z
+#: become small, every other byte a blank.
+_WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
+
+
+def ascii_words(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text in UTF-8, in runs from about ``size`` bytes each, so
+    that a very long text never stands in memory as one list."""
+    plain, begin = data.translate(_WORD_BYTES), 0
+    while begin < len(plain):
+        end = plain.find(b" ", begin + size)
+        yield plain[begin:end if end >= 0 else len(plain)].split()
+        begin = end if end >= 0 else len(plain)
+
+
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """``name``, lengthened until no column is called so in any case."""
+    own = {c.lower() for c in taken}
+    while name.lower() in own:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> str:
+    """A column name as Spark's parsers read it, dots and back quotes included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift-multiply), elementwise on uint64."""
     x = x ^ (x >> np.uint64(30))

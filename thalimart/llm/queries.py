@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe_stream, crf_langid, dartminhash, decontaminate, expected, hilbert, license_scan, orc_tokens,
-               rp_forest, url_templates, warc_arc)
+               rp_forest, target_resampling, url_templates, warc_arc)
 from .common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,11 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.sharded(table(spark, sf_dir, "documents"))
 
 
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_features, weight, score, rank of every document."""
+    return target_resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_arc_to_warc": op1_arc_to_warc,
     "op2_forest_neighbours": op2_forest_neighbours,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op8_orc_tokens": op8_orc_tokens,
     "op9_dartminhash": op9_dartminhash,
     "op10_hilbert_shards": op10_hilbert_shards,
+    "op11_target_resampling": op11_target_resampling,
 }
 
 SQL: dict[str, str] = {
