@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..session import checkpoint_root
 
@@ -68,6 +70,27 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns c0, c1 ... whatever they were called, and the new name
+    of each (the first, where a name repeats)."""
+    names: dict[str, str] = {}
+    for i, c in enumerate(df.columns):
+        names.setdefault(c, f"c{i}")
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns)))), names
+
+
+def arrow_mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """``mapInArrow`` for columns of any name, in and out; columns go by position."""
+    inner = StructType([StructField(f"o{i}", f.dataType) for i, f in enumerate(schema.fields)])
+    names = inner.names
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=names)
+
+    return numbered(df)[0].mapInArrow(renamed, inner).toDF(*schema.names)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift-multiply), elementwise on uint64."""
     x = x ^ (x >> np.uint64(30))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe_stream, crf_langid, dartminhash, decontaminate, expected, hilbert, license_scan, orc_tokens,
-               rp_forest, target_resampling, url_templates, warc_arc)
+               pii_anchors, rp_forest, target_resampling, url_templates, warc_arc)
 from .common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,15 @@ def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every document."""
+    found = pii_anchors.personal(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    base = pii_anchors.listed(spans, pii_anchors.BASE)
+    return found.select("doc_id", *(pii_anchors.counted(spans, k).alias(f"n_{k}") for k in pii_anchors.BASE),
+                        F.sha2(base.cast("binary"), 256).alias("base_sha256"), pii_anchors.listed(spans).alias("spans"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_arc_to_warc": op1_arc_to_warc,
     "op2_forest_neighbours": op2_forest_neighbours,
@@ -95,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op9_dartminhash": op9_dartminhash,
     "op10_hilbert_shards": op10_hilbert_shards,
     "op11_target_resampling": op11_target_resampling,
+    "op12_pii_anchors": op12_pii_anchors,
 }
 
 SQL: dict[str, str] = {

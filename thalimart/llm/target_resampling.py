@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import ascii_words, fresh, quoted, written
+from .common import arrow_mapped, ascii_words, fresh, quoted, written
 from .radix_sort import places
 
 BUCKETS = 10_000
@@ -123,7 +123,7 @@ def weighed(docs: DataFrame, gain: np.ndarray, text: str = "text") -> DataFrame:
             numbers = [pa.array([x[i] for x in out], pa.int64()) for i in range(3)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *numbers], names=names)
 
-    return docs.mapInArrow(run, schema)
+    return arrow_mapped(docs, run, schema)
 
 
 def resampled(docs: DataFrame, target: DataFrame, keep: tuple[str, ...] = ("doc_id",), id_column: str = "doc_id",
