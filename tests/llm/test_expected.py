@@ -10,7 +10,7 @@ from thalimart.llm import queries as Q
 @pytest.mark.parametrize("key", sorted(Q.SQL))
 def test_query_equals_sql(spark, key, sf):
     con = duckdb.connect()
-    for t in ("pages", "documents"):
+    for t in ("pages", "documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf{sf}/{t}.parquet')")
     found = Q.QUERIES[key](spark, f"/root/testdata/sf{sf}")
     rows = con.execute(Q.SQL[key])

@@ -15,6 +15,21 @@ SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest,
   CASE WHEN held <> page_id THEN held END AS refers_to
 FROM page LEFT JOIN holder USING (body)"""
 
+RANKED = f"""
+WITH params AS (SELECT '{string.ascii_uppercase}' AS big, '{string.ascii_lowercase}' AS small, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+' AS word),
+item AS (SELECT row_number() OVER () AS q, item_id, unnest(regexp_extract_all(translate(text, big, small), word)) AS term FROM benchmark, params),
+asked AS (SELECT q, any_value(item_id) AS item_id, term, count(*) AS repeats FROM item GROUP BY q, term),
+doc AS (SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(translate(text, big, small), word) AS terms FROM documents, params WHERE text IS NOT NULL),
+total AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS words FROM doc WHERE len(terms) > 0),
+posting AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(terms) AS term FROM doc) WHERE term IN (SELECT term FROM asked) GROUP BY id, term),
+weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM posting, total GROUP BY term, docs),
+norm AS (SELECT id, doc_id, 75 + (25 * len(terms) * docs) // words AS m FROM doc, total WHERE len(terms) > 0),
+scored AS (SELECT q, any_value(item_id) AS item_id, id, any_value(doc_id) AS doc_id,
+  CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN posting USING (term) JOIN weight USING (term) JOIN norm USING (id) GROUP BY q, id)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+WINDOW best AS (PARTITION BY q ORDER BY score DESC, doc_id) QUALIFY row_number() OVER best <= 20"""
+
 
 def url_templates(rules: list[urls.Rule]) -> str:
     """Host, path and longest rule; the tree level by level; neighbours of a family

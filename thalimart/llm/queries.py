@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_stream, crf_langid, dartminhash, decontaminate, expected, hilbert, license_scan, orc_tokens,
-               pii_anchors, rp_forest, target_resampling, url_templates, warc_arc)
+from . import (bpe_stream, crf_langid, dartminhash, decontaminate, expected, geometric_blocks, hilbert,
+               license_scan, orc_tokens, pii_anchors, rp_forest, target_resampling, url_templates, warc_arc)
 from .common import scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,11 @@ def op12_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(base.cast("binary"), 256).alias("base_sha256"), pii_anchors.listed(spans).alias("spans"))
 
 
+def op13_geometric_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """item_id, rank, doc_id, score: the 20 best documents of every item."""
+    return geometric_blocks.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_arc_to_warc": op1_arc_to_warc,
     "op2_forest_neighbours": op2_forest_neighbours,
@@ -105,10 +110,12 @@ QUERIES: dict[str, Query] = {
     "op10_hilbert_shards": op10_hilbert_shards,
     "op11_target_resampling": op11_target_resampling,
     "op12_pii_anchors": op12_pii_anchors,
+    "op13_geometric_blocks": op13_geometric_blocks,
 }
 
 SQL: dict[str, str] = {
     "op1_arc_to_warc": expected.ARC_TO_WARC,
     "op3_url_templates": expected.url_templates(URL_RULES),
     "op4_license_scan": expected.license_scan(),
+    "op13_geometric_blocks": expected.RANKED,
 }
