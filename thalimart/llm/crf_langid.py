@@ -193,21 +193,25 @@ def fit(docs: DataFrame, labelled: Column, train_docs: int = TRAIN_DOCS) -> Mode
     return train(sorted((r.lang, r.text, r.pick) for r in keep.collect()))
 
 
-def sample(text: Column) -> Column:
-    """A text of up to ``TRAIN_CHARS`` characters as it is; else its pieces, less
+def sample(text: Column, chars: int = TRAIN_CHARS) -> Column:
+    """A text of up to ``chars`` characters as it is; else its pieces, less
     words that the cuts split, unless such a word is all there is."""
-    body = F.regexp_replace(text, f"^[^{_LETTER}]++", "")
-    size = TRAIN_CHARS // PIECES
+    size, last = chars // PIECES, PIECES - 1
 
-    def piece(k: int) -> Column:
-        begin = F.floor((F.length(body) - size).cast("bigint") * F.lit(k) / F.lit(PIECES - 1)) if k else F.lit(0)
-        own = F.substring(body, begin.cast("int") + 1, F.lit(size))
-        whole = F.regexp_replace(own, f"[{_LETTER}]++$" if k == 0 else f"^[{_LETTER}]++" if k == PIECES - 1 else f"^[{_LETTER}]++|[{_LETTER}]++$", "")
+    def piece(body: Column, k: Column) -> Column:
+        begin = F.floor((F.length(body) - size).cast("bigint") * k / F.lit(last)).cast("int")
+        own = F.substr(body, begin + 1, F.lit(size))
+        left = F.when(k == 0, own).otherwise(F.regexp_replace(own, f"^[{_LETTER}]++", ""))
+        whole = F.when(k == last, left).otherwise(F.regexp_replace(left, f"[{_LETTER}]++$", ""))
         return F.when(whole.rlike(f"[{_LETTER}]"), whole).otherwise(own)
 
-    # what follows the first word may be short
-    return (F.when(F.length(text) <= TRAIN_CHARS, text).when(F.length(body) <= TRAIN_CHARS, body)
-            .otherwise(F.concat_ws("\n", *map(piece, range(PIECES)))))
+    def cut(body: Column) -> Column:
+        pieces = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda k: piece(body, k))
+        return F.when(F.length(body) <= chars, body).otherwise(F.array_join(pieces, "\n"))  # what follows the first word may be short
+
+    # one expression for all pieces, evaluated over a body that is cut once
+    body = F.regexp_replace(text, f"^[^{_LETTER}]++", "")
+    return F.when(F.length(text) <= chars, text).otherwise(F.transform(F.array(body), cut)[0])
 
 
 class Scorer:
