@@ -58,7 +58,7 @@ EPOCHS, RATE, DECAY = 30, 0.25, 1e-6
 #: A word enters a language's lexicon when seen this often and mostly there.
 LEXICON_SEEN, LEXICON_SHARE = 3, 0.8
 #: Words handled at once, words of a block, scored words remembered.
-BATCH_WORDS, BLOCK, CACHE_WORDS = 200_000, 32, 400_000
+BATCH_WORDS, BLOCK, CACHE_WORDS = 200_000, 32, 100_000
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
