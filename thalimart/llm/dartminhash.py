@@ -68,7 +68,9 @@ BLOCK, BLOCK_BYTES = 256, 8 << 20
 #: Stands for a null doc_id inside.
 NO_ID = -(1 << 63)
 #: Words handled at once and hashed words remembered per process.
-BATCH_WORDS, CACHE_WORDS = 300_000, 500_000
+BATCH_WORDS, CACHE_WORDS = 300_000, 200_000
+#: A short text throws as many darts as a long one: it counts as this many words.
+DART_WORDS = 200
 
 _WORD = re.compile(r"\w+")
 _U = np.uint64
@@ -176,7 +178,7 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
 def _text_rows(batch: pa.RecordBatch, column: int):
     """Bounded runs of the batch's rows with their texts."""
     texts = batch.column(column)
-    weights = [(n or 0) // 6 for n in pc.binary_length(texts).to_pylist()]
+    weights = [DART_WORDS + (n or 0) // 6 for n in pc.binary_length(texts).to_pylist()]
     for begin, end in slices(weights, BATCH_WORDS):
         yield begin, end, [t or "" for t in texts[begin:end].to_pylist()]
 
