@@ -53,6 +53,14 @@ def iso_timestamp(c: Column) -> Column:
     UTC.
     """
     s = F.trim(c.cast("string"))
+    # most cells are plain: no zone, a day their month has; the rest is evaluated for the others only
+    maybe_zone = s.endswith("Z") | ((F.substring(s, -3, 1) == ":") & F.substring(s, -6, 1).isin("+", "-"))
+    plain = F.when(~maybe_zone, s.try_cast("timestamp_ntz"))
+    return F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.coalesce(plain, _rolled(s)))
+
+
+def _rolled(s: Column) -> Column:
+    """A date text with its zone applied and a day past the month's end rolled over."""
     zone = F.regexp_extract(s, _ZONE, 0)
     part = {i: F.regexp_extract(s, _ZONE, i).try_cast("int") for i in (2, 3)}
     minutes = F.when(part[2].isNull(), 0).otherwise(
@@ -60,7 +68,7 @@ def iso_timestamp(c: Column) -> Column:
     day = F.substring(s, 9, 2).try_cast("int")
     first = F.concat(F.substring(s, 1, 8), F.lit("01"), F.substr(s, F.lit(11), F.length(s) - 10 - F.length(zone)))
     shift = F.make_dt_interval(days=day - 1, mins=-minutes)
-    return F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}") & day.between(1, 31), first.try_cast("timestamp_ntz") + shift)
+    return F.when(day.between(1, 31), first.try_cast("timestamp_ntz") + shift)
 
 
 def integer_text(c: Column, dtype: DataType | None = None) -> Column:
@@ -108,15 +116,19 @@ def raw_text(c: Column) -> Column:
     return c.cast("string")
 
 
+def _four_digit_year(value: Column, text: Column, other: Column) -> Column:
+    return F.when(F.year(value).between(0, 9999), text).when(value.isNotNull(), other)
+
+
 def ntz_text(ts: Column) -> Column:
-    """``strftime('%Y-%m-%d %H:%M:%S')`` of a TIMESTAMP_NTZ, built from its
-    fields: ``date_format`` would pass the value through the session time zone
-    and move wall-clock times inside a daylight-saving gap."""
-    text = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", F.year(ts), F.month(ts),
-                           F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts))
-    return F.when(ts.isNotNull(), text)
+    """``strftime('%Y-%m-%d %H:%M:%S')`` of a TIMESTAMP_NTZ: its cast to text knows
+    no zone (``date_format`` would pass the value through the session's and move
+    wall-clock times inside a daylight-saving gap)."""
+    other = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", F.year(ts), F.month(ts),
+                            F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts))
+    return _four_digit_year(ts, F.substring(ts.cast("string"), 1, 19), other)
 
 
 def date_text(d: Column) -> Column:
     """``YYYY-MM-DD`` of a DATE, without any time-zone step."""
-    return F.format_string("%04d-%02d-%02d", F.year(d), F.month(d), F.dayofmonth(d))
+    return _four_digit_year(d, d.cast("string"), F.format_string("%04d-%02d-%02d", F.year(d), F.month(d), F.dayofmonth(d)))

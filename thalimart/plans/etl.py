@@ -39,13 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import buckets as B
-from ..functions.lenient import (date_text, integer_text, iso_timestamp, lenient_double,
-                                 lenient_int, ntz_text, raw_text, real_text, whole_text)
+from ..functions.lenient import (date_text, iso_timestamp, lenient_double, lenient_int, ntz_text,
+                                 raw_text, real_text, whole_text)
 from ..functions.numeric import MONEY
 from ..operators.dedup import first_per_key
 from ..operators.substring_match import first_substring_match
 from ..operators.surrogate import with_dense_key
-from ..sources.staging import Staging
+from ..sources.staging import ORDERS_CSV, Staging
 
 DIM_DATE_COLS = ["date_key", "date_iso", "year", "quarter", "month", "month_name", "day",
                  "dow", "is_weekend"]
@@ -75,6 +75,32 @@ def _numeric_then_text(nk: F.Column) -> list[F.Column]:
     return [nk.try_cast("bigint").asc_nulls_last(), nk.asc_nulls_last()]
 
 
+# ------------------------------------------------------------ parsed cells
+PARSED_COLS = ["p_ts", "p_user", "p_rest", "p_qty", "p_qty_text", "p_amount", "p_amount_text"]
+
+
+def parsed_orders(orders: DataFrame) -> DataFrame:
+    """Staged orders with their parsed cells beside the raw ones: timestamp, ids
+    and quantity as integers, the amount as REAL, and the texts that quantity and
+    amount have in a natural key. ``stage`` writes them, so that every reader
+    parses a cell no second time; an unwritten frame gets them here."""
+    if "p_ts" in orders.columns:
+        return orders
+    qty, amount = _dtype(orders, "sales_qty"), _dtype(orders, "sales_amount")
+    values = [iso_timestamp(F.col("order_date")), lenient_int(F.col("user_id"), _dtype(orders, "user_id")),
+              lenient_int(F.col("r_id"), _dtype(orders, "r_id")), lenient_int(F.col("sales_qty"), qty),
+              whole_text(F.col("sales_qty"), qty), lenient_double(F.col("sales_amount"), amount),
+              real_text(F.col("sales_amount"), amount)]
+    return orders.select("*", *(v.alias(c) for c, v in zip(PARSED_COLS, values, strict=True)))
+
+
+def natural_key(user: F.Column, rest: F.Column) -> F.Column:
+    """The six parts of ``order_nk``, from parsed cells; a NULL part is empty."""
+    parts = [user, rest, ntz_text(F.col("p_ts")), F.trim(F.coalesce(F.col("currency"), F.lit(""))),
+             F.col("p_qty_text"), F.col("p_amount_text")]
+    return F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
+
+
 # ---------------------------------------------------------------- dim_date
 def date_attributes(ts: F.Column) -> dict[str, F.Column]:
     d = F.to_date(ts)
@@ -95,7 +121,7 @@ def date_attributes(ts: F.Column) -> dict[str, F.Column]:
 
 def build_dim_date(orders: DataFrame) -> DataFrame:
     """One row per distinct valid order date of *all* staged orders."""
-    days = (orders.select(F.to_date(iso_timestamp(F.col("order_date"))).alias("d"))
+    days = (parsed_orders(orders).select(F.to_date("p_ts").alias("d"))
             .where(F.col("d").isNotNull())
             .groupBy("d").agg(F.lit(1).alias("_one")))
     attrs = date_attributes(F.col("d"))
@@ -193,29 +219,21 @@ def staged_fact_rows(orders: DataFrame) -> DataFrame:
     fact cannot hold (no date, NULL quantity or amount, an amount beyond its
     type) are dropped here. ``amount`` is the uncut REAL value in INR: the
     currency is converted first, and the delete looks at the result."""
-    ts = iso_timestamp(F.col("order_date"))
-    qty = lenient_int(F.col("sales_qty"), _dtype(orders, "sales_qty"))
-    amount_type = _dtype(orders, "sales_amount")
-    amount = lenient_double(F.col("sales_amount"), amount_type)
-    user = integer_text(F.col("user_id"), _dtype(orders, "user_id"))
-    rest = integer_text(F.col("r_id"), _dtype(orders, "r_id"))
+    amount = F.col("p_amount")
     usd = B.is_usd(F.trim(F.col("currency")))
     exact = amount.try_cast(MONEY)
     converted = F.when(usd, F.try_multiply(exact, F.lit(B.USD_TO_INR).cast("decimal(10,0)"))).otherwise(exact)
-    parts = [user, rest, ntz_text(ts), F.trim(F.coalesce(F.col("currency"), F.lit(""))),
-             whole_text(F.col("sales_qty"), _dtype(orders, "sales_qty")),
-             real_text(F.col("sales_amount"), amount_type)]
-    nk = F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
-    return (orders.select(
-        nk.alias("order_nk"),
-        date_attributes(ts)["date_key"].alias("date_key"),
+    user, rest = F.col("p_user").cast("string"), F.col("p_rest").cast("string")
+    valid = F.col("p_ts").isNotNull() & F.col("p_qty").isNotNull() & amount.isNotNull()
+    return parsed_orders(orders).where(valid).select(
+        natural_key(user, rest).alias("order_nk"),
+        date_attributes(F.col("p_ts"))["date_key"].alias("date_key"),
         user.alias("user_txt"), rest.alias("rest_txt"),
-        qty.alias("sales_qty"),
+        F.col("p_qty").alias("sales_qty"),
         F.when(usd, amount * F.lit(float(B.USD_TO_INR))).otherwise(amount).alias("amount"),
         converted.try_cast(MONEY).alias("sales_amount"),
         F.when(usd, F.lit("INR")).otherwise(F.trim(F.col("currency"))).alias("currency"),
         "ingest_seq")
-        .where(F.col("date_key").isNotNull() & F.col("sales_qty").isNotNull() & F.col("amount").isNotNull()))
 
 
 def fitting(rows: DataFrame) -> DataFrame:
@@ -244,10 +262,15 @@ def location_attributes(dim_location: DataFrame) -> DataFrame:
                                F.col("state").alias("loc_state"), F.col("city").alias("loc_city"))
 
 
+CUSTOMER_ATTRIBUTES = ["income_group", "income_group_order", "education_group", "education_group_order", "family_size"]
+
+
 def load_fact(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame) -> DataFrame:
-    """Deduplicated staged orders with resolved keys, narrow, before numbering."""
+    """Deduplicated staged orders with resolved keys, before numbering. The join
+    that resolves the customer also picks up its attributes: customers grow with
+    the orders, and a second join would shuffle the fact again."""
     rows = first_per_key(fitting(staged_fact_rows(orders)), ["order_nk"], ["ingest_seq"]).drop("ingest_seq")
-    cust = dim_customer.select(F.col("user_id_nat").alias("user_txt"), "customer_key")
+    cust = dim_customer.select(F.col("user_id_nat").alias("user_txt"), "customer_key", *CUSTOMER_ATTRIBUTES)
     rest = dim_restaurant.select(F.col("restaurant_id_nat").alias("rest_txt"), "restaurant_key")
     return rows.join(cust, "user_txt").join(rest, "rest_txt").drop("user_txt", "rest_txt")
 
@@ -257,14 +280,11 @@ def number_orders(loaded: DataFrame, after: int = 0, scratch: str | None = None)
     return with_dense_key(loaded, [F.col("order_nk").asc()], "order_key", scratch, after)
 
 
-def finish_fact(keyed: DataFrame, dim_customer: DataFrame, lookup: DataFrame,
-                dim_location: DataFrame) -> DataFrame:
+def finish_fact(keyed: DataFrame, lookup: DataFrame, dim_location: DataFrame) -> DataFrame:
     """The invalid-amount delete on the uncut amount, then the wide layout (fact
     columns + date/customer/restaurant/location attributes)."""
     kept = keyed.where(~F.col("amount").isin(*map(float, B.INVALID_AMOUNTS)))
-    cust = dim_customer.select("customer_key", "income_group", "income_group_order",
-                               "education_group", "education_group_order", "family_size")
-    wide = (kept.join(cust, "customer_key").join(lookup, "restaurant_key")
+    wide = (kept.join(lookup, "restaurant_key")
             .join(location_attributes(dim_location), "location_key", "left"))
     y = (F.col("date_key") / 10000).cast("int")
     md = F.col("date_key") % 10000
@@ -277,49 +297,34 @@ def finish_fact(keyed: DataFrame, dim_customer: DataFrame, lookup: DataFrame,
         month.alias("month"), a["month_name"].alias("month_name"),
         day.alias("day"), a["dow"].alias("dow"), a["is_weekend"].alias("is_weekend"),
         B.is_holiday(month, day).alias("is_holiday"),
-        "income_group", "income_group_order", "education_group", "education_group_order",
-        "family_size", "restaurant_name", "restaurant_city", "rating", "cuisine",
+        *CUSTOMER_ATTRIBUTES, "restaurant_name", "restaurant_city", "rating", "cuisine",
         "loc_country", "loc_state", "loc_city", y.alias("year"))
 
 
 def build_fact_wide(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame,
                     dim_location: DataFrame, scratch: str | None = None) -> DataFrame:
     keyed = number_orders(load_fact(orders, dim_customer, dim_restaurant), scratch=scratch)
-    return finish_fact(keyed, dim_customer, restaurant_lookup(dim_restaurant, dim_location), dim_location)
+    return finish_fact(keyed, restaurant_lookup(dim_restaurant, dim_location), dim_location)
 
 
 # ------------------------------------------------- the source script's views
 def orders_with_raw_key(orders: DataFrame) -> DataFrame:
     """``v_stg_orders_nk``: every staged order with a key whose ids are the raw
     cell texts (the fact's own key normalises them to integers)."""
-    ts = iso_timestamp(F.col("order_date"))
-    parts = [F.trim(raw_text(F.col("user_id"))), F.trim(raw_text(F.col("r_id"))), ntz_text(ts),
-             F.trim(F.coalesce(F.col("currency"), F.lit(""))),
-             whole_text(F.col("sales_qty"), _dtype(orders, "sales_qty")),
-             real_text(F.col("sales_amount"), _dtype(orders, "sales_amount"))]
-    nk = F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
-    return orders.select(nk.alias("order_nk"), *[c for c in orders.columns if c != "ingest_seq"])
+    nk = natural_key(F.trim(raw_text(F.col("user_id"))), F.trim(raw_text(F.col("r_id"))))
+    return parsed_orders(orders).select(nk.alias("order_nk"), *ORDERS_CSV)
 
 
 def fact_load_rows(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame) -> DataFrame:
     """``v_fact_load``: staged orders with resolved keys, before the insert
     removes repeated natural keys; amounts as staged (not yet converted)."""
-    rows = orders.withColumn("_amount", lenient_double(F.col("sales_amount"), _dtype(orders, "sales_amount")))
-    amount = F.col("_amount")
-    staged = rows.select(
-        F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in (
-            integer_text(F.col("user_id"), _dtype(orders, "user_id")),
-            integer_text(F.col("r_id"), _dtype(orders, "r_id")),
-            ntz_text(iso_timestamp(F.col("order_date"))), F.trim(F.coalesce(F.col("currency"), F.lit(""))),
-            whole_text(F.col("sales_qty"), _dtype(orders, "sales_qty")),
-            real_text(F.col("sales_amount"), _dtype(orders, "sales_amount")))]).alias("order_nk"),
-        date_attributes(iso_timestamp(F.col("order_date")))["date_key"].alias("date_key"),
-        integer_text(F.col("user_id"), _dtype(orders, "user_id")).alias("user_id_nat"),
-        integer_text(F.col("r_id"), _dtype(orders, "r_id")).alias("restaurant_id_nat"),
-        lenient_int(F.col("sales_qty"), _dtype(orders, "sales_qty")).alias("sales_qty"),
-        amount.alias("sales_amount"), F.trim(F.col("currency")).alias("currency"))
-    return (staged.where(F.col("date_key").isNotNull())
-            .join(dim_customer.select("user_id_nat", "customer_key"), "user_id_nat")
+    user, rest = F.col("p_user").cast("string"), F.col("p_rest").cast("string")
+    staged = parsed_orders(orders).where(F.col("p_ts").isNotNull()).select(
+        natural_key(user, rest).alias("order_nk"),
+        date_attributes(F.col("p_ts"))["date_key"].alias("date_key"),
+        user.alias("user_id_nat"), rest.alias("restaurant_id_nat"), F.col("p_qty").alias("sales_qty"),
+        F.col("p_amount").alias("sales_amount"), F.trim(F.col("currency")).alias("currency"))
+    return (staged.join(dim_customer.select("user_id_nat", "customer_key"), "user_id_nat")
             .join(dim_restaurant.select("restaurant_id_nat", "restaurant_key"), "restaurant_id_nat")
             .select("order_nk", "date_key", "customer_key", "restaurant_key", "sales_qty", "sales_amount", "currency"))
 

@@ -43,7 +43,7 @@ def dimension_additions(wh: Warehouse, staging, scratch: str) -> dict[str, DataF
     cust = new_rows(etl.customer_rows(staging.users), wh.dim_customer, "user_id_nat")
     rest = new_rows(etl.restaurant_rows(staging.restaurants), wh.dim_restaurant, "restaurant_id_nat")
     return {
-        "dim_date": new_rows(etl.build_dim_date(staging.orders), wh.dim_date, "date_key"),
+        "dim_date": new_rows(etl.build_dim_date(staging.order_cells), wh.dim_date, "date_key"),
         "dim_customer": etl.key_customers(cust, scratch, largest(wh.dim_customer, "customer_key")),
         "dim_restaurant": etl.key_restaurants(rest, scratch, largest(wh.dim_restaurant, "restaurant_key")),
         "dim_location": etl.key_locations(loc, scratch, largest(wh.dim_location, "location_key")),
@@ -52,9 +52,7 @@ def dimension_additions(wh: Warehouse, staging, scratch: str) -> dict[str, DataF
 
 def unresolved(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame) -> DataFrame:
     """Staged orders (all columns) that wait for their user or restaurant."""
-    def text(c: str):
-        return etl.integer_text(F.col(c), orders.schema[c].dataType)
-    keyed = orders.withColumn("_user", text("user_id")).withColumn("_rest", text("r_id"))
+    keyed = etl.parsed_orders(orders).withColumn("_user", F.col("p_user").cast("string")).withColumn("_rest", F.col("p_rest").cast("string"))
     valid = etl.fitting(etl.staged_fact_rows(orders)).select("user_txt", "rest_txt").distinct()
     late = (valid.join(dim_customer.select(F.col("user_id_nat").alias("user_txt"), "customer_key"), "user_txt", "left")
             .join(dim_restaurant.select(F.col("restaurant_id_nat").alias("rest_txt"), "restaurant_key"), "rest_txt", "left")
@@ -81,13 +79,12 @@ def append_batch(existing: DataFrame, batch_orders: DataFrame, wh: Warehouse, sc
     fresh = loaded.join(existing_keys(existing, loaded), "order_nk", "left_anti")
     top = largest(existing, "order_key") if top is None else top
     keyed = etl.number_orders(fresh, int(top), scratch)
-    return etl.finish_fact(keyed, wh.dim_customer, etl.restaurant_lookup(wh.dim_restaurant, wh.dim_location),
-                           wh.dim_location)
+    return etl.finish_fact(keyed, etl.restaurant_lookup(wh.dim_restaurant, wh.dim_location), wh.dim_location)
 
 
 def fact_in_two_batches(wh: Warehouse) -> DataFrame:
     """Fact built as an initial load plus one later, overlapping batch."""
-    orders = wh.staging.orders
+    orders = wh.staging.order_cells
     date = F.col("order_date")
     first = orders.where(date < FIRST_BEFORE)
     later = orders.where((date >= LATER_FROM) | date.isNull())

@@ -12,7 +12,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.lenient import iso_timestamp, lenient_double
 from . import etl
 from .warehouse import Warehouse
 
@@ -79,19 +78,17 @@ def duplicate_users(wh: Warehouse) -> DataFrame:
 
 def invalid_dates(wh: Warehouse) -> DataFrame:
     """Q6: NULL or empty order dates, plus dates that do not parse as ISO."""
-    o = wh.staging.orders
     d = F.col("order_date")
-    return o.agg(
+    return etl.parsed_orders(wh.staging.order_cells).agg(
         F.count(F.when(d.isNull() | (d == ""), 1)).alias("invalid_dates"),
-        F.count(F.when(d.isNotNull() & (d != "") & iso_timestamp(d).isNull(), 1))
+        F.count(F.when(d.isNotNull() & (d != "") & F.col("p_ts").isNull(), 1))
         .alias("unparseable_dates"))
 
 
 def negative_amounts(wh: Warehouse) -> DataFrame:
     """Q7: staged orders with an amount below zero."""
-    return wh.staging.orders.agg(
-        F.count(F.when(lenient_double(F.col("sales_amount"), wh.staging.orders.schema["sales_amount"].dataType) < 0, 1))
-        .alias("negative_amounts"))
+    return etl.parsed_orders(wh.staging.order_cells).agg(
+        F.count(F.when(F.col("p_amount") < 0, 1)).alias("negative_amounts"))
 
 
 def null_keys(wh: Warehouse) -> DataFrame:
@@ -119,4 +116,4 @@ def unique_keys(wh: Warehouse) -> DataFrame:
 
 def rejected_amounts(wh: Warehouse) -> DataFrame:
     """Q10: otherwise valid staged orders whose amount the fact cannot hold."""
-    return etl.rejected_amounts(wh.staging.orders)
+    return etl.rejected_amounts(wh.staging.order_cells)

@@ -17,16 +17,16 @@ from .warehouse import Warehouse
 
 
 def stg_orders_nk(wh: Warehouse) -> DataFrame:
-    return etl.orders_with_raw_key(wh.staging.orders)
+    return etl.orders_with_raw_key(wh.staging.order_cells)
 
 
 def new_dates(wh: Warehouse) -> DataFrame:
     """Calendar rows of all staged order dates (the load ignores known ones)."""
-    return etl.build_dim_date(wh.staging.orders)
+    return etl.build_dim_date(wh.staging.order_cells)
 
 
 def fact_load(wh: Warehouse) -> DataFrame:
-    return etl.fact_load_rows(wh.staging.orders, wh.dim_customer, wh.dim_restaurant)
+    return etl.fact_load_rows(wh.staging.order_cells, wh.dim_customer, wh.dim_restaurant)
 
 
 VIEWS = {

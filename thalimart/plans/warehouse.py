@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
-from ..sources.staging import Staging
+from ..sources.staging import ORDERS_COLS, Staging
 from ..sources.testdata import adapter_staging
 from . import etl
 
@@ -107,7 +107,7 @@ def build_warehouse(spark: SparkSession, staging: Staging, root: str,
     scratch = f"{root}/_tmp"
     staging = stage(spark, staging, root)
     clock.mark("staging")
-    builders = {"dim_date": lambda: etl.build_dim_date(staging.orders),
+    builders = {"dim_date": lambda: etl.build_dim_date(staging.order_cells),
                 "dim_customer": lambda: etl.build_dim_customer(staging.users, scratch),
                 "dim_restaurant": lambda: etl.build_dim_restaurant(staging.restaurants, scratch),
                 "dim_location": lambda: etl.build_dim_location(staging.locations, scratch)}
@@ -116,7 +116,7 @@ def build_warehouse(spark: SparkSession, staging: Staging, root: str,
                   for name in builders})
     out = {name: spark.read.parquet(f"{root}/{name}") for name in builders}
     clock.mark("dimensions")
-    wide = etl.build_fact_wide(staging.orders, out["dim_customer"], out["dim_restaurant"],
+    wide = etl.build_fact_wide(staging.order_cells, out["dim_customer"], out["dim_restaurant"],
                                out["dim_location"], scratch)
     # the partitioned writer sorts each task's rows by year anyway; extending
     # that local sort to month and day gives every row group tight month/date
@@ -134,14 +134,16 @@ STAGING_TABLES = ("users", "restaurants", "orders", "locations")
 
 
 def stage(spark: SparkSession, staging: Staging, root: str) -> Staging:
-    """Write the staging tables under ``root`` and return readers over them."""
-    _in_parallel({name: (lambda n=name: _write(getattr(staging, n), f"{root}/stg_{n}"))
-                  for name in STAGING_TABLES})
+    """Write the staging tables under ``root``, orders with their parsed cells, and
+    return readers over them."""
+    tables = {n: getattr(staging, n) for n in STAGING_TABLES} | {"orders": etl.parsed_orders(staging.order_cells)}
+    _in_parallel({name: (lambda n=name: _write(tables[n], f"{root}/stg_{n}")) for name in tables})
     return open_staging(spark, root)
 
 
 def open_staging(spark: SparkSession, root: str) -> Staging:
-    return Staging(**{n: spark.read.parquet(f"{root}/stg_{n}") for n in STAGING_TABLES})
+    tables = {n: spark.read.parquet(f"{root}/stg_{n}") for n in STAGING_TABLES}
+    return Staging(**tables | {"orders": tables["orders"].select(*ORDERS_COLS)}, parsed=tables["orders"])
 
 
 def open_warehouse(spark: SparkSession, root: str) -> Warehouse:

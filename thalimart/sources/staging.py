@@ -50,6 +50,13 @@ class Staging:
     restaurants: DataFrame
     orders: DataFrame
     locations: DataFrame
+    #: The orders with their parsed cells, once they are written.
+    parsed: DataFrame | None = None
+
+    @property
+    def order_cells(self) -> DataFrame:
+        """The orders for a reader of parsed cells."""
+        return self.orders if self.parsed is None else self.parsed
 
 
 def _text_schema(cols: list[str]) -> StructType:

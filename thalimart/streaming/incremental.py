@@ -55,12 +55,12 @@ def merge_batch(spark: SparkSession, root: str, batch: DataFrame, users: DataFra
         orders = orders.unionByName(waiting.select(*ORDERS_CSV))
     # the batch's own order decides which of two equal keys is first; cells are
     # equal then, so any total order will do
-    orders = written_under(wh.scratch, orders.withColumn("ingest_seq", F.lit(0).cast("long")), "orders")
+    orders = written_under(wh.scratch, etl.parsed_orders(orders.withColumn("ingest_seq", F.lit(0).cast("long"))), "orders")
 
     def rows(df: DataFrame | None, like: DataFrame) -> DataFrame:
         return like.limit(0) if df is None else df
     staged = Staging(users=rows(users, wh.staging.users), restaurants=rows(restaurants, wh.staging.restaurants),
-                     locations=rows(locations, wh.staging.locations), orders=orders)
+                     locations=rows(locations, wh.staging.locations), orders=orders, parsed=orders)
     for name, added in incremental.dimension_additions(wh, staged, wh.scratch).items():
         written_under(wh.scratch, added, name).write.mode("append").parquet(f"{root}/{name}")
     wh = open_warehouse(spark, root)
