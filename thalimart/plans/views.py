@@ -1,6 +1,6 @@
 """SQL access: the written warehouse as temporary views.
 
-The star schema, the analysis view and the three views of the source's load
+The staging tables, the star schema, the analysis view and the three views of the source's load
 script: staged orders with their raw-text key, calendar rows of order dates the
 calendar lacks, and staged orders resolved to surrogate keys. All are lazy
 projections of the written Parquet tables.
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sql_functions import register_functions
 from . import etl
 from .family import family_view
 from .warehouse import Warehouse
@@ -39,10 +40,16 @@ VIEWS = {
     "v_stg_orders_nk": stg_orders_nk,
     "v_new_dates": new_dates,
     "v_fact_load": fact_load,
+    "stg_users": lambda wh: wh.staging.users,
+    "stg_restaurant": lambda wh: wh.staging.restaurants,
+    "stg_orders": lambda wh: wh.staging.orders,
+    "stg_location": lambda wh: wh.staging.locations,
 }
 
 
 def register_views(spark: SparkSession, wh: Warehouse) -> tuple[str, ...]:
+    """Creates the views, and the source dialect's functions, in the session."""
+    register_functions(spark)
     for name, view in VIEWS.items():
         view(wh).createOrReplaceTempView(name)
     return tuple(VIEWS)
