@@ -11,9 +11,14 @@ FROM staged_line GROUP BY ALL""",
     "sql_julian_days": """SELECT strftime(moment, '%Y-%m') AS month, count(*) AS orders, count(*) AS same_second,
   min(second) AS first_second, max(second) AS last_second
 FROM (SELECT moment, CAST(epoch(moment) AS BIGINT) + 210866760000 AS second FROM staged_line) WHERE moment IS NOT NULL GROUP BY ALL""",
+    "state_distinct_customers": """SELECT CASE WHEN grouping(month) = 0 THEN 'month' WHEN grouping(quarter) = 0 THEN 'quarter' ELSE 'year' END AS level,
+  year, quarter, month, count(DISTINCT customer_key) AS customers FROM line GROUP BY GROUPING SETS ((year, quarter, month), (year, quarter), (year))""",
 }
 
 SQL_EXTENDED: dict[str, str] = {key: PREFIX + body for key, body in _BODIES.items()} | {
     "sql_json_cuisines": SQL["rq1_4_cuisine_by_income"],
     "sql_recursive_cuisines": SQL["rq1_6_cuisine_by_education"],
+    "state_monthly_revenue": SQL["bi1_monthly_revenue"],
+    "state_loyalty": SQL["bi2_loyalty"],
+    "state_acquisition": SQL["bi5_acquisition"],
 }

@@ -30,6 +30,11 @@ def loyalty(wh: Warehouse) -> DataFrame:
         F.count("order_key").alias("total_orders"),
         F.sum("sales_amount").alias("total_spent"),
         avg_money(F.col("sales_amount")).alias("avg_order_value"))
+    return loyalty_segments(per_customer)
+
+
+def loyalty_segments(per_customer: DataFrame) -> DataFrame:
+    """BI2 from total_orders, total_spent, avg_order_value of every customer."""
     seg = per_customer.withColumn("customer_segment", B.loyalty_segment(F.col("total_orders")))
     g = seg.groupBy("customer_segment").agg(
         F.count(F.lit(1)).alias("customer_count"),
@@ -81,6 +86,11 @@ def acquisition(wh: Warehouse) -> DataFrame:
     Year and month minima are taken independently, as the source does."""
     first = wh.orders.groupBy("customer_key").agg(
         F.min("year").alias("first_order_year"), F.min("month").alias("first_order_month"))
+    return acquisition_totals(first)
+
+
+def acquisition_totals(first: DataFrame) -> DataFrame:
+    """BI5 from first_order_year, first_order_month of every customer."""
     g = first.groupBy("first_order_year", "first_order_month") \
         .agg(F.count(F.lit(1)).alias("new_customers"))
     running = Window.orderBy("first_order_year", "first_order_month") \

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from . import statements
+from . import states, statements
 from .warehouse import Warehouse
 
 EXTENDED: dict[str, Callable[[Warehouse], DataFrame]] = {
@@ -15,4 +15,8 @@ EXTENDED: dict[str, Callable[[Warehouse], DataFrame]] = {
     "sql_julian_days": statements.julian_days,
     "sql_json_cuisines": statements.json_cuisines,
     "sql_recursive_cuisines": statements.recursive_cuisines,
+    "state_distinct_customers": states.customers_by_span,
+    "state_monthly_revenue": lambda wh: states.monthly_revenue(*states.in_three_batches(wh)),
+    "state_loyalty": lambda wh: states.loyalty(*states.in_three_batches(wh)),
+    "state_acquisition": lambda wh: states.acquisition(*states.in_three_batches(wh)),
 }

@@ -76,6 +76,16 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under ``path`` whose write job has ended, sorted."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = jvm_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(jvm_path(path)):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(jvm_path(path)) if s.isDirectory()]
+    return sorted(n for n in names if fs.exists(jvm_path(f"{path}/{n}/_SUCCESS")))
+
+
 class _Phases:
     """Optional wall-clock split of a build (seconds per phase)."""
 

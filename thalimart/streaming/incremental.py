@@ -11,6 +11,8 @@ read as a stream; each micro-batch is merged into the written warehouse by
   once, under the scratch folder, and appended from there;
 * orders whose user or restaurant is unknown are kept in ``late_orders``, which
   a new folder replaces with every batch, and are tried again;
+* the stored aggregates (``plans.states``), if the warehouse keeps them, take in the
+  new orders;
 * new keys start after the largest key of the fact, read from the footers of
   its one key column, so a batch that stopped half way leaves no mark behind.
 
@@ -28,19 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans import etl, incremental
-from ..plans.warehouse import open_warehouse, remove, written_under
+from ..plans import etl, incremental, states
+from ..plans.warehouse import complete_folders, open_warehouse, remove, written_under
 from ..sources.staging import ORDERS_COLS, ORDERS_CSV, Staging, _text_schema
 
 
 def late_orders(spark: SparkSession, root: str) -> DataFrame | None:
     """The newest complete table of orders that wait for a dimension row."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/late_orders")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    done = sorted(name for name in (s.getPath().getName() for s in fs.listStatus(path))
-                  if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/late_orders/{name}/_SUCCESS")))
+    done = complete_folders(spark, f"{root}/late_orders")
     return spark.read.parquet(f"{root}/late_orders/{done[-1]}") if done else None
 
 
@@ -72,6 +69,8 @@ def merge_batch(spark: SparkSession, root: str, batch: DataFrame, users: DataFra
     incremental.unresolved(orders, wh.dim_customer, wh.dim_restaurant).select(*ORDERS_CSV) \
         .write.parquet(f"{root}/late_orders/{time.time_ns():020d}")
     remove(spark, wh.scratch)
+    if states.kept(spark, root):
+        states.update(spark, root, open_warehouse(spark, root).orders)
 
 
 def repatch(spark: SparkSession, root: str) -> None:
