@@ -32,25 +32,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .bpe_stream import latin_classes
-from .common import partitions_for, utf8_bytes
+from .common import partitions_for, slices, utf8_bytes
 
 END_ID = 2
 STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
 #: Bytes of text that one file holds on average.
 FILE_BYTES = 64 << 20
-BATCH_IDS, CACHE_PIECES, CACHE_WORDS = 500_000, 300_000, 900_000
+BATCH_IDS, CACHE_PIECES, CACHE_WORDS = 500_000, 900_000, 900_000
+#: Bytes of text that are cut and looked up together.
+BATCH_TEXT = 2 << 20
 FILE_SCHEMA = "doc_id bigint, file int, before bigint, n bigint, ids array<int>"
 
 _LETTER, _NUMBER = latin_classes()
 #: The library's pre-tokenizer for text below U+0250 (the alternatives begin with
 #: different characters, so letters may come first).
 _WORDS = re.compile(rf"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}\x1c-\x1f]+|[\x1c-\x1f]+")
+_LINES = re.compile(_WORDS.pattern + r"|\n")
 #: White space to Python but not to the library: such texts go to it whole.
 _CONTROL = re.compile("[\x1c-\x1f]")
 #: Pieces that go to the library: a letter whose lower case is two characters, and
@@ -58,17 +62,17 @@ _CONTROL = re.compile("[\x1c-\x1f]")
 _OTHER = re.compile("İ|[^\x00-ɏ]")
 
 
-class Words(dict):
+class Words:
     """Ids of white-space-free pieces of text as 32-bit little-endian bytes. The
     library drops white space and its pre-tokenizer joins nothing across it, so a
-    text's ids are those of its pieces. A new piece is put together from its
-    words; new words go to the library many at a time."""
+    text's ids are those of its pieces. The new pieces of many texts are cut into
+    words together; new words go to the library many at a time."""
 
     def __init__(self, spec: str):
-        super().__init__()
         self.library = Tokenizer.from_str(spec)
         self.library.no_padding()
         self.library.no_truncation()
+        self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         mark = self.library.model.end_of_word_suffix or "\0"
         self.ends = np.zeros(self.library.get_vocab_size(), bool)
@@ -78,27 +82,43 @@ class Words(dict):
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def text(self, text: str) -> bytes:
-        if _CONTROL.search(text):
-            return self.whole(text)
-        pieces = text.split()
-        try:
-            return b"".join(map(self.__getitem__, pieces))
-        except KeyError:
-            if len(self) > CACHE_PIECES:
-                self.clear()  # cheap to put together again from the words
-            if len(self.words) > CACHE_WORDS:
-                self.words.clear()
-            self.learn({p for p in pieces if p not in self})
-            return b"".join(map(self.__getitem__, pieces))
-
-    def learn(self, pieces: set[str]) -> None:
-        cut = {}
-        for p in pieces:
-            if "<|" in p or _OTHER.search(p) or not (p.isascii() or unicodedata.is_normalized("NFC", p)):
-                self[p] = self.whole(p)
+        return self.texts([text])[0]
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        cut = [None if _CONTROL.search(t) else t.split() for t in texts]
+        if len(self.pieces) > CACHE_PIECES:
+            self.pieces.clear()  # cheap to put together again from the words
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        known = self.pieces.get
+        found = [None if c is None else list(map(known, c)) for c in cut]
+        gaps = [[] if ids is None or None not in ids else [i for i, x in enumerate(ids) if x is None] for ids in found]
+        self.learn({c[i] for c, own in zip(cut, gaps, strict=True) for i in own})
+        for c, ids, own in zip(cut, found, gaps, strict=True):
+            for i in own:
+                ids[i] = self.pieces[c[i]]
+        return [self.whole(t) if ids is None else b"".join(ids) for t, ids in zip(texts, found, strict=True)]
+
+    def learn(self, new: set[str]) -> None:
+        plain = []
+        for p in new:
+            if "<|" in p or not p.isascii() and (_OTHER.search(p) or not unicodedata.is_normalized("NFC", p)):
+                self.pieces[p] = self.whole(p)
             else:
-                cut[p] = _WORDS.findall(p.lower())
-        new = [w for w in dict.fromkeys(w for found in cut.values() for w in found) if w not in self.words]
+                plain.append(p)
+        found = _LINES.findall("\n".join(plain).lower())  # a line feed ends a piece
+        self.encode([w for w in dict.fromkeys(found) if w not in self.words and w != "\n"])
+        at, ids, words, kept = 0, [], self.words, self.pieces
+        for w in found:
+            if w == "\n":
+                kept[plain[at]] = b"".join(ids)
+                at, ids = at + 1, []
+            else:
+                ids.append(words[w])
+        if plain:
+            kept[plain[at]] = b"".join(ids)
+
+    def encode(self, new: list[str]) -> None:
         for begin in range(0, len(new), 500):
             group = new[begin:begin + 500]
             found = self.library.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0]
@@ -109,8 +129,6 @@ class Words(dict):
                 self.words.update((w, data[4 * a:4 * b]) for w, a, b in zip(group, cuts, cuts[1:]))
             else:
                 self.words.update((w, self.whole(w)) for w in group)
-        for p, found in cut.items():
-            self[p] = b"".join(map(self.words.__getitem__, found))
 
 
 _LOADED: dict[str, Words] = {}
@@ -158,12 +176,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
 
         waiting = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                held.append((doc_id.as_py(), words.text(text.as_py() or "") + tail))
-                waiting += len(held[-1][1]) // 4
-                if waiting >= BATCH_IDS:
-                    yield out()
-                    waiting = 0
+            weights = [n or 0 for n in pc.binary_length(batch.column(1)).to_pylist()]
+            for begin, end in slices(weights, BATCH_TEXT):
+                texts = [t or "" for t in batch.column(1)[begin:end].to_pylist()]
+                for doc_id, ids in zip(batch.column(0)[begin:end].to_pylist(), words.texts(texts), strict=True):
+                    held.append((doc_id, ids + tail))
+                    waiting += len(held[-1][1]) // 4
+                    if waiting >= BATCH_IDS:
+                        yield out()
+                        waiting = 0
         if held:
             yield out()
 
