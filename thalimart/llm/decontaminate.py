@@ -80,18 +80,19 @@ WORD, NUM, NAME, UNIT, STOP = 0, 1, 2, 3, 4
 
 
 class Tokens(dict):
-    """Row numbers of raw tokens in ``table``: value hash, hash as a plain word,
+    """Row numbers of raw tokens in ``columns``: value hash, hash as a plain word,
     kind inside a sentence, kind at its start, whether it is a unit word."""
 
     def __init__(self):
         super().__init__()
-        self.table = np.zeros((1 << 16, 5), np.uint64)
+        self.columns = [np.zeros(1 << 16, kind) for kind in (np.uint64, np.uint64, np.int8, np.int8, np.int8)]
 
     def __missing__(self, token: str) -> int:
         at = len(self)
-        if at == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[at] = self._row(token)
+        if at == len(self.columns[0]):
+            self.columns = [np.concatenate([c, np.zeros_like(c)]) for c in self.columns]
+        for column, x in zip(self.columns, self._row(token), strict=True):
+            column[at] = x
         self[token] = at
         return at
 
@@ -107,18 +108,18 @@ class Tokens(dict):
         named = len(token) > 1 and token[0].isupper() and token[1:].islower()
         return value, plain, NAME if named else WORD, WORD, int(low in UNITS)
 
-    def rows(self, tokens: Iterator[str], n: int) -> np.ndarray:
+    def rows(self, tokens: Iterator[str], n: int) -> tuple[np.ndarray, ...]:
         if len(self) > CACHE_WORDS:
             self.clear()
         at = np.fromiter(map(self.__getitem__, tokens), np.int64, n)
-        return self.table[at]
+        return tuple(c[at] for c in self.columns)
 
 
 _TOKENS = Tokens()
 _PLACE = np.array([0, *(xxhash.xxh3_64_intdigest(x) for x in ("<num>", "<name>", "<unit>"))], np.uint64)
 
 
-Cut = tuple[np.ndarray, np.ndarray]
+Cut = tuple[np.ndarray, tuple[np.ndarray, ...]]
 
 
 def tokens(texts: list[str]) -> Cut:
@@ -131,10 +132,8 @@ def tokens(texts: list[str]) -> Cut:
 def canonical(cut: Cut) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """owner, canonical hash and slot value hash (0 for a plain word) of the
     canonical tokens of all texts."""
-    owner, table = cut
+    owner, (value, plain, inside, at_start, unit) = cut
     n = len(owner)
-    value, plain = table[:, 0], table[:, 1]
-    inside, at_start, unit = (table[:, i].astype(np.int8) for i in (2, 3, 4))
     begins = np.ones(n, bool)
     begins[1:] = (owner[1:] != owner[:-1]) | (inside[:-1] == STOP)
     kind = np.where(begins, at_start, inside)
@@ -153,10 +152,10 @@ def canonical(cut: Cut) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def as_written(cut: Cut) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """owner, hash and 1 for what is no plain word (number, unit word, name) of
     the lower-cased words of all texts."""
-    owner, table = cut
-    real = table[:, 2] != STOP
-    rest = (table[:, 2] != WORD) | (table[:, 4] == 1)
-    return owner[real], table[real, 1], rest[real].astype(np.uint64)
+    owner, (_, plain, inside, _, unit) = cut
+    real = inside != STOP
+    rest = (inside != WORD) | (unit == 1)
+    return owner[real], plain[real], rest[real].astype(np.uint64)
 
 
 def windows(read: tuple[np.ndarray, np.ndarray, np.ndarray], size: int, raw: bool = False) -> tuple[np.ndarray, ...]:
@@ -169,10 +168,10 @@ def windows(read: tuple[np.ndarray, np.ndarray, np.ndarray], size: int, raw: boo
         none = np.zeros(0, np.int64)
         return none, none.astype(np.uint64), none, none, none, slot
     key = np.full(n, size + (WINDOW + 1) * raw, np.uint64)
-    plain = np.zeros(n, np.int64)
     for j in range(size):
         key = mix64(key * _U(0x9E3779B97F4A7C15) + canon[j:j + n])
-        plain += slot[j:j + n] == 0
+    below = np.r_[0, np.cumsum(slot == 0)]
+    plain = below[size:] - below[:-size]
     at = np.flatnonzero((owner[:n] == owner[size - 1:size - 1 + n]) & (raw | (plain >= min(LITERALS, size))))
     first = np.r_[0, np.flatnonzero(owner[1:] != owner[:-1]) + 1]
     begin = np.zeros(int(owner.max()) + 1, np.int64)
