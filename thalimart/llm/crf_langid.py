@@ -11,9 +11,9 @@ is the score.
 Training. The classifier is fitted on a bounded sample of labelled rows:
 ``TRAIN_DOCS`` rows per language (those with the smallest hash of doc_id and
 text) among the rows that have words, for the ``LANGUAGES`` languages most frequent
-there; equal rows count once. A row longer than ``TRAIN_CHARS`` characters gives
-``PIECES`` pieces of that length together, from its first word on and evenly over
-the text. Both bounds are parameters. The rows are cut into short runs that are
+there; equal rows count once. A row longer than ``TRAIN_CHARS`` characters (or its
+share of ``TRAIN_TOTAL``, if less) gives ``PIECES`` pieces of that length together,
+from its first word on and evenly over the text. The bounds are parameters. The rows are cut into short runs that are
 shuffled into code-switched training chains, so transitions between
 languages are seen. Prediction reads every word of every text.
 
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,11 +43,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import slices
+from .common import arrow_mapped, quoted, slices
 
 TRAIN_DOCS = 200
 TRAIN_CHARS = 20_000
+#: Characters of all training rows: with many languages each row gives fewer.
+TRAIN_TOTAL = 16_000_000
+#: The rows of a language are chosen in so many parts first.
+SALTS = 16
 #: Pieces drawn from a longer row.
 PIECES = 20
 LANGUAGES = 200
@@ -55,10 +61,12 @@ FEATURES = 1 << 16
 #: Words of a training run, and of a training chain.
 RUN_WORDS, CHAIN_WORDS = 24, 96
 EPOCHS, RATE, DECAY = 30, 0.25, 1e-6
+#: Words times languages of the chains that are trained at once.
+TRAIN_CELLS = 2_000_000
 #: A word enters a language's lexicon when seen this often and mostly there.
 LEXICON_SEEN, LEXICON_SHARE = 3, 0.8
 #: Words handled at once, words of a block, scored words remembered.
-BATCH_WORDS, BLOCK, CACHE_WORDS = 200_000, 32, 100_000
+BATCH_WORDS, BLOCK, CACHE_WORDS = 200_000, 32, 200_000
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -67,7 +75,9 @@ _LETTER = "\\p{L}\\p{Nl}\\p{No}"
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    """The words of a text; a run of numerals ("½", "ⅷ") without a letter is none."""
+    found = _WORD.findall(text.lower()) if text else []
+    return found if not text or text.isascii() else [w for w in found if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def features(word: str, lexicon: dict[str, int]) -> list[int]:
@@ -142,10 +152,15 @@ def train(rows: list[tuple[str, str, int]]) -> Model | None:
     length = min(CHAIN_WORDS, len(word_ids))
     x = np.array(word_ids[:chains * length]).reshape(chains, length)
     y = np.array(labels[:chains * length]).reshape(chains, length)
-    k, slots = len(languages), [features(w, lexicon) for w in vocabulary]
-    flat = np.array([s for own in slots for s in own])
-    owner = np.repeat(np.arange(len(slots)), [len(own) for own in slots])
-    starts = np.r_[0, np.cumsum([len(own) for own in slots])[:-1]]
+    k, slots, sizes = len(languages), array("i"), array("i")
+    for w in vocabulary:
+        own = features(w, lexicon)
+        slots.extend(own)
+        sizes.append(len(own))
+    flat, sizes = np.array(slots), np.array(sizes)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    starts = np.r_[0, np.cumsum(sizes)[:-1]]
+    del runs, seen, total, slots
     weights, trans = np.zeros((FEATURES + k, k)), np.zeros((k, k))
     true = np.zeros((len(vocabulary), k))
     np.add.at(true, (x.ravel(), y.ravel()), 1.0)
@@ -153,11 +168,14 @@ def train(rows: list[tuple[str, str, int]]) -> Model | None:
     np.add.at(true_pairs, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1.0)
     moments = [np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(trans), np.zeros_like(trans)]
     for epoch in range(1, EPOCHS + 1):
-        emission = np.add.reduceat(weights[flat], starts)
-        psi = np.exp(emission - emission.max(1, keepdims=True))[x]
-        post, pairs, _ = _forward_backward(psi, np.exp(trans - trans.max()))
-        ids = x.ravel()
-        expected = np.stack([np.bincount(ids, post[..., i].ravel(), len(vocabulary)) for i in range(k)], 1)
+        emission = np.stack([np.add.reduceat(weights[flat, i], starts) for i in range(k)], 1)  # a language at a time
+        factors = np.exp(emission - emission.max(1, keepdims=True))
+        expected, pairs = np.zeros_like(true), np.zeros((k, k))
+        for own in np.array_split(x, -(-x.size * k // TRAIN_CELLS)):
+            post, found, _ = _forward_backward(factors[own], np.exp(trans - trans.max()))
+            pairs += found
+            for i in range(k):
+                expected[:, i] += np.bincount(own.ravel(), post[..., i].ravel(), len(vocabulary))
         residual = (true - expected) / x.size
         slope = np.stack([np.bincount(flat, residual[owner, i], len(weights)) for i in range(k)], 1)
         first = np.zeros((k, k))  # the virtual start is uniform over languages
@@ -176,20 +194,23 @@ def fit(docs: DataFrame, labelled: Column, train_docs: int = TRAIN_DOCS) -> Mode
 
     Narrow rows choose the sample - a row_number per language, limited before
     its shuffle - and only the chosen rows' texts are fetched (bounded by
-    ``LANGUAGES * train_docs * TRAIN_CHARS``)."""
+    ``TRAIN_TOTAL`` characters, or 400 a row if that is more)."""
     pick = F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit(17))
     # the pattern decodes what it reads: most texts show a word at their start
-    spoken = F.substring("text", 1, 200).rlike(f"[{_LETTER}]") | F.col("text").rlike(f"[{_LETTER}]")
+    spoken = F.substring("text", 1, 200).rlike("\\p{L}") | F.col("text").rlike("\\p{L}")
     pool = docs.where(labelled & F.col("lang").isNotNull() & spoken).select("doc_id", "lang", "text", pick.alias("pick"))
     narrow = pool.select("doc_id", "lang", "pick")
     langs = [r[0] for r in narrow.groupBy("lang").count()
              .orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    order = Window.partitionBy("lang").orderBy("pick", "doc_id")
-    chosen = (narrow.where(F.col("lang").isin(langs)).distinct().withColumn("n", F.row_number().over(order))
-              .where(F.col("n") <= train_docs).select("doc_id", "lang", "pick"))
+    chosen = narrow.where(F.col("lang").isin(langs)).distinct().withColumn("salt", F.pmod("pick", F.lit(SALTS)))
+    for group in (["lang", "salt"], ["lang"]):  # a frequent language meets in one task as SALTS * train_docs rows
+        order = Window.partitionBy(*group).orderBy("pick", "doc_id")
+        chosen = chosen.withColumn("n", F.row_number().over(order)).where(F.col("n") <= train_docs)
+    chosen = chosen.select("doc_id", "lang", "pick")
+    chars = max(20 * PIECES, min(TRAIN_CHARS, TRAIN_TOTAL // max(1, len(langs) * train_docs)))
     rows = pool.join(F.broadcast(chosen), ["doc_id", "lang", "pick"])
     # equal rows are one
-    keep = rows.select("doc_id", "lang", sample(F.col("text")).alias("text"), "pick").distinct()
+    keep = rows.select("doc_id", "lang", sample(F.col("text"), chars).alias("text"), "pick").distinct()
     return train(sorted((r.lang, r.text, r.pick) for r in keep.collect()))
 
 
@@ -317,11 +338,9 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
     """``keep`` columns and the language, its share and, if a third name is
     given, the words' mean certainty (share of each word's own best language),
     named ``marks``. Only text is looked at."""
-    kinds = [docs.schema[c] for c in keep]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds)
-    schema = ", ".join([fields, f"`{marks[0]}` string", *(f"`{m}` double" for m in marks[1:])])
+    schema = StructType([*(docs.schema[c] for c in keep), StructField(marks[0], StringType()), *(StructField(m, DoubleType()) for m in marks[1:])])
     if model is None:
-        return docs.select(*keep, F.lit(UNKNOWN).alias(marks[0]), *(F.lit(0.0).alias(m) for m in marks[1:]))
+        return docs.select(*map(quoted, keep), F.lit(UNKNOWN).alias(marks[0]), *(F.lit(0.0).alias(m) for m in marks[1:]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     sent = keep if "text" in keep else (*keep, "text")  # a kept text travels once
     at = sent.index("text")
@@ -343,7 +362,7 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
                  *(pa.array([x[n] for x in found], pa.float64()) for n in range(1, len(marks)))],
                 names=[*keep, *marks])
 
-    return docs.select(*sent).mapInArrow(run, schema)
+    return arrow_mapped(docs.select(*map(quoted, sent)), run, schema)
 
 
 def held_out(doc_id: Column) -> Column:

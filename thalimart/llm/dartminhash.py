@@ -55,7 +55,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, slices, written
+from .common import fresh, mix64, quoted, slices, written
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -463,11 +463,14 @@ def representatives(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
             .groupBy("root").agg(F.min(F.struct(no_id_last.alias("o"), "tid", "did", "n")).alias("m"))
             .select("m.tid", "m.did", "m.n"))
     stay = written(stay.unionByName(marked.where("tid is null")), "representatives")
-    key = docs.withColumns({"__tid": F.unhex(F.md5(F.col("text").cast("binary"))),
-                            "__did": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))})
-    some = stay.select(F.col("tid").alias("__t"), F.col("did").alias("__d"), F.col("n").alias("__n"))
-    kept = key.join(some, F.col("__tid").eqNullSafe(F.col("__t")) & (F.col("__did") == F.col("__d")))
-    once = kept.where("__n = 1").select(*docs.columns)
-    again = kept.where("__n > 1")
-    first = again.groupBy("__tid", "__did").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
-    return once.unionByName(first.select("__row.*"))
+    tid, did, t, d, n, row = (fresh(m, docs.columns) for m in ("__tid", "__did", "__t", "__d", "__n", "__row"))
+    own = [F.col(quoted(c)) for c in docs.columns]
+    key = docs.withColumns({tid: F.unhex(F.md5(F.col("text").cast("binary"))), did: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))})
+    some = stay.select(F.col("tid").alias(t), F.col("did").alias(d), F.col("n").alias(n))
+    kept = key.join(some, F.col(tid).eqNullSafe(F.col(t)) & (F.col(did) == F.col(d)))
+    once = kept.where(F.col(n) == 1).select(*own)
+    again = kept.where(F.col(n) > 1)
+    # maps have no order: rows with one are ordered by their text
+    least = F.min_by(F.struct(*own), F.to_json(F.struct(*own))) if "map<" in docs.schema.simpleString() else F.min(F.struct(*own))
+    first = again.groupBy(tid, did).agg(least.alias(row))
+    return once.unionByName(first.select(f"{row}.*"))
