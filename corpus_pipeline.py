@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thalimart.llm import bpe_stream, crf_langid, dartminhash, decontaminate
-from thalimart.llm.common import scratch, table, written
+from thalimart.llm.common import fresh, quoted, scratch, table, written
 
 #: A text whose words' best languages have a smaller mean share is rejected.
 LEAST_SHARE = 0.5
@@ -25,9 +25,10 @@ LEAST_SHARE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose words have a language (operator 5)."""
     model = crf_langid.fit(docs, crf_langid.trained_rows(docs.doc_id))
-    found = crf_langid.predict(docs, model, tuple(docs.columns), marks=("__lang", "__score", "__share"))
-    sure = (F.col("__lang") != crf_langid.UNKNOWN) & (F.col("__share") >= LEAST_SHARE)
-    return found.where(sure).select(*docs.columns)
+    lang, score, share = (fresh(m, docs.columns) for m in ("__lang", "__score", "__share"))
+    found = crf_langid.predict(docs, model, tuple(docs.columns), marks=(lang, score, share))
+    sure = (F.col(lang) != crf_langid.UNKNOWN) & (F.col(share) >= LEAST_SHARE)
+    return found.where(sure).select(*map(quoted, docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +41,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item (operator 7). Texts are judged, so
     rows with one id, or none, do not stand for each other."""
-    leaks = written(decontaminate.text_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("tid").alias("__leaky")).distinct(), "leaky")
+    tid, leaky = (fresh(m, docs.columns) for m in ("__tid", "__leaky"))
+    leaks = written(decontaminate.text_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("tid").alias(leaky)).distinct(), "leaky")
     # null texts leak nothing; numbers spread them over the join
     key = F.coalesce(decontaminate.text_id(F.col("text")), F.concat(F.lit("null text in row "), F.monotonically_increasing_id().cast("string")).cast("binary"))
-    return docs.withColumn("__tid", key).join(leaks, F.col("__tid") == F.col("__leaky"), "left_anti").select(*docs.columns)
+    return docs.withColumn(tid, key).join(leaks, F.col(tid) == F.col(leaky), "left_anti").select(*map(quoted, docs.columns))
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
