@@ -56,12 +56,23 @@ _LETTER, _NUMBER = latin_classes()
 _WORDS = re.compile(rf"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}\x1c-\x1f]+|[\x1c-\x1f]+")
 _LINES = re.compile(_WORDS.pattern + r"|\n")
 #: White space to Python but not to the library: such texts go to it whole.
-_CONTROL = re.compile("[\x1c-\x1f]")
+_CONTROL = "\x1c\x1d\x1e\x1f"
 #: Pieces that go to the library: a letter whose lower case is two characters, and
 #: all beyond Latin.
 _OTHER = re.compile("İ|[^\x00-ɏ]")
 
 
+def _gaps(values: list) -> list[int]:
+    """Where the list holds None."""
+    at, out = -1, []
+    try:
+        while True:
+            at = values.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 class Words:
     """Ids of white-space-free pieces of text as 32-bit little-endian bytes. The
     library drops white space and its pre-tokenizer joins nothing across it, so a
@@ -85,14 +96,14 @@ class Words:
         return self.texts([text])[0]
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        cut = [None if _CONTROL.search(t) else t.split() for t in texts]
+        cut = [None if any(c in t for c in _CONTROL) else t.split() for t in texts]
         if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()  # cheap to put together again from the words
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
         known = self.pieces.get
         found = [None if c is None else list(map(known, c)) for c in cut]
-        gaps = [[] if ids is None or None not in ids else [i for i, x in enumerate(ids) if x is None] for ids in found]
+        gaps = [_gaps(ids or []) for ids in found]
         self.learn({c[i] for c, own in zip(cut, gaps, strict=True) for i in own})
         for c, ids, own in zip(cut, found, gaps, strict=True):
             for i in own:
