@@ -4,7 +4,24 @@ from __future__ import annotations
 
 from .oracle import PREFIX, SQL
 
+#: Every natural key, and every line without one, with the reason against it.
+_DECIDED = """, sound AS (
+  SELECT n.*, TRY_CAST(money * rate AS DECIMAL(28,10)) IS NULL AS too_large FROM named_line n
+), judged AS (
+  SELECT CASE WHEN moment IS NULL THEN 'bad_date' ELSE 'amount_too_large' END AS reason, currency, 1 AS copies FROM sound WHERE moment IS NULL OR too_large
+  UNION ALL
+  SELECT CASE WHEN user_id NOT IN (SELECT user_id FROM person) THEN 'unknown_user' WHEN r_id NOT IN (SELECT id FROM kitchen) THEN 'unknown_restaurant'
+    WHEN cell * rate IN (0, -1) THEN 'deleted_amount' ELSE 'accepted' END, any_value(currency), count(*)
+  FROM sound WHERE moment IS NOT NULL AND NOT too_large GROUP BY order_nk, user_id, r_id, cell * rate
+)
+"""
+
 _BODIES: dict[str, str] = {
+    "dq_load_reasons": _DECIDED + """SELECT reason, CAST(CASE reason WHEN 'duplicate' THEN (SELECT sum(copies - 1) FROM judged)
+  ELSE (SELECT count(*) FROM judged j WHERE j.reason = r.reason) END AS BIGINT) AS orders
+FROM (VALUES ('bad_date'), ('no_quantity'), ('no_amount'), ('amount_too_large'), ('unknown_user'), ('unknown_restaurant'), ('deleted_amount'),
+  ('accepted'), ('duplicate')) AS r(reason)""",
+    "dq_quarantine": _DECIDED + "SELECT reason, currency, count(*) AS orders, CAST(sum(copies) AS BIGINT) AS copies FROM judged WHERE reason <> 'accepted' GROUP BY reason, currency",
     "sql_order_keys": """SELECT strftime(moment, '%Y%m') AS month, concat(trim(currency), '|', strftime(moment, '%w')) AS label, count(*) AS orders,
   min(strftime(moment, '%Y-%m-%d %H:%M:%S')) AS first_at, max(concat(format('{:08d}', r_id), '/', strftime(moment, '%j'))) AS last_key
 FROM staged_line GROUP BY ALL""",

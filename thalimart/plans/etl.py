@@ -219,21 +219,26 @@ def staged_fact_rows(orders: DataFrame) -> DataFrame:
     fact cannot hold (no date, NULL quantity or amount, an amount beyond its
     type) are dropped here. ``amount`` is the uncut REAL value in INR: the
     currency is converted first, and the delete looks at the result."""
+    valid = F.col("p_ts").isNotNull() & F.col("p_qty").isNotNull() & F.col("p_amount").isNotNull()
+    return parsed_orders(orders).where(valid).select(*(c.alias(n) for n, c in fact_cells().items()), "ingest_seq")
+
+
+def fact_cells() -> dict[str, F.Column]:
+    """The fact's natural key, ids and typed measures, from parsed cells."""
     amount = F.col("p_amount")
     usd = B.is_usd(F.trim(F.col("currency")))
     exact = amount.try_cast(MONEY)
     converted = F.when(usd, F.try_multiply(exact, F.lit(B.USD_TO_INR).cast("decimal(10,0)"))).otherwise(exact)
     user, rest = F.col("p_user").cast("string"), F.col("p_rest").cast("string")
-    valid = F.col("p_ts").isNotNull() & F.col("p_qty").isNotNull() & amount.isNotNull()
-    return parsed_orders(orders).where(valid).select(
-        natural_key(user, rest).alias("order_nk"),
-        date_attributes(F.col("p_ts"))["date_key"].alias("date_key"),
-        user.alias("user_txt"), rest.alias("rest_txt"),
-        F.col("p_qty").alias("sales_qty"),
-        F.when(usd, amount * F.lit(float(B.USD_TO_INR))).otherwise(amount).alias("amount"),
-        converted.try_cast(MONEY).alias("sales_amount"),
-        F.when(usd, F.lit("INR")).otherwise(F.trim(F.col("currency"))).alias("currency"),
-        "ingest_seq")
+    return {
+        "order_nk": natural_key(user, rest),
+        "date_key": date_attributes(F.col("p_ts"))["date_key"],
+        "user_txt": user, "rest_txt": rest,
+        "sales_qty": F.col("p_qty"),
+        "amount": F.when(usd, amount * F.lit(float(B.USD_TO_INR))).otherwise(amount),
+        "sales_amount": converted.try_cast(MONEY),
+        "currency": F.when(usd, F.lit("INR")).otherwise(F.trim(F.col("currency"))),
+    }
 
 
 def fitting(rows: DataFrame) -> DataFrame:

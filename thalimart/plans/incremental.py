@@ -10,8 +10,8 @@ prunes year folders and row groups before the anti join.
 Locations: restaurants that had no location are matched again when locations
 arrive; facts that have one keep it.
 
-Orders whose user or restaurant is not known yet go to a reject table and are
-tried again with every later batch.
+Orders that the fact cannot take go to a quarantine table (``plans.rules``); those
+whose user or restaurant is not known yet are tried again with every later batch.
 """
 
 from __future__ import annotations
@@ -50,17 +50,6 @@ def dimension_additions(wh: Warehouse, staging, scratch: str) -> dict[str, DataF
     }
 
 
-def unresolved(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame) -> DataFrame:
-    """Staged orders (all columns) that wait for their user or restaurant."""
-    keyed = etl.parsed_orders(orders).withColumn("_user", F.col("p_user").cast("string")).withColumn("_rest", F.col("p_rest").cast("string"))
-    valid = etl.fitting(etl.staged_fact_rows(orders)).select("user_txt", "rest_txt").distinct()
-    late = (valid.join(dim_customer.select(F.col("user_id_nat").alias("user_txt"), "customer_key"), "user_txt", "left")
-            .join(dim_restaurant.select(F.col("restaurant_id_nat").alias("rest_txt"), "restaurant_key"), "rest_txt", "left")
-            .where(F.col("customer_key").isNull() | F.col("restaurant_key").isNull())
-            .select(F.col("user_txt").alias("_user"), F.col("rest_txt").alias("_rest")))
-    return keyed.join(late, ["_user", "_rest"], "left_semi").select(*orders.columns)
-
-
 def existing_keys(existing: DataFrame, loaded: DataFrame) -> DataFrame:
     """order_nk of the existing facts that may repeat in ``loaded``: the scan is
     limited by literals to the batch's years and its range of days."""
@@ -76,6 +65,11 @@ def append_batch(existing: DataFrame, batch_orders: DataFrame, wh: Warehouse, sc
     """Wide fact rows that ``batch_orders`` adds to ``existing``; new keys start
     after ``top`` (default: the largest key in ``existing``)."""
     loaded = written_under(scratch, etl.load_fact(batch_orders, wh.dim_customer, wh.dim_restaurant), "batch")
+    return append_loaded(existing, loaded, wh, scratch, top)
+
+
+def append_loaded(existing: DataFrame, loaded: DataFrame, wh: Warehouse, scratch: str, top: int | None = None) -> DataFrame:
+    """``append_batch`` for orders whose keys are resolved and written."""
     fresh = loaded.join(existing_keys(existing, loaded), "order_nk", "left_anti")
     top = largest(existing, "order_key") if top is None else top
     keyed = etl.number_orders(fresh, int(top), scratch)

@@ -9,8 +9,8 @@ read as a stream; each micro-batch is merged into the written warehouse by
 * orders go through the same insert-or-ignore as a batch load
   (``plans.incremental.append_batch``); the new rows are computed and written
   once, under the scratch folder, and appended from there;
-* orders whose user or restaurant is unknown are kept in ``late_orders``, which
-  a new folder replaces with every batch, and are tried again;
+* orders that break a rule go to the batch's quarantine under ``loads`` with their
+  reason; those whose user or restaurant is unknown are tried again;
 * the stored aggregates (``plans.states``), if the warehouse keeps them, take in the
   new orders;
 * new keys start after the largest key of the fact, read from the footers of
@@ -30,15 +30,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans import etl, incremental, states
+from ..plans import etl, incremental, rules, states
 from ..plans.warehouse import complete_folders, open_warehouse, remove, written_under
 from ..sources.staging import ORDERS_COLS, ORDERS_CSV, Staging, _text_schema
 
 
 def late_orders(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest complete table of orders that wait for a dimension row."""
-    done = complete_folders(spark, f"{root}/late_orders")
-    return spark.read.parquet(f"{root}/late_orders/{done[-1]}") if done else None
+    """Orders that wait for a dimension row: a part of the newest quarantine."""
+    done = complete_folders(spark, f"{root}/loads")
+    return rules.waiting(rules.quarantine(spark, f"{root}/loads/{done[-1]}")) if done else None
 
 
 def merge_batch(spark: SparkSession, root: str, batch: DataFrame, users: DataFrame | None = None,
@@ -64,10 +64,11 @@ def merge_batch(spark: SparkSession, root: str, batch: DataFrame, users: DataFra
     if locations is not None:
         repatch(spark, root)
         wh = open_warehouse(spark, root)
-    added = written_under(wh.scratch, incremental.append_batch(wh.orders, orders, wh, wh.scratch), "new-orders")
+    load = f"{root}/loads/{time.time_ns():020d}"
+    rules.checked_load(orders, wh, load)
+    added = written_under(wh.scratch, incremental.append_loaded(wh.orders, rules.accepted(spark, load), wh, wh.scratch), "new-orders")
     added.write.mode("append").partitionBy("year").parquet(f"{root}/order_wide")
-    incremental.unresolved(orders, wh.dim_customer, wh.dim_restaurant).select(*ORDERS_CSV) \
-        .write.parquet(f"{root}/late_orders/{time.time_ns():020d}")
+    remove(spark, f"{load}/reason={rules.ACCEPTED}")  # they are in the fact now
     remove(spark, wh.scratch)
     if states.kept(spark, root):
         states.update(spark, root, open_warehouse(spark, root).orders)
