@@ -45,7 +45,7 @@ STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
 #: Bytes of text that one file holds on average.
 FILE_BYTES = 64 << 20
-BATCH_IDS, CACHE_PIECES, CACHE_WORDS = 500_000, 900_000, 900_000
+BATCH_IDS, CACHE_PIECES, CACHE_WORDS = 500_000, 400_000, 600_000
 #: Bytes of text that are cut and looked up together.
 BATCH_TEXT = 2 << 20
 FILE_SCHEMA = "doc_id bigint, file int, before bigint, n bigint, ids array<int>"
@@ -62,6 +62,11 @@ _CONTROL = "\x1c\x1d\x1e\x1f"
 _OTHER = re.compile("İ|[^\x00-ɏ]")
 
 
+def _simple(text: str) -> bool:
+    """Whether the words of the text, and of its lines, can be cut here."""
+    return "<|" not in text and (text.isascii() or not _OTHER.search(text) and unicodedata.is_normalized("NFC", text))
+
+
 def _gaps(values: list) -> list[int]:
     """Where the list holds None."""
     at, out = -1, []
@@ -111,12 +116,10 @@ class Words:
         return [self.whole(t) if ids is None else b"".join(ids) for t, ids in zip(texts, found, strict=True)]
 
     def learn(self, new: set[str]) -> None:
-        plain = []
-        for p in new:
-            if "<|" in p or not p.isascii() and (_OTHER.search(p) or not unicodedata.is_normalized("NFC", p)):
-                self.pieces[p] = self.whole(p)
-            else:
-                plain.append(p)
+        plain = list(new)
+        if not _simple("\n".join(plain)):
+            self.pieces.update((p, self.whole(p)) for p in new if not _simple(p))
+            plain = [p for p in plain if _simple(p)]
         found = _LINES.findall("\n".join(plain).lower())  # a line feed ends a piece
         self.encode([w for w in dict.fromkeys(found) if w not in self.words and w != "\n"])
         at, ids, words, kept = 0, [], self.words, self.pieces
