@@ -44,6 +44,7 @@ side gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import reduce
 from itertools import chain
@@ -85,22 +86,20 @@ class Tokens(dict):
 
     def __init__(self):
         super().__init__()
-        self.columns = [np.zeros(1 << 16, kind) for kind in (np.uint64, np.uint64, np.int8, np.int8, np.int8)]
+        self.columns = [array(kind) for kind in "QQbbb"]
 
     def __missing__(self, token: str) -> int:
-        at = len(self)
-        if at == len(self.columns[0]):
-            self.columns = [np.concatenate([c, np.zeros_like(c)]) for c in self.columns]
-        for column, x in zip(self.columns, self._row(token), strict=True):
-            column[at] = x
-        self[token] = at
+        at = self[token] = len(self)
+        for column, x in zip(self.columns, self._row(token)):
+            column.append(x)
         return at
 
     @staticmethod
     def _row(token: str) -> tuple[int, int, int, int, int]:
-        value = xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass"))
+        value = plain = xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass"))
         low = token.lower()
-        plain = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass"))
+        if low != token:
+            plain = xxhash.xxh3_64_intdigest(low.encode("utf-8", "surrogatepass"))
         if token in ".!?\n":
             return value, plain, STOP, STOP, 0
         if token[0].isdigit():
@@ -111,8 +110,10 @@ class Tokens(dict):
     def rows(self, tokens: Iterator[str], n: int) -> tuple[np.ndarray, ...]:
         if len(self) > CACHE_WORDS:
             self.clear()
+            for column in self.columns:
+                del column[:]
         at = np.fromiter(map(self.__getitem__, tokens), np.int64, n)
-        return tuple(c[at] for c in self.columns)
+        return tuple(np.frombuffer(c, c.typecode)[at] if n else np.zeros(0, c.typecode) for c in self.columns)
 
 
 _TOKENS = Tokens()
