@@ -21,6 +21,15 @@ _BODIES: dict[str, str] = {
   ELSE (SELECT count(*) FROM judged j WHERE j.reason = r.reason) END AS BIGINT) AS orders
 FROM (VALUES ('bad_date'), ('no_quantity'), ('no_amount'), ('amount_too_large'), ('unknown_user'), ('unknown_restaurant'), ('deleted_amount'),
   ('accepted'), ('duplicate')) AS r(reason)""",
+    "csv_users": """SELECT income AS monthly_income, count(*) AS n_rows, count(*) FILTER (user_id % 10 = 3) AS surplus_lines,
+  count(*) FILTER (user_id % 10 = 7) AS short_lines, count(DISTINCT user_id) FILTER (user_id % 10 <> 7) AS n_ids, CAST(sum(age) AS BIGINT) AS ages
+FROM staged_person GROUP BY income""",
+    "csv_restaurants": """SELECT nullif(cuisine, '') AS cuisine, count(*) AS n_rows, count(*) FILTER (id % 10 = 3) AS surplus_lines,
+  count(*) FILTER (id % 10 = 7) AS short_lines, count(DISTINCT id) FILTER (id % 10 <> 7) AS n_ids,
+  CAST(sum(CAST(rating AS DECIMAL(38,5))) AS DOUBLE) AS ratings FROM kitchen GROUP BY ALL""",
+    "csv_locations": """SELECT state, count(*) AS n_rows, count(*) FILTER (city LIKE '%3') AS surplus_lines, count(*) FILTER (city LIKE '%7') AS short_lines,
+  count(country) FILTER (city NOT LIKE '%7') AS n_countries, count(DISTINCT city) AS cities
+FROM (SELECT p.* FROM staged_place p, (VALUES (0), (1)) AS copies(copy) WHERE copy = 0 OR city IN (SELECT n_name FROM nation WHERE n_nationkey < 5)) GROUP BY state""",
     "dq_quarantine": _DECIDED + "SELECT reason, currency, count(*) AS orders, CAST(sum(copies) AS BIGINT) AS copies FROM judged WHERE reason <> 'accepted' GROUP BY reason, currency",
     "sql_order_keys": """SELECT strftime(moment, '%Y%m') AS month, concat(trim(currency), '|', strftime(moment, '%w')) AS label, count(*) AS orders,
   min(strftime(moment, '%Y-%m-%d %H:%M:%S')) AS first_at, max(concat(format('{:08d}', r_id), '/', strftime(moment, '%j'))) AS last_key

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from . import rules, states, statements
+from . import roundtrip, rules, states, statements
 from .warehouse import Warehouse
 
 EXTENDED: dict[str, Callable[[Warehouse], DataFrame]] = {
@@ -18,6 +18,9 @@ EXTENDED: dict[str, Callable[[Warehouse], DataFrame]] = {
     "state_distinct_customers": states.customers_by_span,
     "state_monthly_revenue": lambda wh: states.monthly_revenue(*states.in_three_batches(wh)),
     "state_loyalty": lambda wh: states.loyalty(*states.in_three_batches(wh)),
+    "csv_users": roundtrip.users_through_csv,
+    "csv_restaurants": roundtrip.restaurants_through_csv,
+    "csv_locations": roundtrip.locations_through_csv,
     "dq_load_reasons": rules.reasons,
     "dq_quarantine": rules.rejected_orders,
     "state_acquisition": lambda wh: states.acquisition(*states.in_three_batches(wh)),
