@@ -70,6 +70,17 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def take_over(owner: str, forget: Callable[[], None]) -> None:
+    """Called by a task before it fills its process's cache: a Python worker that
+    ran another operator's tasks before gives up what those remembered."""
+    for name in [n for n in _CACHES if n != owner]:
+        _CACHES.pop(name)()
+    _CACHES[owner] = forget
+
+
 def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``df`` with columns c0, c1 ... whatever they were called, and the new name
     of each (the first, where a name repeats)."""

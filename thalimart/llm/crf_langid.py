@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import arrow_mapped, quoted, slices
+from .common import arrow_mapped, quoted, slices, take_over
 
 TRAIN_DOCS = 200
 TRAIN_CHARS = 20_000
@@ -66,7 +66,7 @@ TRAIN_CELLS = 2_000_000
 #: A word enters a language's lexicon when seen this often and mostly there.
 LEXICON_SEEN, LEXICON_SHARE = 3, 0.8
 #: Words handled at once, words of a block, scored words remembered.
-BATCH_WORDS, BLOCK, CACHE_WORDS = 200_000, 32, 200_000
+BATCH_WORDS, BLOCK, CACHE_WORDS = 200_000, 32, 400_000
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -347,6 +347,7 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        take_over("crf_langid", _SCORERS.clear)
         if id(own) not in _SCORERS:
             _SCORERS.clear()
             _SCORERS[id(own)] = own, Scorer(own)

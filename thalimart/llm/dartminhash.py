@@ -55,7 +55,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, mix64, quoted, slices, written
+from .common import fresh, mix64, quoted, slices, take_over, written
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -68,7 +68,7 @@ BLOCK, BLOCK_BYTES = 256, 8 << 20
 #: Stands for a null doc_id inside.
 NO_ID = -(1 << 63)
 #: Words handled at once and hashed words remembered per process.
-BATCH_WORDS, CACHE_WORDS = 300_000, 200_000
+BATCH_WORDS, CACHE_WORDS = 150_000, 200_000
 #: A short text throws as many darts as a long one: it counts as this many words.
 DART_WORDS = 200
 
@@ -188,6 +188,7 @@ def signed(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     with a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("dartminhash", _HASHES.clear)
         for batch in batches:
             for begin, end, own in _text_rows(batch, 1):
                 owner, runs, weight = shingles(own)

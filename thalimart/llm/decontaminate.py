@@ -56,7 +56,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, slices, written
+from .common import mix64, slices, take_over, written
 
 WINDOW = 8
 LITERALS = 4
@@ -107,11 +107,14 @@ class Tokens(dict):
         named = len(token) > 1 and token[0].isupper() and token[1:].islower()
         return value, plain, NAME if named else WORD, WORD, int(low in UNITS)
 
+    def forget(self) -> None:
+        self.clear()
+        for column in self.columns:
+            del column[:]
+
     def rows(self, tokens: Iterator[str], n: int) -> tuple[np.ndarray, ...]:
         if len(self) > CACHE_WORDS:
-            self.clear()
-            for column in self.columns:
-                del column[:]
+            self.forget()
         at = np.fromiter(map(self.__getitem__, tokens), np.int64, n)
         return tuple(np.frombuffer(c, c.typecode)[at] if n else np.zeros(0, c.typecode) for c in self.columns)
 
@@ -237,6 +240,7 @@ def document_windows(docs: DataFrame, bitmap: np.ndarray, sizes: list[tuple[bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
+        take_over("decontaminate", _TOKENS.forget)
         for batch in batches:
             texts = batch.column(1)
             weights = [(x or 0) // 6 for x in pc.binary_length(texts).to_pylist()]
