@@ -71,11 +71,6 @@ def _rolled(s: Column) -> Column:
     return F.when(day.between(1, 31), first.try_cast("timestamp_ntz") + shift)
 
 
-def integer_text(c: Column, dtype: DataType | None = None) -> Column:
-    """``TRIM(CAST(CAST(x AS INTEGER) AS TEXT))``: the fact-side natural key form."""
-    return F.trim(lenient_int(c, dtype).cast("string"))
-
-
 def plain_number(d: Column) -> Column:
     """A double as decimal text without exponent: at least one digit after the
     point, no other trailing zeros (``250.0``, ``0.00004``). Beyond the range of

@@ -21,6 +21,9 @@ _BODIES: dict[str, str] = {
   ELSE (SELECT count(*) FROM judged j WHERE j.reason = r.reason) END AS BIGINT) AS orders
 FROM (VALUES ('bad_date'), ('no_quantity'), ('no_amount'), ('amount_too_large'), ('unknown_user'), ('unknown_restaurant'), ('deleted_amount'),
   ('accepted'), ('duplicate')) AS r(reason)""",
+    "like_location_match": """SELECT kitchen_city AS city, min(location_key) AS location_key FROM kitchen
+JOIN (SELECT location_key, regexp_replace(regexp_replace(city, '[AEIOU]', '_', 'g'), '[0-9]', '%', 'g') AS pattern FROM place)
+ON lower(kitchen_city) LIKE '%' || lower(pattern) || '%' GROUP BY kitchen_city""",
     "csv_users": """SELECT income AS monthly_income, count(*) AS n_rows, count(*) FILTER (user_id % 10 = 3) AS surplus_lines,
   count(*) FILTER (user_id % 10 = 7) AS short_lines, count(DISTINCT user_id) FILTER (user_id % 10 <> 7) AS n_ids, CAST(sum(age) AS BIGINT) AS ages
 FROM staged_person GROUP BY income""",

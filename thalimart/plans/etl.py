@@ -43,7 +43,7 @@ from ..functions.lenient import (date_text, iso_timestamp, lenient_double, lenie
                                  raw_text, real_text, whole_text)
 from ..functions.numeric import MONEY
 from ..operators.dedup import first_per_key
-from ..operators.substring_match import first_substring_match
+from ..operators.substring_match import first_like_match, first_substring_match
 from ..operators.surrogate import with_dense_key
 from ..sources.staging import ORDERS_CSV, Staging
 
@@ -203,12 +203,13 @@ def build_dim_location(locations: DataFrame, scratch: str | None = None) -> Data
 
 
 # ------------------------------------------------------- location matching
-def restaurant_locations(dim_restaurant: DataFrame, dim_location: DataFrame) -> DataFrame:
+def restaurant_locations(dim_restaurant: DataFrame, dim_location: DataFrame, wildcards: bool = False) -> DataFrame:
     """``(restaurant_key, location_key)`` for restaurants whose city contains a
     location city (ASCII case folded); the smallest location key wins. The
-    match runs on distinct restaurant cities, then joins back on the city."""
-    per_city = first_substring_match(dim_restaurant, "city", dim_location, "city",
-                                     "location_key")
+    match runs on distinct restaurant cities, then joins back on the city.
+    ``wildcards`` gives ``%`` and ``_`` in a location's city their LIKE meaning."""
+    per_city = (first_like_match if wildcards else first_substring_match)(dim_restaurant, "city", dim_location, "city",
+                                                                          "location_key")
     return (dim_restaurant.select("restaurant_key", "city")
             .join(per_city, "city").select("restaurant_key", "location_key"))
 
