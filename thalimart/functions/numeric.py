@@ -22,6 +22,22 @@ def out_money(c: Column) -> Column:
     return c.cast("double")
 
 
+def wide_sum(c: Column) -> Column:
+    """Exact SUM of a DECIMAL(38,5), as a double. The sum itself may need more
+    than 38 digits (ANSI mode raises then), so the multiples of 10^15 and the
+    rest are summed apart and put together as text, which is rounded once."""
+    step = F.lit("1000000000000000").cast("decimal(16,0)")
+    quotient = F.call_function("div", c, step).cast("decimal(38,0)")
+    high, low = F.sum(quotient), F.sum((c % step).cast("decimal(38,5)"))
+    rest = F.pmod(low, step)                  # 0 <= rest < 10^15
+    whole = high + F.call_function("div", low - rest, step)
+    borrow = (whole < 0) & (rest > 0)
+    size = F.when(borrow, -whole - 1).otherwise(F.abs(whole))
+    tail = F.when(borrow, step - rest).otherwise(rest).cast("decimal(20,5)")
+    text = F.concat(F.when(whole < 0, "-").otherwise(""), size.cast("decimal(38,0)").cast("string"), F.lpad(tail.cast("string"), 21, "0"))
+    return text.cast("double")
+
+
 def money_round(c: Column, digits: int) -> Column:
     """ROUND(x, d) done identically in Spark and the SQL oracle."""
     return F.round(c.cast("decimal(38,8)"), digits).cast("double")

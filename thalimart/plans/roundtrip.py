@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lenient import lenient_double, lenient_int
+from ..functions.numeric import wide_sum
 from ..sources.checked_csv import BAD_LINE, cells_of, read_checked_csv
 from ..sources.staging import LOCATION_CSV, ORDERS_CSV, RENAMES, RESTAURANT_CSV, USERS_CSV, read_csv_table
 from .warehouse import Warehouse
@@ -29,7 +30,7 @@ def staging_through_csv(wh: Warehouse) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("user_id").alias("n_users"),
         F.sum(lenient_int(F.col("sales_qty"))).cast("bigint").alias("qty"),
         F.count(F.when(F.col("order_date") == "bad-date", 1)).alias("bad_dates"),
-        F.sum(amount).cast("double").alias("amount"))
+        wide_sum(amount).alias("amount"))
 
 
 def _through_faulty_csv(wh: Warehouse, table: DataFrame, cols: list[str], surplus: Column, short: Column) -> DataFrame:
