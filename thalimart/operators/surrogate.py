@@ -47,9 +47,14 @@ def with_dense_key(df: DataFrame, order_by: Sequence[Column], name: str,
     be reproducible.
 
     Runs the sort and the write of the tagged rows eagerly."""
+    return number_rows(df.orderBy(*order_by), name, scratch, after)
+
+
+def number_rows(df: DataFrame, name: str, scratch: str | None = None, after: int = 0) -> DataFrame:
+    """``with_dense_key`` for rows whose partitions are ascending ranges and sorted."""
     spark = df.sparkSession
     path = f"{scratch or checkpoint_root(spark)}/thalimart-keys-{name}-{uuid.uuid4().hex}"
-    (df.orderBy(*order_by).withColumn(_ID, F.monotonically_increasing_id())
+    (df.withColumn(_ID, F.monotonically_increasing_id())
      .write.mode("overwrite").parquet(path))
     tagged = spark.read.parquet(path)
     part = F.shiftright(F.col(_ID), _POS_BITS)

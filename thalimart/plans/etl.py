@@ -35,7 +35,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import buckets as B
@@ -44,7 +44,8 @@ from ..functions.lenient import (date_text, iso_timestamp, lenient_double, lenie
 from ..functions.numeric import MONEY
 from ..operators.dedup import first_per_key
 from ..operators.substring_match import first_like_match, first_substring_match
-from ..operators.surrogate import with_dense_key
+from ..operators.surrogate import number_rows, with_dense_key
+from ..session import written_under
 from ..sources.staging import ORDERS_CSV, Staging
 
 DIM_DATE_COLS = ["date_key", "date_iso", "year", "quarter", "month", "month_name", "day",
@@ -101,6 +102,22 @@ def natural_key(user: F.Column, rest: F.Column) -> F.Column:
     return F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in parts])
 
 
+def key_cells() -> dict[str, F.Column]:
+    """An order's natural key in four narrow cells, from parsed cells: user,
+    restaurant, second, and the text of the other three parts. Ids and time hold no
+    separator, so two orders have one ``order_nk`` exactly if these four are equal."""
+    tail = [F.trim(F.coalesce(F.col("currency"), F.lit(""))), F.col("p_qty_text"), F.col("p_amount_text")]
+    return {"p_user": F.col("p_user"), "p_rest": F.col("p_rest"),
+            "p_ts": F.col("p_ts") - F.expr("make_dt_interval(0, 0, 0, extract(SECOND FROM p_ts) % 1)"),
+            "p_tail": F.concat_ws("|", *[F.coalesce(p, F.lit("")) for p in tail])}
+
+
+def whole_key() -> F.Column:
+    """``order_nk`` from its four cells."""
+    ids = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("p_user", "p_rest")]
+    return F.concat_ws("|", *ids, F.coalesce(ntz_text(F.col("p_ts")), F.lit("")), F.col("p_tail"))
+
+
 # ---------------------------------------------------------------- dim_date
 def date_attributes(ts: F.Column) -> dict[str, F.Column]:
     d = F.to_date(ts)
@@ -224,7 +241,7 @@ def staged_fact_rows(orders: DataFrame) -> DataFrame:
     return parsed_orders(orders).where(valid).select(*(c.alias(n) for n, c in fact_cells().items()), "ingest_seq")
 
 
-def fact_cells() -> dict[str, F.Column]:
+def fact_cells(order_nk: F.Column | None = None) -> dict[str, F.Column]:
     """The fact's natural key, ids and typed measures, from parsed cells."""
     amount = F.col("p_amount")
     usd = B.is_usd(F.trim(F.col("currency")))
@@ -232,7 +249,7 @@ def fact_cells() -> dict[str, F.Column]:
     converted = F.when(usd, F.try_multiply(exact, F.lit(B.USD_TO_INR).cast("decimal(10,0)"))).otherwise(exact)
     user, rest = F.col("p_user").cast("string"), F.col("p_rest").cast("string")
     return {
-        "order_nk": natural_key(user, rest),
+        "order_nk": natural_key(user, rest) if order_nk is None else order_nk,
         "date_key": date_attributes(F.col("p_ts"))["date_key"],
         "user_txt": user, "rest_txt": rest,
         "sales_qty": F.col("p_qty"),
@@ -263,6 +280,13 @@ def restaurant_lookup(dim_restaurant: DataFrame, dim_location: DataFrame) -> Dat
         .join(loc_of, "restaurant_key", "left"))
 
 
+def written_lookup(dim_restaurant: DataFrame, dim_location: DataFrame, scratch: str | None = None) -> DataFrame:
+    """``restaurant_lookup`` from files, whose size tells Spark whether to broadcast
+    it: a plan that learns it too late has shuffled the fact already."""
+    lookup = restaurant_lookup(dim_restaurant, dim_location)
+    return written_under(scratch, lookup, "restaurants") if scratch else lookup
+
+
 def location_attributes(dim_location: DataFrame) -> DataFrame:
     return dim_location.select("location_key", F.col("country").alias("loc_country"),
                                F.col("state").alias("loc_state"), F.col("city").alias("loc_city"))
@@ -271,14 +295,36 @@ def location_attributes(dim_location: DataFrame) -> DataFrame:
 CUSTOMER_ATTRIBUTES = ["income_group", "income_group_order", "education_group", "education_group_order", "family_size"]
 
 
+LOADED_COLS = ["order_nk", "date_key", "sales_qty", "amount", "sales_amount", "currency", "customer_key", *CUSTOMER_ATTRIBUTES,
+               "restaurant_key"]
+_CELL_ORDER = ["ingest_seq", "p_qty", "p_amount", "currency"]
+
+
+def resolved_orders(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame) -> DataFrame:
+    """Every staged order that the fact holds, copies too, with resolved keys, as
+    narrow cells: the texts that a fact row derives from them come after the
+    shuffles. The join that resolves the customer also picks up its attributes:
+    customers grow with the orders, and a second join would shuffle the fact again."""
+    valid = F.col("p_ts").isNotNull() & F.col("p_qty").isNotNull() & F.col("p_amount").isNotNull()
+    rows = parsed_orders(orders).where(valid & fact_cells()["sales_amount"].isNotNull()).select(
+        *(c.alias(n) for n, c in key_cells().items()), "p_qty", "p_amount", F.trim("currency").alias("currency"), "ingest_seq")
+    cust = dim_customer.select("user_id_nat", "customer_key", *CUSTOMER_ATTRIBUTES)
+    rest = dim_restaurant.select("restaurant_id_nat", "restaurant_key")
+    return (rows.join(rest, F.col("p_rest").cast("string") == F.col("restaurant_id_nat"))
+            .join(cust, F.col("p_user").cast("string") == F.col("user_id_nat")).drop("user_id_nat", "restaurant_id_nat"))
+
+
+def with_fact_cells(cells: DataFrame) -> DataFrame:
+    """``LOADED_COLS`` of resolved orders, after their other columns' (``order_key``)."""
+    made = fact_cells(whole_key())
+    known = [c for c in cells.columns if c == "order_key"]
+    return cells.select(*known, *(made[c].alias(c) if c in made else c for c in LOADED_COLS))
+
+
 def load_fact(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame) -> DataFrame:
-    """Deduplicated staged orders with resolved keys, before numbering. The join
-    that resolves the customer also picks up its attributes: customers grow with
-    the orders, and a second join would shuffle the fact again."""
-    rows = first_per_key(fitting(staged_fact_rows(orders)), ["order_nk"], ["ingest_seq"]).drop("ingest_seq")
-    cust = dim_customer.select(F.col("user_id_nat").alias("user_txt"), "customer_key", *CUSTOMER_ATTRIBUTES)
-    rest = dim_restaurant.select(F.col("restaurant_id_nat").alias("rest_txt"), "restaurant_key")
-    return rows.join(cust, "user_txt").join(rest, "rest_txt").drop("user_txt", "rest_txt")
+    """Deduplicated staged orders with resolved keys, before numbering."""
+    cells = resolved_orders(orders, dim_customer, dim_restaurant)
+    return with_fact_cells(first_per_key(cells, list(key_cells()), _CELL_ORDER))
 
 
 def number_orders(loaded: DataFrame, after: int = 0, scratch: str | None = None) -> DataFrame:
@@ -286,31 +332,45 @@ def number_orders(loaded: DataFrame, after: int = 0, scratch: str | None = None)
     return with_dense_key(loaded, [F.col("order_nk").asc()], "order_key", scratch, after)
 
 
-def finish_fact(keyed: DataFrame, lookup: DataFrame, dim_location: DataFrame) -> DataFrame:
+def number_first_orders(cells: DataFrame, after: int = 0, scratch: str | None = None) -> DataFrame:
+    """The first staged row of every natural key of resolved orders, numbered like
+    ``number_orders``. One shuffle does both: rows are dealt by ranges of the key, so
+    its copies meet in one task, which reads them in order and keeps the first."""
+    ranges = cells.repartitionByRange(whole_key()).withColumn("order_nk", whole_key())
+    place = F.row_number().over(Window.partitionBy("order_nk").orderBy(*_CELL_ORDER))
+    first = ranges.withColumn("_place", place).where("_place = 1").drop("_place", "order_nk", "ingest_seq")
+    return with_fact_cells(number_rows(first, "order_key", scratch, after))
+
+
+def finish_fact(keyed: DataFrame, lookup: DataFrame, dim_location: DataFrame, ordered: bool = False) -> DataFrame:
     """The invalid-amount delete on the uncut amount, then the wide layout (fact
-    columns + date/customer/restaurant/location attributes)."""
-    kept = keyed.where(~F.col("amount").isin(*map(float, B.INVALID_AMOUNTS)))
-    wide = (kept.join(lookup, "restaurant_key")
-            .join(location_attributes(dim_location), "location_key", "left"))
+    columns + date/customer/restaurant/location attributes). ``ordered`` sorts each
+    task's rows by date while they are narrow: the joins keep that order."""
     y = (F.col("date_key") / 10000).cast("int")
     md = F.col("date_key") % 10000
     month = (md / 100).cast("int")
+    kept = keyed.where(~F.col("amount").isin(*map(float, B.INVALID_AMOUNTS))).withColumns({"year": y, "month": month})
+    if ordered:
+        kept = kept.sortWithinPartitions("year", "month", "date_key")
+    wide = (kept.join(lookup, "restaurant_key")
+            .join(location_attributes(dim_location), "location_key", "left"))
+    y, month = F.col("year"), F.col("month")
     day = (md % 100).cast("int")
     a = date_attributes(F.make_date(y, month, day))
     return wide.select(
         *FACT_COLS,
         a["date_iso"].alias("date_iso"), a["quarter"].alias("quarter"),
-        month.alias("month"), a["month_name"].alias("month_name"),
+        "month", a["month_name"].alias("month_name"),
         day.alias("day"), a["dow"].alias("dow"), a["is_weekend"].alias("is_weekend"),
         B.is_holiday(month, day).alias("is_holiday"),
         *CUSTOMER_ATTRIBUTES, "restaurant_name", "restaurant_city", "rating", "cuisine",
-        "loc_country", "loc_state", "loc_city", y.alias("year"))
+        "loc_country", "loc_state", "loc_city", "year")
 
 
 def build_fact_wide(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame,
                     dim_location: DataFrame, scratch: str | None = None) -> DataFrame:
-    keyed = number_orders(load_fact(orders, dim_customer, dim_restaurant), scratch=scratch)
-    return finish_fact(keyed, restaurant_lookup(dim_restaurant, dim_location), dim_location)
+    keyed = number_first_orders(resolved_orders(orders, dim_customer, dim_restaurant), scratch=scratch)
+    return finish_fact(keyed, written_lookup(dim_restaurant, dim_location, scratch), dim_location, ordered=True)
 
 
 # ------------------------------------------------- the source script's views

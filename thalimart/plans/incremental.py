@@ -64,16 +64,22 @@ def append_batch(existing: DataFrame, batch_orders: DataFrame, wh: Warehouse, sc
                  top: int | None = None) -> DataFrame:
     """Wide fact rows that ``batch_orders`` adds to ``existing``; new keys start
     after ``top`` (default: the largest key in ``existing``)."""
-    loaded = written_under(scratch, etl.load_fact(batch_orders, wh.dim_customer, wh.dim_restaurant), "batch")
-    return append_loaded(existing, loaded, wh, scratch, top)
+    cells = written_under(scratch, etl.resolved_orders(batch_orders, wh.dim_customer, wh.dim_restaurant), "batch")
+    known = existing_keys(existing, etl.with_fact_cells(cells))
+    fresh = cells.join(known, etl.whole_key() == F.col("order_nk"), "left_anti")  # the key's text itself is not shuffled
+    top = largest(existing, "order_key") if top is None else top
+    return _finished(etl.number_first_orders(fresh, int(top), scratch), wh, scratch)
 
 
 def append_loaded(existing: DataFrame, loaded: DataFrame, wh: Warehouse, scratch: str, top: int | None = None) -> DataFrame:
     """``append_batch`` for orders whose keys are resolved and written."""
     fresh = loaded.join(existing_keys(existing, loaded), "order_nk", "left_anti")
     top = largest(existing, "order_key") if top is None else top
-    keyed = etl.number_orders(fresh, int(top), scratch)
-    return etl.finish_fact(keyed, etl.restaurant_lookup(wh.dim_restaurant, wh.dim_location), wh.dim_location)
+    return _finished(etl.number_orders(fresh, int(top), scratch), wh, scratch)
+
+
+def _finished(keyed: DataFrame, wh: Warehouse, scratch: str) -> DataFrame:
+    return etl.finish_fact(keyed, etl.written_lookup(wh.dim_restaurant, wh.dim_location, scratch), wh.dim_location)
 
 
 def fact_in_two_batches(wh: Warehouse) -> DataFrame:

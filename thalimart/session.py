@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: AQE re-plans joins at runtime (broadcast when
 # a side turns out small, skew-split hot partitions), and partitions are
@@ -69,3 +70,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="thalimart-ckpt-"))
         d = sc.getCheckpointDir()
     return d.rstrip("/")
+
+
+def written_under(scratch: str, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """``df`` written once under the scratch folder and read back."""
+    path = f"{scratch}/{name}-{uuid.uuid4().hex}"
+    w = df.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
