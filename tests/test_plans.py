@@ -94,3 +94,42 @@ def test_build_leaves_no_scratch_tables(wh):
     names = {s.getPath().getName() for s in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)}
     assert names - {"_tmp"} == {"dim_customer", "dim_date", "dim_location", "dim_restaurant", "order_wide",
                                 "stg_locations", "stg_orders", "stg_restaurants", "stg_users"}
+
+
+@pytest.mark.parametrize("key, tables", [("dq_duplicate_users", {"stg_users"}), ("etl_dim_customer", {"stg_users", "dim_customer"}),
+                                         ("sql_julian_days", {"stg_orders"}), ("sql_order_keys", {"stg_orders"})])
+def test_a_query_builds_only_the_tables_it_reads(spark, tmp_path, monkeypatch, key, tables):
+    from thalimart.plans import warehouse
+    from thalimart.plans.extended import EXTENDED
+    monkeypatch.setattr(warehouse, "_BUILT", {})
+    monkeypatch.setattr(warehouse, "checkpoint_root", lambda _: str(tmp_path))
+    (QUERIES | EXTENDED)[key](warehouse_for(spark, SF)).count()
+    found = {p.name for p in next(tmp_path.iterdir()).iterdir() if p.is_dir() and p.name != "_tmp"}
+    assert found == tables
+
+
+def test_orders_are_shuffled_as_narrow_cells(wh):
+    from thalimart.plans import etl
+    plan = _plan(etl.load_fact(wh.staging.order_cells, wh.dim_customer, wh.dim_restaurant))
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert dealt and not any("order_nk" in line for line in dealt)
+
+
+def test_one_shuffle_dedups_and_numbers(spark, wh, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from thalimart.plans import etl
+    seen = []
+    monkeypatch.setattr(etl, "number_rows", lambda df, name, *_: seen.append(_plan(df)) or df.withColumn(name, F.lit(1)))
+    cells = etl.resolved_orders(wh.staging.order_cells, wh.dim_customer, wh.dim_restaurant)
+    etl.number_first_orders(cells)
+    monkeypatch.undo()
+    above = seen[0][:seen[0].index("Join")]
+    assert above.count("Exchange") == 1 and "rangepartitioning" in above
+    # a hot key, staged over and over in many partitions, and copies that differ in their cells
+    many = cells.limit(40).crossJoin(spark.range(300).repartition(7)).withColumn("ingest_seq", F.col("id")).drop("id")
+    many = many.withColumn("p_qty", F.col("p_qty") + F.col("ingest_seq"))
+    got = etl.number_first_orders(many, 5, str(tmp_path)).orderBy("order_key").collect()
+    want = etl.with_fact_cells(many.where("ingest_seq = 0").distinct()).collect()
+    assert [r.order_key for r in got] == list(range(6, 6 + len(want)))
+    assert [(r.order_nk, r.sales_qty) for r in got] == sorted((r.order_nk, r.sales_qty) for r in want)

@@ -10,9 +10,11 @@ distinct texts of the restaurants.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
-from .views import register_views
+from .views import VIEWS, register_views
 from .warehouse import Warehouse
 
 ORDER_KEYS = """
@@ -68,10 +70,9 @@ FROM ranked WHERE pos <= 5 ORDER BY place, pos"""
 
 
 def run_statement(wh: Warehouse, statement: str) -> DataFrame:
-    """``statement`` over the warehouse's views, which it registers first."""
-    spark = wh.orders.sparkSession
-    register_views(spark, wh)
-    return spark.sql(statement)
+    """``statement`` over the warehouse's views; those it names are registered first."""
+    register_views(wh.spark, wh, [name for name in VIEWS if re.search(rf"\b{name}\b", statement)])
+    return wh.spark.sql(statement)
 
 
 def order_keys(wh: Warehouse) -> DataFrame:

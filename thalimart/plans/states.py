@@ -152,13 +152,13 @@ def acquisition(spark: SparkSession, root: str) -> DataFrame:
 
 # ------------------------------------------------------------------- the keys
 def in_three_batches(wh: Warehouse) -> tuple[SparkSession, str]:
-    """The warehouse's states, brought up by three updates whose orders overlap;
-    once they are there nothing is left to add."""
-    spark = wh.orders.sparkSession
+    """States of the warehouse's orders beside its tables, brought up by three updates
+    whose orders overlap; once they are there nothing is left to add."""
+    root = f"{wh.scratch}/states"
     top = wh.orders.agg(F.max("order_key")).first()[0] or 0
     for part in (top // 3, 2 * top // 3, top):
-        update(spark, wh.root, wh.orders.where(F.col("order_key") <= part))
-    return spark, wh.root
+        update(wh.spark, root, wh.orders.where(F.col("order_key") <= part))
+    return wh.spark, root
 
 
 def customers_by_span(wh: Warehouse) -> DataFrame:

@@ -8,6 +8,8 @@ projections of the written Parquet tables.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,10 +49,10 @@ VIEWS = {
 }
 
 
-def register_views(spark: SparkSession, wh: Warehouse) -> tuple[str, ...]:
+def register_views(spark: SparkSession, wh: Warehouse, names: Iterable[str] = VIEWS) -> tuple[str, ...]:
     """Creates the views, and the source dialect's functions, in the session."""
     register_functions(spark)
-    for name, view in VIEWS.items():
-        view(wh).createOrReplaceTempView(name)
-    return tuple(VIEWS)
+    for name in names:
+        VIEWS[name](wh).createOrReplaceTempView(name)
+    return tuple(names)
 

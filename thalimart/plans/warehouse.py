@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, written_under
 from ..sources.staging import ORDERS_COLS, Staging
 from ..sources.testdata import adapter_staging
 from . import etl
@@ -40,6 +40,10 @@ class Warehouse:
     staging: Staging
     root: str | None = None
 
+    @property
+    def spark(self) -> SparkSession:
+        return self.dim_date.sparkSession
+
     @property
     def scratch(self) -> str:
         """Where intermediate tables of later loads go."""
@@ -63,13 +67,6 @@ def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     w.parquet(path)
 
 
-def written_under(scratch: str, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """``df`` written once under the scratch folder and read back."""
-    path = f"{scratch}/{name}-{uuid.uuid4().hex}"
-    _write(df, path, partition_by)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the warehouse through Spark's file systems."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -86,6 +83,13 @@ def complete_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if fs.exists(jvm_path(f"{path}/{n}/_SUCCESS")))
 
 
+def _by_month(wide: DataFrame) -> DataFrame:
+    """The partitioned writer sorts each task's rows by year anyway; extending
+    that local sort to month and day gives every row group tight month/date
+    ranges, so month filters skip row groups by their statistics."""
+    return wide.sortWithinPartitions("year", "month", "date_key")
+
+
 class _Phases:
     """Optional wall-clock split of a build (seconds per phase)."""
 
@@ -128,11 +132,7 @@ def build_warehouse(spark: SparkSession, staging: Staging, root: str,
     clock.mark("dimensions")
     wide = etl.build_fact_wide(staging.order_cells, out["dim_customer"], out["dim_restaurant"],
                                out["dim_location"], scratch)
-    # the partitioned writer sorts each task's rows by year anyway; extending
-    # that local sort to month and day gives every row group tight month/date
-    # ranges, so month filters skip row groups by their statistics
-    _write(wide.sortWithinPartitions("year", "month", "date_key"), f"{root}/order_wide",
-           partition_by="year")
+    _write(_by_month(wide), f"{root}/order_wide", partition_by="year")
     clock.mark("fact")
     remove(spark, scratch)
     wh = open_warehouse(spark, root)
@@ -169,14 +169,81 @@ def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
     )
 
 
+class _OnDemand:
+    """Tables under one folder, each written when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self._folder = spark, root
+        self._found: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
+
+    __repr__ = object.__repr__    # a dataclass's would read, and so build, every table
+
+    def _table(self, name: str, build, partition_by: str | None = None, schema: str | None = None) -> DataFrame:
+        """The written table; ``build`` gets a scratch folder, removed after the write."""
+        with self._lock:
+            if name not in self._found:
+                scratch = f"{self._folder}/_tmp/build-{name}"
+                _write(build(scratch), f"{self._folder}/{name}", partition_by)
+                remove(self._spark, scratch)
+                reader = self._spark.read.schema(schema) if schema else self._spark.read
+                self._found[name] = reader.parquet(f"{self._folder}/{name}")
+            return self._found[name]
+
+
+class StagingOnDemand(_OnDemand, Staging):
+    """``stage`` table by table."""
+
+    def __init__(self, spark: SparkSession, source: Staging, root: str):
+        super().__init__(spark, root)
+        self._source = source
+
+    users = property(lambda self: self._table("stg_users", lambda _: self._source.users))
+    restaurants = property(lambda self: self._table("stg_restaurants", lambda _: self._source.restaurants))
+    locations = property(lambda self: self._table("stg_locations", lambda _: self._source.locations))
+    parsed = property(lambda self: self._table("stg_orders", lambda _: etl.parsed_orders(self._source.order_cells)))
+    orders = property(lambda self: self.parsed.select(*ORDERS_COLS))
+
+
+class WarehouseOnDemand(_OnDemand, Warehouse):
+    """``build_warehouse`` table by table: a query pays for the tables it reads,
+    and for those that they are made of."""
+
+    def __init__(self, spark: SparkSession, source: Staging, root: str):
+        super().__init__(spark, root)
+        self.staging = StagingOnDemand(spark, source, root)
+
+    dim_date = property(lambda self: self._table("dim_date", lambda _: etl.build_dim_date(self.staging.order_cells)))
+    dim_customer = property(lambda self: self._table("dim_customer", lambda s: etl.build_dim_customer(self.staging.users, s)))
+    dim_restaurant = property(lambda self: self._table("dim_restaurant", lambda s: etl.build_dim_restaurant(self.staging.restaurants, s)))
+    dim_location = property(lambda self: self._table("dim_location", lambda s: etl.build_dim_location(self.staging.locations, s)))
+    spark = property(lambda self: self._spark)
+    scratch = property(lambda self: f"{self._folder}/_tmp")
+
+    @property
+    def orders(self) -> DataFrame:
+        return self._table("order_wide", lambda s: _by_month(etl.build_fact_wide(
+            self.staging.order_cells, self.dim_customer, self.dim_restaurant, self.dim_location, s)), "year", etl.WIDE_SCHEMA)
+
+    @property
+    def root(self) -> str:
+        """The folder of the whole warehouse: tables not asked for yet are built."""
+        for name in ("users", "restaurants", "locations", "parsed"):
+            getattr(self.staging, name)
+        for name in ("dim_date", "dim_customer", "dim_restaurant", "dim_location", "orders"):
+            getattr(self, name)
+        return self._folder
+
+
 _LOCK = threading.Lock()
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str,
                   phases: dict[str, float] | None = None) -> Warehouse:
-    """Warehouse built from the test tables in ``sf_dir`` (once per Spark
-    application; later calls reuse the written tables and the frames)."""
+    """Warehouse of the test tables in ``sf_dir``, written once per Spark
+    application; later calls reuse the written tables and the frames. Each table
+    is built when a query first asks for it; with ``phases`` all are built at once."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
         wh = _BUILT.get(key)
@@ -186,6 +253,6 @@ def warehouse_for(spark: SparkSession, sf_dir: str,
             if phases is not None:
                 phases["adapter"] = round(time.perf_counter() - t, 3)
             root = f"{checkpoint_root(spark)}/thalimart-wh-{uuid.uuid4().hex}"
-            wh = build_warehouse(spark, staging, root, phases=phases)
+            wh = WarehouseOnDemand(spark, staging, root) if phases is None else build_warehouse(spark, staging, root, phases=phases)
             _BUILT[key] = wh
     return wh
