@@ -63,3 +63,14 @@ def test_one_scan_of_the_staging(spark, wh):
     assert plan.count("stg_orders") <= 2  # one scan, named once in the line and once in its paths
     scans = [line for line in plan.splitlines() if "FileScan" in line and "p_amount_text" in line]
     assert len(scans) == 1
+
+
+def test_a_load_keeps_what_its_readers_need(spark, wh, tmp_path):
+    path = str(tmp_path / "load")
+    rules.checked_load(wh.staging.order_cells, wh, path)
+    rows = spark.read.schema(rules._SCHEMA).parquet(path)
+    assert rows.where("reason = 'accepted' AND (raw_order_date IS NOT NULL OR order_nk IS NULL)").isEmpty()
+    assert rows.where("reason <> 'accepted' AND (raw_r_id IS NULL OR order_nk IS NOT NULL)").isEmpty()
+    plan = rules.decided(wh.staging.order_cells, wh.dim_customer, wh.dim_restaurant)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("p_tail" in line for line in dealt)

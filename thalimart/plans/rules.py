@@ -18,7 +18,8 @@ Repeated natural keys are one row with the number of its ``copies``, the first
 staged one; copies beyond it are counted as ``duplicate``. Rows that fail on a cell
 have no natural key and are kept one by one: they pass the same aggregate under a
 key of their own, so the staging is read once and a hot natural key collapses in
-every map task.
+every map task. Accepted orders are written without their raw cells, the others with
+nothing else.
 
 The quarantine keeps the raw cells, so a corrected rule or a late dimension row can
 load them.
@@ -49,30 +50,35 @@ _SCHEMA = (
 
 
 def decided(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame) -> DataFrame:
-    """Every natural key of the staged orders, and every row without one: the
-    fact's cells and keys, the raw cells, ``copies`` and ``reason``."""
-    cells = etl.fact_cells()
+    """Every natural key of the staged orders, and every row without one, with its
+    ``copies`` and ``reason``: accepted ones as the fact's cells and keys, the others
+    as raw cells. Rows are narrow cells until they are decided; what a reader of
+    either kind does not need is NULL."""
     broken = (F.when(F.col("p_ts").isNull(), REASONS[0]).when(F.col("p_qty").isNull(), REASONS[1])
-              .when(F.col("p_amount").isNull(), REASONS[2]).when(cells["sales_amount"].isNull(), REASONS[3]))
-    rows = etl.parsed_orders(orders).select(
-        *(c.alias(n) for n, c in cells.items()), *(F.col(c).cast("string").alias(r) for c, r in _RAW.items()), "ingest_seq",
-        broken.alias("reason"), F.monotonically_increasing_id().alias("row"))
-    key = F.when(F.col("reason").isNull(), F.col("order_nk")).otherwise(F.concat(F.lit("row "), F.col("row").cast("string")))
-    kept = [c for c in rows.columns if c not in ("row", "ingest_seq")]
-    first = rows.withColumn("key", key).groupBy("key").agg(
-        F.min(F.struct("ingest_seq", "order_nk", *(c for c in kept if c != "order_nk"))).alias("m"), F.count(F.lit(1)).alias("copies"))
-    one = first.select("key", "copies", *(F.col(f"m.{c}").alias(c) for c in kept))
+              .when(F.col("p_amount").isNull(), REASONS[2]).when(etl.fact_cells()["sales_amount"].isNull(), REASONS[3]))
+    own = F.col("reason").isNotNull()
+    keys = etl.key_cells() | {"row": F.monotonically_increasing_id()}
+    measures = ["p_qty", "p_amount", "trimmed"]
+    rows = etl.parsed_orders(orders).select("*", broken.alias("reason"), F.trim("currency").alias("trimmed")).select(
+        *(F.when(own if n == "row" else ~own, c).alias(n) for n, c in keys.items()), "ingest_seq", *measures,
+        *(F.col(c).alias(r) for c, r in _RAW.items()), "reason")
+    kept = [*measures, *_RAW.values(), "reason"]
+    first = rows.groupBy(*keys).agg(F.min(F.struct("ingest_seq", *kept)).alias("m"), F.count(F.lit(1)).alias("copies"))
+    one = first.select(*keys, "copies", *(F.col(f"m.{c}").alias("currency" if c == "trimmed" else c) for c in kept))
     # what has no id, or needs none, is spread over the joins by its own key
-    alone = F.concat(F.lit("\u0001"), F.col("key"))
-    user, rest = (F.when(F.col("reason").isNull(), F.coalesce(F.col(c), alone)).otherwise(alone) for c in ("user_txt", "rest_txt"))
+    alone = F.concat(F.lit("\u0001"), F.xxhash64(*keys).cast("string"))
+    user, rest = (F.when(F.col("reason").isNull(), F.coalesce(F.col(c).cast("string"), alone)).otherwise(alone) for c in ("p_user", "p_rest"))
     customer = dim_customer.select(F.col("user_id_nat").alias("user_nat"), "customer_key", *etl.CUSTOMER_ATTRIBUTES)
     restaurant = dim_restaurant.select(F.col("restaurant_id_nat").alias("rest_nat"), "restaurant_key")
-    met = (one.withColumns({"user_id_": user, "rest_id_": rest})
-           .join(customer, F.col("user_id_") == F.col("user_nat"), "left")
-           .join(restaurant, F.col("rest_id_") == F.col("rest_nat"), "left"))
+    met = (one.join(restaurant, rest == F.col("rest_nat"), "left")
+           .join(customer, user == F.col("user_nat"), "left"))
+    made = etl.fact_cells(etl.whole_key())
     reason = F.coalesce(F.col("reason"), F.when(F.col("customer_key").isNull(), REASONS[4]).when(F.col("restaurant_key").isNull(), REASONS[5])
-                        .when(F.col("amount").isin(*map(float, B.INVALID_AMOUNTS)), REASONS[6]), F.lit(ACCEPTED))
-    return met.withColumn("reason", reason).select(*(c.split()[0] for c in _SCHEMA.split(", ")))
+                        .when(made["amount"].isin(*map(float, B.INVALID_AMOUNTS)), REASONS[6]), F.lit(ACCEPTED))
+    taken = F.col("reason") == ACCEPTED
+    out = {c: F.when(~taken, F.col(c).cast("string")) if c in _RAW.values() else F.col(c) if c in ("copies", "reason") else F.when(taken, made.get(c, F.col(c)))
+           for c in (x.split()[0] for x in _SCHEMA.split(", "))}
+    return met.withColumn("reason", reason).select(*(c.alias(n) for n, c in out.items()))
 
 
 def checked_load(orders: DataFrame, wh: Warehouse, path: str) -> dict[str, int]:
@@ -110,13 +116,12 @@ def _fresh(wh: Warehouse) -> str:
 
 def reasons(wh: Warehouse) -> DataFrame:
     """reason, orders: what a load of all staged orders would accept and reject."""
-    spark = wh.orders.sparkSession
-    return spark.createDataFrame(list(checked_load(wh.staging.order_cells, wh, _fresh(wh)).items()), "reason string, orders bigint")
+    return wh.spark.createDataFrame(list(checked_load(wh.staging.order_cells, wh, _fresh(wh)).items()), "reason string, orders bigint")
 
 
 def rejected_orders(wh: Warehouse) -> DataFrame:
     """reason, currency, orders, copies of the quarantine of such a load."""
     path = _fresh(wh)
     checked_load(wh.staging.order_cells, wh, path)
-    return quarantine(wh.orders.sparkSession, path).groupBy("reason", "currency").agg(
+    return quarantine(wh.spark, path).groupBy("reason", "currency").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("copies").alias("copies"))
