@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sqlite3
 
 import pytest
@@ -84,3 +85,16 @@ def test_recursive_splitter_and_split_items(spark, sql, con):
     assert sorted(map(tuple, sql(SPLITTER).collect())) == want
     assert sorted(map(tuple, sql("SELECT c, item FROM cells, LATERAL split_items(c, ',')").collect())) == want
     assert [r[0] for r in sql("SELECT item FROM split_items('a.b|c.d', '.b|')").collect()] == ["a", "c.d"]
+
+
+def test_iso_formats_are_cut_from_the_times_text(spark):
+    register_functions(spark)
+    values = ["2019-03-04 05:06:07.891", "0000-01-02", "9999-12-31 23:30:00-01:00", "0000-01-01 00:10:00+01:00", "2019-02-30", "2458546.5", "12:13:14", "x", None]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    for n in range(2, len("%Y-%m-%d %H:%M:%S") + 1):
+        fmt = "%Y-%m-%d %H:%M:%S"[:n]
+        # a format in a column, or with a text before it, is put together piece by piece
+        rows = df.selectExpr(f"strftime('{fmt}', v) AS a", f"substr(strftime('/{fmt}', v), 2) AS b").collect()
+        assert [r.a for r in rows] == [r.b for r in rows], fmt
+    plan = df.selectExpr("strftime('%Y-%m', v)", "datetime(v)")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"substr(?:ing)?\(cast\(lambda t", plan)) == 2, plan

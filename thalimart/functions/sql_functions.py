@@ -52,9 +52,9 @@ def _time_value(v: str) -> str:
     first = f"concat(substr({v}, 1, 8), '01', substr({v}, 11, length({v}) - 10 - length(regexp_extract({v}, {zone}, 0))))"
     zoned = f"(endswith({v}, 'Z') OR (substr({v}, -3, 1) = ':' AND substr({v}, -6, 1) IN ('+', '-')))"
     rolled = f"CASE WHEN {day} BETWEEN 1 AND 31 THEN try_cast({first} AS TIMESTAMP_NTZ) + make_dt_interval({day} - 1, 0, -{minutes}) END"
-    days = f"try_cast({v} AS DECIMAL(30,12))"
-    seconds = f"CAST(round(({days} - {_EPOCH}) * 86400, 3) AS DECIMAL(18,6))"
-    julian = (f"CASE WHEN {days} >= {_FIRST} AND {days} < {_LAST} THEN timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, {seconds}) END")
+    seconds = f"CAST(round((n - {_EPOCH}) * 86400, 3) AS DECIMAL(18,6))"
+    julian = _let(f"try_cast({v} AS DECIMAL(30,12))", "n",
+                  f"CASE WHEN n >= {_FIRST} AND n < {_LAST} THEN timestamp_ntz'1970-01-01' + make_dt_interval(0, 0, 0, {seconds}) END")
     return (f"CASE WHEN {v} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}' THEN coalesce(CASE WHEN NOT {zoned} THEN try_cast({v} AS TIMESTAMP_NTZ) END, {rolled}) "
             f"WHEN {v} RLIKE '^[0-9]{{2}}:[0-9]{{2}}' THEN try_cast('2000-01-01 ' || {v} AS TIMESTAMP_NTZ) "
             f"WHEN {v} RLIKE '^[0-9]+([.][0-9]*)?$' THEN {julian} END")
@@ -75,6 +75,8 @@ _LETTERS = {
     "M": _digits("minute(t)", 2), "s": f"CAST({_MICROS} DIV 1000000 AS STRING)", "S": _digits("CAST(floor(second(t)) AS INT)", 2),
     "w": "CAST(dayofweek(t) - 1 AS STRING)", "W": _digits("(dayofyear(t) + 6 - weekday(t)) DIV 7", 2), "Y": _digits("year(t)", 4), "%": "'%'"}
 
+_ISO = "%Y-%m-%d %H:%M:%S"
+
 _INT_HEAD, _REAL_HEAD = "'^[+-]?[0-9]+'", "'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?'"
 
 
@@ -88,6 +90,8 @@ def _functions() -> dict[str, str]:
     letters = " ".join(f"WHEN '%{k}' THEN {v}" for k, v in _LETTERS.items())
     pieces = f"transform(regexp_extract_all(fmt, '(?s)%.|[^%]+|%$', 0), p -> CASE p {letters} ELSE CASE WHEN startswith(p, '%') THEN NULL ELSE p END END)"
     whole = _let(pieces, "a", "CASE WHEN exists(a, x -> x IS NULL) THEN NULL ELSE array_join(a, '') END")
+    # a format that an ISO time begins with is cut from the time's own text; Spark decides this once for a literal format
+    iso = (f"startswith('{_ISO}', fmt) AND length(fmt) % 3 = 2 AND year(t) BETWEEN 0 AND 9999 THEN substr(CAST(t AS STRING), 1, length(fmt) + 2)")
     arguments = [f"a{i}" for i in range(1, PRINTF_ARGUMENTS + 1)]
     mark, value = "element_at(m, i)", "try_element_at(v, i)"
     real, integer = _head(value, _REAL_HEAD, "DOUBLE", "0D"), _head(value, _INT_HEAD, "BIGINT", "0L")
@@ -100,7 +104,7 @@ def _functions() -> dict[str, str]:
                                                     _let(f"array({', '.join(arguments)})", "v", joined)))
     pieces_kept = "CASE WHEN list <> '' AND endswith(list, separator) THEN slice(s, 1, size(s) - 1) ELSE s END"
     return {
-        "strftime(fmt STRING, value STRING) RETURNS STRING": "RETURN " + _let("trim(value)", "v", _let(_time_value("v"), "t", f"CASE WHEN t IS NULL THEN NULL ELSE {whole} END")),
+        "strftime(fmt STRING, value STRING) RETURNS STRING": "RETURN " + _let("trim(value)", "v", _let(_time_value("v"), "t", f"CASE WHEN t IS NULL THEN NULL WHEN {iso} ELSE {whole} END")),
         "datetime(value STRING) RETURNS STRING": "RETURN strftime('%Y-%m-%d %H:%M:%S', value)",
         "julianday(value STRING) RETURNS DOUBLE": "RETURN " + _let("trim(value)", "v", _let(_time_value("v"), "t", _JULIAN)),
         "unixepoch(value STRING) RETURNS BIGINT": "RETURN " + _let("trim(value)", "v", _let(_time_value("v"), "t", f"{_MICROS} DIV 1000000")),
