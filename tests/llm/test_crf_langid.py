@@ -1,6 +1,7 @@
 """The field against direct recursion and enumeration, and held-out accuracy."""
 
 import itertools
+import tracemalloc
 
 import duckdb
 import numpy as np
@@ -89,3 +90,25 @@ def test_sample_is_drawn_among_rows_with_words_and_from_long_texts(spark):
     long = spark.createDataFrame(rows[:1] + [(1, "z" * 50_000, "x")], schema).select(C.sample(F.col("text"))).collect()
     assert set(long[0][0].split()) == set(x.split()) and C.TRAIN_CHARS * 0.9 < len(long[0][0]) <= C.TRAIN_CHARS + C.PIECES
     assert set(long[1][0]) == {"z", "\n"}
+
+
+def _scorer() -> C.Scorer:
+    rng = np.random.default_rng(2)
+    weights = rng.normal(size=(C.FEATURES + 4, 4)).astype(np.float32)
+    return C.Scorer(C.Model(list("abcd"), weights, np.zeros((4, 4)), {"w7": 2}))
+
+
+def test_new_words_are_looked_up_part_by_part(monkeypatch):
+    found = [f"w{i % 50}" for i in range(120)]
+    whole = _scorer().factors(found)
+    monkeypatch.setattr(C, "NEW_WORDS", 7)
+    assert np.array_equal(_scorer().factors(found), whole)
+
+
+def test_many_new_words_take_little_memory_at_once():
+    scorer, found = _scorer(), [f"strangeword{i}" for i in range(60_000)]
+    tracemalloc.start()
+    scorer.factors(found)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 80e6

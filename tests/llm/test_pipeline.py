@@ -1,11 +1,16 @@
 """The stages against their operators' brute-force rules on a small table."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import corpus_pipeline as P
 import public_tokenizers
+from pyspark import cloudpickle
 from test_dartminhash import brute_force
 from tokenizers import Tokenizer
 
-from thalimart.llm import decontaminate
+from thalimart.llm import bpe_stream, common, dartminhash, decontaminate
 
 
 def test_stages_on_planted_documents(spark, tmp_path):
@@ -67,3 +72,51 @@ def test_code_switched_documents_stay(spark):
     kept = {r.doc_id for r in P.language_id(spark, both, "").select("doc_id").collect()}
     gone = [r for r in both.collect() if r.doc_id not in kept]
     assert [r for r in gone if r.text and any(c.isalpha() for c in r.text)] == []  # only texts without a letter may go
+
+
+def test_a_worker_gives_up_what_the_stage_before_remembered():
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        bpe_stream.load(f.read())
+    assert bpe_stream._MERGES
+    common.take_over("another stage", list)
+    assert not bpe_stream._MERGES
+
+
+def test_given_up_memory_goes_back_to_the_system():
+    """Blocks held by the C library below one that is still in use."""
+    code = """
+import os, sys
+from thalimart.llm import common
+def resident(): return int(open("/proc/self/statm").read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+kept = [bytes(2000) + b"x" for _ in range(60_000)]
+last = b"y" * 2000 + os.urandom(8)
+common.take_over("one stage", kept.clear)
+full = resident()
+common.take_over("another stage", list)
+print(full - resident())
+"""
+    root = str(Path(common.__file__).parents[2])
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True, timeout=120).stdout
+    assert int(out) > 80e6
+
+
+def test_what_reaches_a_worker_forgets_the_workers_own_cache():
+    dartminhash.shingles(["some words"])
+    decontaminate.tokens(["some words"])
+    for module, cache in ((dartminhash, dartminhash._HASHES), (decontaminate, decontaminate._TOKENS)):
+        assert cache
+        cloudpickle.loads(cloudpickle.dumps(module._forget))()
+        assert not cache
+
+
+def test_texts_go_to_workers_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    own = key in spark.conf.getAll
+    spark.conf.unset(key)
+    docs = common.short_batches(spark.range(40).selectExpr("id", "repeat('x', 1000000) AS text").coalesce(1))
+    sizes = docs.mapInArrow(lambda batches: (b.select(["id"]).slice(0, 1) for b in batches), "id long").count()
+    assert sizes >= 8
+    spark.conf.set(key, "1m")
+    assert common.short_batches(docs) and spark.conf.get(key) == "1m"
+    spark.conf.set(key, old) if own else spark.conf.unset(key)

@@ -39,6 +39,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .common import as_task, short_batches, take_over
+
 #: Characters given to an encoder at a time.
 PIECE = 1 << 16
 #: A pretoken longer than this is streamed into the merge transducer.
@@ -321,8 +323,13 @@ def pieces(text: str) -> Iterator[str]:
 _MERGES: dict[str, tuple[MergeList, PretokenCache]] = {}
 
 
+def _forget() -> None:
+    _MERGES.clear()
+
+
 def load(spec: str) -> tuple[MergeList, PretokenCache]:
     """The parsed merge list of this process and its pretoken cache."""
+    take_over("bpe_stream", _forget)
     key = hashlib.sha256(spec.encode()).hexdigest()
     if key not in _MERGES:
         merges = MergeList(spec)
@@ -370,8 +377,8 @@ def round_trip(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                  pa.array([x[1] for x in found], pa.string()), pa.array([x[2] for x in found], pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return short_batches(docs).select("doc_id", "text").mapInArrow(
+        as_task("bpe_stream", _forget, run), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def token_ids(docs: DataFrame, tokenizer_path: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -75,10 +77,48 @@ _CACHES: dict[str, Callable[[], None]] = {}
 
 def take_over(owner: str, forget: Callable[[], None]) -> None:
     """Called by a task before it fills its process's cache: a Python worker that
-    ran another operator's tasks before gives up what those remembered."""
-    for name in [n for n in _CACHES if n != owner]:
+    ran another operator's tasks before gives up what those remembered. ``forget``
+    is a function of a module: a bound method would reach the worker as a copy."""
+    others = [n for n in _CACHES if n != owner]
+    for name in others:
         _CACHES.pop(name)()
     _CACHES[owner] = forget
+    if others:
+        gc.collect()
+        give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: Arrow and the C library keep it for
+    later use, which an idle worker beside a busy JVM does not have."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def as_task(owner: str, forget: Callable[[], None], run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``: takes over its worker's memory and gives back
+    what it has freed at its end."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over(owner, forget)
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def short_batches(df: DataFrame) -> DataFrame:
+    """``df``, whole texts of which go to Python workers in batches of 4 MB, unless
+    the session has a size of its own: Spark's 64 MB stand several times over in
+    the JVM and the worker of every running task."""
+    conf = df.sparkSession.conf
+    if _BATCH_BYTES not in conf.getAll:
+        conf.set(_BATCH_BYTES, "4m")
+    return df
 
 
 def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:

@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import arrow_mapped, quoted, slices, take_over
+from .common import arrow_mapped, give_back, quoted, short_batches, slices, take_over
 
 TRAIN_DOCS = 200
 TRAIN_CHARS = 20_000
@@ -67,6 +67,8 @@ TRAIN_CELLS = 2_000_000
 LEXICON_SEEN, LEXICON_SHARE = 3, 0.8
 #: Words handled at once, words of a block, scored words remembered.
 BATCH_WORDS, BLOCK, CACHE_WORDS = 200_000, 32, 400_000
+#: New words whose features are looked up at once (about 1 KB each meanwhile).
+NEW_WORDS = 16_384
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -247,12 +249,13 @@ class Scorer:
             self.rows.clear()
             self.table = None
         new = [w for w in dict.fromkeys(found) if w not in self.ids]
-        if new:
-            slots = [features(w, self.model.lexicon) for w in new]
+        for at in range(0, len(new), NEW_WORDS):
+            part = new[at:at + NEW_WORDS]
+            slots = [features(w, self.model.lexicon) for w in part]
             sums = np.add.reduceat(self.model.weights[np.array([s for own in slots for s in own])],
                                    np.r_[0, np.cumsum([len(own) for own in slots])[:-1]])
             start = len(self.ids)
-            self.ids.update(zip(new, range(start, start + len(new)), strict=True))
+            self.ids.update(zip(part, range(start, start + len(part)), strict=True))
             self.rows.append(np.maximum(np.exp(sums - sums.max(1, keepdims=True)), 1e-30))
             self.rows = [np.concatenate(self.rows)] if len(self.rows) > 64 else self.rows
             self.table = None
@@ -363,7 +366,11 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
                  *(pa.array([x[n] for x in found], pa.float64()) for n in range(1, len(marks)))],
                 names=[*keep, *marks])
 
-    return arrow_mapped(docs.select(*map(quoted, sent)), run, schema)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return arrow_mapped(short_batches(docs).select(*map(quoted, sent)), task, schema)
 
 
 def held_out(doc_id: Column) -> Column:

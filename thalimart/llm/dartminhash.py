@@ -55,7 +55,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, mix64, quoted, slices, take_over, written
+from .common import as_task, fresh, mix64, quoted, short_batches, slices, written
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -92,6 +92,10 @@ class WordHashes(dict):
 _HASHES = WordHashes()
 
 
+def _forget() -> None:
+    _HASHES.clear()
+
+
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a list of texts: owner, run hash and weight, sorted by owner and hash."""
     found = [_WORD.findall(t.lower()) for t in texts]
@@ -188,7 +192,6 @@ def signed(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     with a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        take_over("dartminhash", _HASHES.clear)
         for batch in batches:
             for begin, end, own in _text_rows(batch, 1):
                 owner, runs, weight = shingles(own)
@@ -204,7 +207,7 @@ def signed(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                     [part.column(0), pa.array(total[full]), lists, pa.array([x.tobytes() for x in sketch[full]], pa.binary())],
                     names=["tid", "n_runs", "bands", "sketch"])
 
-    return texts.select("tid", "text").mapInArrow(run, "tid binary, n_runs bigint, bands array<bigint>, sketch binary")
+    return short_batches(texts).select("tid", "text").mapInArrow(as_task("dartminhash", _forget, run), "tid binary, n_runs bigint, bands array<bigint>, sketch binary")
 
 
 def similarity(left: list[str], right: list[str]) -> np.ndarray:
@@ -247,7 +250,7 @@ def _verified(pairs: DataFrame, bodies: DataFrame, share: float) -> DataFrame:
     own = bodies.select("tid", "text", "sketch")
     return (pairs.join(own.withColumnsRenamed({"tid": "a", "text": "left", "sketch": "ls"}), "a")
             .join(own.withColumnsRenamed({"tid": "b", "text": "right", "sketch": "rs"}), "b")
-            .select("a", "b", "left", "right", "ls", "rs").mapInArrow(run, "a binary, b binary, distance double"))
+            .select("a", "b", "left", "right", "ls", "rs").mapInArrow(as_task("dartminhash", _forget, run), "a binary, b binary, distance double"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -357,7 +360,7 @@ def _across(bounds: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame
                 found = _block_links(key, p, None if same else q, threshold)
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
 
-    return both.mapInArrow(run, "a binary, b binary").distinct()
+    return both.mapInArrow(as_task("dartminhash", _forget, run), "a binary, b binary").distinct()
 
 
 def _block_links(key: int, p: list[dict], q: list[dict] | None, threshold: float) -> list[tuple[bytes, bytes]]:
@@ -424,7 +427,7 @@ def _unshared(bodies: DataFrame) -> DataFrame:
                     [batch.column(0).take(pa.array(begin + owner)), pa.array(runs.astype(np.int64)), pa.array(weight)],
                     names=["tid", "run", "weight"])
 
-    rows = bodies.select("tid", "text").mapInArrow(run, "tid binary, run bigint, weight bigint")
+    rows = bodies.select("tid", "text").mapInArrow(as_task("dartminhash", _forget, run), "tid binary, run bigint, weight bigint")
     once = rows.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("tid").alias("tid"), F.min("weight").alias("weight")).where("n = 1")
     return once.groupBy("tid").agg(F.sum("weight").alias("alone"))
 

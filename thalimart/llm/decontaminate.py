@@ -56,7 +56,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, slices, take_over, written
+from .common import as_task, mix64, short_batches, slices, written
 
 WINDOW = 8
 LITERALS = 4
@@ -120,6 +120,12 @@ class Tokens(dict):
 
 
 _TOKENS = Tokens()
+
+
+def _forget() -> None:
+    _TOKENS.forget()
+
+
 _PLACE = np.array([0, *(xxhash.xxh3_64_intdigest(x) for x in ("<num>", "<name>", "<unit>"))], np.uint64)
 
 
@@ -216,7 +222,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
                         names=["item_id", "n", "span", "size", "raw", "pos", "key", "slots"])
 
     return benchmark.select(F.col("item_id").cast("bigint"), "text").mapInArrow(
-        run, "item_id bigint, n bigint, span bigint, size int, raw boolean, pos bigint, key bigint, slots array<bigint>")
+        as_task("decontaminate", _forget, run), "item_id bigint, n bigint, span bigint, size int, raw boolean, pos bigint, key bigint, slots array<bigint>")
 
 
 def window_bitmap(items: DataFrame) -> tuple[np.ndarray, list[tuple[bool, int]]]:
@@ -240,7 +246,6 @@ def document_windows(docs: DataFrame, bitmap: np.ndarray, sizes: list[tuple[bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
-        take_over("decontaminate", _TOKENS.forget)
         for batch in batches:
             texts = batch.column(1)
             weights = [(x or 0) // 6 for x in pc.binary_length(texts).to_pylist()]
@@ -259,8 +264,8 @@ def document_windows(docs: DataFrame, bitmap: np.ndarray, sizes: list[tuple[bool
                          _slots(slot, first[hit], 0 if raw else size)],
                         names=["doc_id", "tid", "size", "raw", "pos", "key", "slots"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text", text_id(F.col("text")).alias("tid")).mapInArrow(
-        run, "doc_id bigint, tid binary, size int, raw boolean, pos bigint, key bigint, slots array<bigint>")
+    return short_batches(docs).select(F.col("doc_id").cast("bigint"), "text", text_id(F.col("text")).alias("tid")).mapInArrow(
+        as_task("decontaminate", _forget, run), "doc_id bigint, tid binary, size int, raw boolean, pos bigint, key bigint, slots array<bigint>")
 
 
 def text_id(text: Column) -> Column:
