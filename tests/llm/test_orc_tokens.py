@@ -32,6 +32,32 @@ def test_word_path_equals_the_library():
         assert np.frombuffer(words.text(t), "<u4").tolist() == ids_of(t)[:-1], repr(t)
 
 
+def test_every_distinct_word_is_looked_up_once():
+    words = T.Words(open(PATH, encoding="utf-8").read())
+    asked = []
+
+    class Known(dict):
+        def get(self, word):
+            asked.append(word)
+            return super().get(word)
+
+    words.words = Known()
+    texts = ["Hello, hello. HELLO it's 漢字, '漢字,' é" * 50, "", "hello, (Hello) 1 É"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in words.texts(texts)] == [ids_of(t)[:-1] for t in texts]
+    assert len(asked) == len(set(asked)) == len(words.words) == len(set(words.words))
+
+
+def test_every_latin_character_beside_others():
+    words = T.Words(open(PATH, encoding="utf-8").read())
+    rng = random.Random(5)
+    marks = ["'", "'s", "'Re", "''", "<", "|", "a", "É", "7", "-", "\u0301", "\U0001f642", "ſ", ""]
+    texts = [a + chr(i) + b + chr(i).upper() + a + " " + b + chr(i)
+             for i in range(0x250) for a, b in [rng.sample(marks, 2) for _ in range(4)]]
+    assert [np.frombuffer(x, "<u4").tolist() for x in words.texts(texts)] == [ids_of(t)[:-1] for t in texts]
+    alone = [chr(i) for i in range(0x10000) if not 0xD800 <= i < 0xE000]
+    assert [np.frombuffer(x, "<u4").tolist() for x in words.texts(alone)] == [ids_of(t)[:-1] for t in alone]
+
+
 def check(spark, rows, folder):
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, file int")
     T.write_tokens(docs, folder, PATH)

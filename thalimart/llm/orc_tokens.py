@@ -11,10 +11,11 @@ it in that file. The documents before a file are summed from one narrow row per
 file, so a document's place in the whole stream needs no global sort and no pass
 over the ids.
 
-Tokens. The tokenizers library encodes the distinct words of a text and the results
-are remembered per process. Words are cut as the library's normalizer and
-pre-tokenizer would; pieces where that could differ (not in NFC, beyond U+024F,
-with a special token) and texts with unusual control characters go to it whole.
+Tokens. The model of the tokenizers library encodes the distinct words of many texts
+and the results are remembered per process. Words are cut as the library's normalizer
+and pre-tokenizer would (below U+0250 every text is in NFC); pieces where that could
+differ (beyond U+024F, also in lower case, or with a special token) and texts with
+unusual control characters go to it whole.
 
 Defined results: a null text has no ids but the end id; documents with equal ids lie
 next to each other in the order of their texts' hashes and are separate rows; null
@@ -26,7 +27,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -45,54 +45,90 @@ STRIPE_BYTES = 16 << 20
 INDEX_ROWS = 1000
 #: Bytes of text that one file holds on average.
 FILE_BYTES = 64 << 20
-BATCH_IDS, CACHE_PIECES, CACHE_WORDS = 500_000, 400_000, 600_000
+BATCH_IDS, CACHE_WORDS = 500_000, 900_000
 #: Bytes of text that are cut and looked up together.
-BATCH_TEXT = 2 << 20
+BATCH_TEXT = 4 << 20
 FILE_SCHEMA = "doc_id bigint, file int, before bigint, n bigint, ids array<int>"
 
-_LETTER, _NUMBER = latin_classes()
-#: The library's pre-tokenizer for text below U+0250 (the alternatives begin with
-#: different characters, so letters may come first).
-_WORDS = re.compile(rf"[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}\x1c-\x1f]+|[\x1c-\x1f]+")
-_LINES = re.compile(_WORDS.pattern + r"|\n")
 #: White space to Python but not to the library: such texts go to it whole.
 _CONTROL = "\x1c\x1d\x1e\x1f"
-#: Pieces that go to the library: a letter whose lower case is two characters, and
-#: all beyond Latin.
-_OTHER = re.compile("İ|[^\x00-ɏ]")
-
-
-def _simple(text: str) -> bool:
-    """Whether the words of the text, and of its lines, can be cut here."""
-    return "<|" not in text and (text.isascii() or not _OTHER.search(text) and unicodedata.is_normalized("NFC", text))
-
-
-def _gaps(values: list) -> list[int]:
-    """Where the list holds None."""
-    at, out = -1, []
-    try:
-        while True:
-            at = values.index(None, at + 1)
-            out.append(at)
-    except ValueError:
-        return out
+#: Kinds of a UTF-16 unit. What lies beyond Latin, and a letter whose lower case does
+#: or is two characters, is left to the library, and so is the piece that holds it.
+SPACE, LETTER, NUMBER, SIGN, OTHER = range(5)
+_LATIN_END = 0x250
+#: What follows the apostrophe of a contraction.
+_SHORT = ("s", "t", "m", "d", "re", "ve", "ll")
+
+
+def _units() -> tuple[np.ndarray, np.ndarray]:
+    """The kind and the lower case of every UTF-16 unit."""
+    kinds, lower = np.full(1 << 16, OTHER, np.uint8), np.arange(1 << 16, dtype="<u2")
+    letters, numbers = (re.compile(f"[{c}]") for c in latin_classes())
+    for i in range(1 << 16):
+        c = chr(i)
+        if c.isspace():
+            kinds[i] = SPACE
+        elif i < _LATIN_END and len(c.lower()) == 1 and ord(c.lower()) < _LATIN_END:
+            kinds[i] = LETTER if letters.match(c) else NUMBER if numbers.match(c) else SIGN
+            lower[i] = ord(c.lower())
+    return kinds, lower
+
+
+_KINDS, _LOWER = _units()
+
+
+def _whole_pieces(units: np.ndarray, kinds: np.ndarray) -> np.ndarray | None:
+    """Which units lie in pieces (runs without white space) that go to the library
+    as they are: with a character left to it or a special token's first two."""
+    odd = kinds == OTHER
+    odd[:-1] |= (units[:-1] == ord("<")) & (units[1:] == ord("|"))
+    if not odd.any():
+        return None
+    black = kinds != SPACE
+    piece = np.cumsum(np.r_[black[0], black[1:] & ~black[:-1]])
+    held = np.zeros(int(piece[-1]) + 1, bool)
+    held[piece[odd]] = True
+    return held[piece] & black
+
+
+def cut_words(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """The units in lower case, where in them a word begins, and which go to the
+    library as they are. Words are cut as its pre-tokenizer does: runs of letters,
+    single numbers, runs of signs, and contractions where an apostrophe begins a match."""
+    kinds = _KINDS[units]
+    starts = np.r_[True, kinds[1:] != kinds[:-1]]
+    starts |= kinds == NUMBER
+    low = _LOWER[units]
+    quotes = np.flatnonzero(starts & (units == ord("'")))
+    if len(quotes):
+        padded = np.r_[low, np.zeros(3, low.dtype)]
+        for tail in _SHORT:
+            own = quotes[np.all([padded[quotes + 1 + i] == ord(c) for i, c in enumerate(tail)], axis=0)]
+            starts[own + 1] = False
+            ends = own + 1 + len(tail)
+            starts[ends[ends < len(starts)]] = True
+    whole = _whole_pieces(units, kinds)
+    black = kinds != SPACE
+    if whole is not None:
+        low = np.where(whole, units, low)
+        starts = np.where(whole, np.r_[True, ~black[:-1]], starts)
+    return low, starts & black, whole
 
 
 class Words:
-    """Ids of white-space-free pieces of text as 32-bit little-endian bytes. The
-    library drops white space and its pre-tokenizer joins nothing across it, so a
-    text's ids are those of its pieces. The new pieces of many texts are cut into
-    words together; new words go to the library many at a time."""
+    """Ids of texts as 32-bit little-endian bytes. The library drops white space and
+    joins nothing across it, so a text's ids are those of its words. The words of
+    many texts are cut and numbered together in columns; every distinct word is looked
+    up once, and new ones go to the library many at a time."""
 
     def __init__(self, spec: str):
         self.library = Tokenizer.from_str(spec)
         self.library.no_padding()
         self.library.no_truncation()
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        mark = self.library.model.end_of_word_suffix or "\0"
-        self.ends = np.zeros(self.library.get_vocab_size(), bool)
-        self.ends[[i for t, i in self.library.get_vocab().items() if t.endswith(mark)]] = True
+        self.words: dict[bytes, bytes] = {}  # by the word in UTF-16
+        self.four = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+        cut = self.library.pre_tokenizer.pre_tokenize_str  # spells every byte as a character
+        self.spelled = {i: "".join(t for t, _ in cut(chr(i))) for i in range(_LATIN_END) if _KINDS[i] not in (SPACE, OTHER)}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -101,48 +137,50 @@ class Words:
         return self.texts([text])[0]
 
     def texts(self, texts: list[str]) -> list[bytes]:
-        cut = [None if any(c in t for c in _CONTROL) else t.split() for t in texts]
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()  # cheap to put together again from the words
+        plain = ["" if any(c in t for c in _CONTROL) else t for t in texts]
+        coded = [t.encode("utf-16-le") for t in plain]
+        begins = np.cumsum([0, *(len(c) // 2 + 1 for c in coded)])  # a line feed ends each
+        units = np.frombuffer(b"\n\0".join([*coded, b""]), "<u2")
+        data, cuts = self.ids(units, begins)
+        return [bytes(data[a:b]) if t == p else self.whole(t)
+                for t, p, a, b in zip(texts, plain, cuts, cuts[1:], strict=False)]
+
+    def ids(self, units: np.ndarray, begins: np.ndarray) -> tuple[memoryview, list[int]]:
+        """The ids of all words in a row, and the byte at which each text begins."""
+        if not len(units):
+            return memoryview(b""), [0] * len(begins)
+        low, starts, whole = cut_words(units)
+        at = np.flatnonzero(starts)
+        black = _KINDS[units] != SPACE
+        offsets = np.r_[np.flatnonzero(starts[black]), np.count_nonzero(black)].astype(np.int64) * 2
+        column = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(low[black])])
+        numbered = column.dictionary_encode()
+        keys = numbered.dictionary.to_pylist()
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        known = self.pieces.get
-        found = [None if c is None else list(map(known, c)) for c in cut]
-        gaps = [_gaps(ids or []) for ids in found]
-        self.learn({c[i] for c, own in zip(cut, gaps, strict=True) for i in own})
-        for c, ids, own in zip(cut, found, gaps, strict=True):
-            for i in own:
-                ids[i] = self.pieces[c[i]]
-        return [self.whole(t) if ids is None else b"".join(ids) for t, ids in zip(texts, found, strict=True)]
-
-    def learn(self, new: set[str]) -> None:
-        plain = list(new)
-        if not _simple("\n".join(plain)):
-            self.pieces.update((p, self.whole(p)) for p in new if not _simple(p))
-            plain = [p for p in plain if _simple(p)]
-        found = _LINES.findall("\n".join(plain).lower())  # a line feed ends a piece
-        self.encode([w for w in dict.fromkeys(found) if w not in self.words and w != "\n"])
-        at, ids, words, kept = 0, [], self.words, self.pieces
-        for w in found:
-            if w == "\n":
-                kept[plain[at]] = b"".join(ids)
-                at, ids = at + 1, []
-            else:
-                ids.append(words[w])
-        if plain:
-            kept[plain[at]] = b"".join(ids)
-
-    def encode(self, new: list[str]) -> None:
-        for begin in range(0, len(new), 500):
-            group = new[begin:begin + 500]
-            found = self.library.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0]
-            ids = np.array(found.ids, "<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1  # a word's last token carries the end mark
-            if len(last) == len(group):
-                data, cuts = ids.tobytes(), [0, *last.tolist()]
-                self.words.update((w, data[4 * a:4 * b]) for w, a, b in zip(group, cuts, cuts[1:]))
-            else:
-                self.words.update((w, self.whole(w)) for w in group)
+        values = list(map(self.words.get, keys))
+        new = [i for i, v in enumerate(values) if v is None]
+        if new:
+            odd = set()
+            if whole is not None:
+                odd = set(column.filter(pa.array(whole[at])).unique().to_pylist())
+            self.learn([keys[i] for i in new if keys[i] not in odd], [keys[i] for i in new if keys[i] in odd])
+            for i in new:
+                values[i] = self.words[keys[i]]
+        found = pa.array(values, pa.large_binary()).take(numbered.indices)
+        if not len(found):
+            return memoryview(b""), [0] * len(begins)
+        ends = np.frombuffer(found.buffers()[1], np.int64)[:len(found) + 1]
+        return memoryview(found.buffers()[2] or b""), ends[np.searchsorted(at, begins)].tolist()
+
+    def learn(self, new: list[bytes], odd: list[bytes]) -> None:
+        tokenize, four, known = self.library.model.tokenize, self.four, self.words
+        # in lower case and cut already: the library's model does the rest
+        for w, text in zip(new, b"\n\0".join(new).decode("utf-16-le").split("\n") if new else [], strict=True):
+            if not (text.isascii() and text.isprintable()):
+                text = text.translate(self.spelled)
+            known[w] = b"".join([four[t.id] for t in tokenize(text)])
+        known.update((w, self.whole(w.decode("utf-16-le"))) for w in odd)
 
 
 _LOADED: dict[str, Words] = {}
