@@ -55,6 +55,31 @@ def test_pages_table(spark, tmp_path):
     assert sorted(str(tuple(r)[:5]) for r in got.collect()) == expect(again)
 
 
+def test_arc_files_are_bounded_and_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(A, "FILE_BYTES", 5000)
+    rows = [(i, f"http://x/{i}", f"{i:04d}" * (3000 if i == 7 else 200)) for i in range(40)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2).write.parquet(str(tmp_path / "in"))
+    sc = spark.sparkContext
+    sc.setJobGroup("arc", "")
+    try:
+        A.write_arc(spark.read.parquet(str(tmp_path / "in")).select("*"), str(tmp_path / "arc"))
+        jobs = sc.statusTracker().getJobIdsForGroup("arc")
+        stages = [s for j in jobs if (info := sc.statusTracker().getJobInfo(j)) for s in info.stageIds]
+    finally:
+        sc._jsc.clearJobGroup()
+    assert len(stages) == len(jobs)
+    files = [A._content(f.name, f.read_bytes()) for f in (tmp_path / "arc").glob("part*")]
+    found = [list(A.parse_arc(f)) for f in files]
+    assert len(files) > 8 and all(len(f) <= 5000 or len(r) == 1 for f, r in zip(files, found, strict=True))
+    assert {f.split(b"\n")[1][:1] for f in files} == {b"1", b"2"}
+    assert sorted(r[0] for f in found for r in f) == sorted(r[1] for r in rows)
+    for f in files:
+        for line in (x for x in f.split(b"\n") if x.startswith(b"http://") and len(x.split()) == 10):
+            assert f.index(line) == int(line.split()[7])
+    assert sorted(str(tuple(r)[:5]) for r in A.archive(spark.createDataFrame(rows, "page_id long, url string, html string"),
+                                                       str(tmp_path / "all")).collect()) == expect(rows)
+
+
 def test_versions_legacy_dates_and_damage():
     body = b"1 0 archive\nURL IP-address Archive-date Content-type Archive-length\n"
     one = (b"filedesc://old.arc 0.0.0.0 199601010000 text/plain %d\n" % len(body) + body

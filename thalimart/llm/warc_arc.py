@@ -16,8 +16,9 @@ with equal payloads of at least ``REVISIT_BYTES`` bytes the one with the largest
 page id is the response.
 
 Both kinds are written by Spark's text writer with the format's own record
-separator, one file per task, and read as whole files of bounded size
-(``FILE_BYTES`` on average), so any file system and a retried task will do.
+separator and read as whole files, so any file system and a retried task will do.
+ARC files hold at most ``FILE_BYTES`` before compression, or one longer record;
+WARC files are one per task.
 
 Defined results: a null payload is empty; a null url is ``-``; white space and
 control characters in urls are percent-encoded; records equal in payload and in
@@ -39,8 +40,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions_for, utf8_bytes
-
 REVISIT_BYTES = 1000
 FILE_BYTES = 32 << 20
 #: Bytes handed from Python at a time.
@@ -96,22 +95,26 @@ def arc_record(version: int, name: str, url: str, date: str, offset: int, body:
     return f"{line} {len(body)}\n".encode() + body
 
 
-def write_arc(pages: DataFrame, path: str, payload_bytes: int, compressed: bool = True) -> None:
-    """pages (page_id, url, html) as ARC files; odd tasks write version 2. The
-    page id travels as a header of the recorded HTTP answer."""
-    files = partitions_for(payload_bytes, FILE_BYTES)
-    spread = pages.select("page_id", "url", "html").repartition(files, F.xxhash64("page_id", "url", "html"))
+def write_arc(pages: DataFrame, path: str, compressed: bool = True) -> None:
+    """pages (page_id, url, html) as ARC files of both versions in turn. Pages stay in
+    the task that reads them, which begins a new file before one exceeds ``FILE_BYTES``:
+    a row for the writer is a whole file. The page id travels as a header of the
+    recorded HTTP answer."""
+    limit = FILE_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        version, name = 1 + part % 2, f"part-{part:05d}.arc"
+        part, between = TaskContext.get().partitionId(), ARC_SEPARATOR.encode()
 
-        def records():
+        def opened(number: int) -> tuple[int, str, list[bytes], int]:
+            version, name = 1 + (part + number) % 2, f"part-{part:05d}-{number:05d}.arc"
             head = arc_header(version, name)
-            yield (head,)
-            offset = len(head) + 1
+            return version, name, [head], len(head) + 1
+
+        def files():
+            number = 0
+            version, name, held, offset = opened(number)
             for batch in batches:
                 for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     payload = (html or "").encode()
@@ -120,13 +123,19 @@ def write_arc(pages: DataFrame, path: str, payload_bytes: int, compressed: bool
                     body = (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
                             + str(len(payload)).encode() + b"\r\n" + own + b"\r\n" + payload)
                     record = arc_record(version, name, target, DATE, offset, body)
-                    yield (record,)
+                    if offset + len(record) >= limit and len(held) > 1:
+                        yield (between.join(held),)
+                        number += 1
+                        version, name, held, offset = opened(number)
+                        record = arc_record(version, name, target, DATE, offset, body)
+                    held.append(record)
                     offset += len(record) + 1
+            yield (between.join(held),)
 
-        yield from batches_of(records(), ["record"], [pa.binary()], lambda r: len(r[0]))
+        yield from batches_of(files(), ["file"], [pa.binary()], lambda r: len(r[0]))
 
-    (spread.mapInArrow(run, "record binary").select(F.col("record").cast("string"))
-     .write.option("lineSep", ARC_SEPARATOR).option("compression", "gzip" if compressed else "none")
+    (pages.select("page_id", "url", "html").mapInArrow(run, "file binary").select(F.col("file").cast("string"))
+     .write.option("lineSep", ARC_SEPARATOR).option("maxRecordsPerFile", 1).option("compression", "gzip" if compressed else "none")
      .option("zlib.compress.level", GZIP_LEVEL).text(path))
 
 
@@ -302,7 +311,6 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def archive(pages: DataFrame, folder: str) -> DataFrame:
     """pages -> ARC files -> WARC files -> the records read back."""
     spark = pages.sparkSession
-    total = pages.agg(F.sum(utf8_bytes(F.col("html"))).alias("n")).first().n
-    write_arc(pages, f"{folder}/arc", total)
+    write_arc(pages, f"{folder}/arc")
     convert(read_arc(spark, f"{folder}/arc"), f"{folder}/warc")
     return read_warc(spark, f"{folder}/warc")
